@@ -1 +1,8 @@
 """Outlier detection for very large collections of metric series, as Spark DataFrame plans."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -53,6 +53,13 @@ def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], size: int,
     return rows.join(small, list(on), how)
 
 
+def cogrouped(left: DataFrame, right: DataFrame, by: Sequence[str], run, schema) -> DataFrame:
+    """Run ``run`` on the rows both sides have for each value of ``by``."""
+    # both sides often stem from the same rows; renamed columns tell them apart
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, schema)
+
+
 @dataclass(frozen=True)
 class Profile:
     """Row counts that decide how the work is split. Nulls and NaNs are not counted."""
