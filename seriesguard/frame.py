@@ -17,6 +17,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from seriesguard.functions.names import time_to_micros
+
 # A per-series table is broadcast up to this many rows (a few dozen MB); beyond it the join
 # is left to the adaptive sort-merge join, which splits skewed keys.
 BROADCAST_ROWS = 200_000
@@ -162,7 +164,7 @@ class SeriesFrame:
         """Cut long series into equal time spans of about one block; short series get -1."""
         time = F.col(self.time)
         if dict(self.rows.dtypes)[self.time].startswith("timestamp"):
-            time = F.unix_micros(time.cast("timestamp"))
+            time = time_to_micros(time)
         time = time.cast("double")
         spans = (self.valid.groupBy(*self.keys)
                  .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_t0"), F.max(time).alias("_t1"))

@@ -16,8 +16,17 @@ def seconds_to_time(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def time_to_seconds(time: Column) -> Column:
+    """Whole epoch seconds; zone-less times count as session time, which is kept at UTC."""
+    return F.unix_seconds(time.cast("timestamp"))
+
+
 def time_to_millis(time: Column) -> Column:
-    return F.unix_millis(time)
+    return F.unix_millis(time.cast("timestamp"))
+
+
+def time_to_micros(time: Column) -> Column:
+    return F.unix_micros(time.cast("timestamp"))
 
 
 def millis_to_time(millis: Column) -> Column:

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesguard.frame import SeriesFrame, attach
 from seriesguard.operators.features import FEATURES, features
@@ -15,7 +16,7 @@ PAIRS = [(a, b) for a in range(WIDTH) for b in range(a, WIDTH)]
 N_COMPONENTS = 3
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def leading_axes(packed: pd.Series) -> pd.Series:
     """Leading eigenvectors of each packed symmetric matrix, one after the other."""
     matrices = np.zeros((len(packed), WIDTH, WIDTH))

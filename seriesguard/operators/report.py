@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesguard.functions.names import time_to_seconds
+from seriesguard.operators.stats import quantiles
+
 # Histogram bins for normal and anomalous values.
 NORMAL_BINS = 50
 ANOMALY_BINS = 20
@@ -48,7 +51,7 @@ def summary_text(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The summary as a text report (K5)."""
     lines = ["Anomaly Detection Summary Report", "=" * 50, "", "Method: %s", "Total data points: %d",
              "Anomalies detected: %d", "Anomaly rate: %.2f%%", "", "Normal values:", "  Mean: %.4f",
-             "  Std: %.4f", "", "Anomalous values:", "  Mean: %.4f", "  Std: %.4f", ""]
+             "  Std: %.4f", "", "Anomalous values:", "  Mean: %.4f", "  Std: %.4f"]
     nan = F.lit(float("nan"))
     report = F.format_string(
         "\n".join(lines), "method", "total_points", "anomaly_count", F.col("anomaly_rate") * 100,
@@ -80,8 +83,6 @@ def histogram(detections: DataFrame, keys: Sequence[str], value: str = "value",
 
 def box_plot(detections: DataFrame, keys: Sequence[str], value: str, longest: int, n_series: int) -> DataFrame:
     """Quartiles, whiskers and outlier count of normal and anomalous values."""
-    from seriesguard.operators.stats import quantiles
-
     by = [*keys, "method", "is_anomaly"]
     rows = detections.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, F.col(value).alias("_v"))
     boxes = quantiles(rows, by, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, longest, n_series)
@@ -95,7 +96,7 @@ def box_plot(detections: DataFrame, keys: Sequence[str], value: str, longest: in
 def matrix(detections: DataFrame, keys: Sequence[str], time: str, methods: Sequence[str],
            seconds: int = 3600) -> DataFrame:
     """Which methods flag anything in which time bucket (R6): 0 or 1 per method."""
-    bucket = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(time)) / seconds) * seconds)
+    bucket = F.timestamp_seconds(F.floor(time_to_seconds(F.col(time)) / seconds) * seconds)
     return (detections.groupBy(*keys, bucket.alias("bucket")).pivot("method", list(methods))
             .agg(F.max(F.col("is_anomaly").cast("int"))))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame
+from seriesguard.frame import SeriesFrame, attach
+from seriesguard.functions.names import time_to_micros
 
 
 def resample(frame: SeriesFrame, seconds: int = 300) -> DataFrame:
@@ -14,20 +15,17 @@ def resample(frame: SeriesFrame, seconds: int = 300) -> DataFrame:
     Bins are closed on the left, labelled by their start and counted from midnight (UTC) of the
     first day of each series.
     """
-    keys, time = list(frame.keys), F.col(frame.time)
+    keys, time = list(frame.keys), time_to_micros(F.col(frame.time))
     micros, day = seconds * 1_000_000, 86_400_000_000
     origins = frame.rows.groupBy(*keys).agg(
-        F.min(F.unix_micros(time)).alias("_first"), F.max(F.unix_micros(time)).alias("_last"))
+        F.min(time).alias("_first"), F.max(time).alias("_last"))
     if 86_400 % seconds == 0:
-        # the day is a whole number of bins: counting from the epoch gives the same bins
-        bin_of = F.expr(f"unix_micros(`{frame.time}`) div {micros}")
-        rows = frame.rows.withColumn("_bin", F.when(F.unix_micros(time) < 0, F.floor(
-            F.unix_micros(time) / micros)).otherwise(bin_of))
-        origin = F.lit(0).cast("long")
+        # a day is a whole number of bins, so counting from the epoch gives the same bins
+        rows, origin = frame.rows, F.lit(0).cast("long")
     else:
-        rows = frame.rows.join(origins, keys)
+        rows = attach(frame.rows, origins, keys, frame.profile.n_series)
         origin = F.floor(F.col("_first") / day) * day
-        rows = rows.withColumn("_bin", F.floor((F.unix_micros(time) - origin) / micros))
+    rows = rows.withColumn("_bin", F.floor((time - origin) / micros))
     value = F.when(~F.isnan(frame.value), F.col(frame.value))
     means = rows.groupBy(*keys, "_bin").agg(F.avg(value).alias(frame.value))
     edges = origins.select(*keys, origin.alias("_origin"), F.floor((F.col("_first") - origin) / micros).alias("_from"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesguard.functions.names import clean_name, millis_to_time, time_to_millis
+from seriesguard.functions.names import clean_name, millis_to_time, time_to_millis, time_to_seconds
 from seriesguard.sources.csv import load_cloudbed
 
 # Rows of one series that go into one file; longer series are written by several tasks.
@@ -29,7 +29,7 @@ def write_store(rows: DataFrame, path: str, device: str = "cmdb_id", measurement
     per_series = raw.groupBy("device_name", "measurement_name").agg(F.count(F.lit(1)).alias("n"))
     longest = per_series.agg(F.max("n")).first()[0] or 0
     slices = -(-longest // FILE_ROWS) or 1
-    day = F.floor(F.unix_seconds("timestamp") / 86_400)
+    day = F.floor(time_to_seconds(F.col("timestamp")) / 86_400)
     spread = named.repartition("device", "measurement", *([F.pmod(day, F.lit(slices))] if slices > 1 else []))
     (spread.sortWithinPartitions("device", "measurement", "timestamp")
      .write.mode(mode).partitionBy("device", "measurement").parquet(path))
@@ -49,14 +49,17 @@ def read_store(spark: SparkSession, path: str, device: str | None = None, measur
         rows = rows.where(F.col("device") == clean_name(F.lit(device)))
     if measurement is not None:
         rows = rows.where(F.col("measurement") == clean_name(F.lit(measurement)))
-    return in_range(rows, F.col("timestamp"), start_ms, end_ms)
+    return in_range(rows, "timestamp", start_ms, end_ms)
 
 
-def in_range(rows: DataFrame, time: Column, start_ms: int | None, end_ms: int | None) -> DataFrame:
+def in_range(rows: DataFrame, time: str, start_ms: int | None, end_ms: int | None) -> DataFrame:
+    """Rows in a closed range of epoch milliseconds, each bound optional."""
+    # a bound of the column's own type is what the scan can push down
+    kind = dict(rows.dtypes)[time]
     if start_ms is not None:
-        rows = rows.where(time >= millis_to_time(F.lit(start_ms)))
+        rows = rows.where(F.col(time) >= millis_to_time(F.lit(start_ms)).cast(kind))
     if end_ms is not None:
-        rows = rows.where(time <= millis_to_time(F.lit(end_ms)))
+        rows = rows.where(F.col(time) <= millis_to_time(F.lit(end_ms)).cast(kind))
     return rows
 
 
