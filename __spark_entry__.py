@@ -725,7 +725,7 @@ def oracle_sql() -> dict[str, str]:
         "s3_cloudbed": metric_sql(f"cloudbed = '{BEDS[0]}' AND category IN ({beds})"),
         "s4_all_cloudbeds": metric_sql(f"category IN ({beds})"),
         "s5_job_input": metric_sql(),
-        "s6_range_read": """SELECT event_id, epoch_ms(ts) AS ms, value FROM events WHERE event_type = 'error'
+        "s6_range_read": """SELECT event_id, epoch_us(ts) // 1000 AS ms, value FROM events WHERE event_type = 'error'
 AND epoch_us(ts) BETWEEN 1704844800000000 AND 1705708800000000""",
         "s7_series_rows": """SELECT l_suppkey, CAST(floor(epoch(l_shipdate)) AS BIGINT) AS epoch, l_orderkey, l_linenumber,
 l_extendedprice AS value FROM lineitem""",
@@ -740,8 +740,8 @@ su AS (SELECT event_type, method, count(*) AS total, count(*) FILTER (WHERE is_a
   avg(value) FILTER (WHERE NOT is_anomaly) AS nm, stddev_samp(value) FILTER (WHERE NOT is_anomaly) AS ns,
   avg(value) FILTER (WHERE is_anomaly) AS am, stddev_samp(value) FILTER (WHERE is_anomaly) AS asd FROM lo_all GROUP BY 1, 2)
 SELECT event_type, method, {RATE_LINES} AS report FROM su""",
-        "k6_store_write": """SELECT 'click' AS device, 'click' AS measurement, epoch_ms(ts) AS ms,
-arg_max(value, row(ts, value)) AS value FROM events WHERE event_type = 'click' AND epoch_ms(ts) >= 1704844800000 GROUP BY 3""",
+        "k6_store_write": """SELECT 'click' AS device, 'click' AS measurement, epoch_us(ts) // 1000 AS ms,
+arg_max(value, row(ts, value)) AS value FROM events WHERE event_type = 'click' AND epoch_us(ts) // 1000 >= 1704844800000 GROUP BY 3""",
         "k7_store_ingest": f"""SELECT cmdb_id AS device, replace(kpi_name, '.', '_') AS measurement, count(DISTINCT epoch) AS points,
 min(epoch) * 1000 AS first_ms, max(epoch) * 1000 AS last_ms FROM ({METRICS_SQL}) WHERE cloudbed = '{BEDS[0]}' AND category IN ({beds}) GROUP BY 1, 2""",
         "p1_one_series": "SELECT event_id, epoch_us(ts) AS us, value FROM events WHERE event_type = 'view' ORDER BY ts, event_id",
@@ -752,7 +752,7 @@ count(*) AS points, min(value) AS low, max(value) AS high FROM zscore GROUP BY 1
         "p5_clean_names": """SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(url, '[^A-Za-z0-9_]', '_', 'g'),
 '_+', '_', 'g'), '_'), ''), 'unnamed') AS clean FROM pages""",
         "p7_labels": "SELECT event_id, value, value > 200 AS is_anomaly, CAST(value > 200 AS DOUBLE) AS anomaly_score FROM events",
-        "p8_epochs": """SELECT event_id, epoch_ms(ts) AS ms, epoch_ms(ts) * 1000 AS us_of_ms,
+        "p8_epochs": """SELECT event_id, epoch_us(ts) // 1000 AS ms, epoch_us(ts) // 1000 * 1000 AS us_of_ms,
 CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events""",
         "p9_first_series": """SELECT min('user_' || user_id) AS cmdb_id, (SELECT min(event_type || '.value') FROM events WHERE 'user_' || user_id =
 (SELECT min('user_' || user_id) FROM events)) AS kpi_name FROM events""",

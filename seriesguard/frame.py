@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -36,16 +37,22 @@ MAX_RANGE_PARTITIONS = 50_000
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="seriesguard-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="seriesguard-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and continue from there.
+
+    For results several passes read: they are computed once, survive lost executors, and later
+    scans read only the columns they need.
+    """
+    path = f"{shared_dir(df.sparkSession)}/seriesguard-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], size: int,
@@ -114,13 +121,13 @@ class SeriesFrame:
     @cached_property
     def profile(self) -> Profile:
         """One aggregation job over the key columns; its result is a single row."""
-        sizes = [1 << p for p in range(4, 41)]
+        sizes = [1 << p for p in range(4, 41, 2)]
         counts = self.valid.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
         row = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
             F.count(F.lit(1)).alias("n_series"),
             F.coalesce(F.max("n"), F.lit(0)).alias("longest"),
-            *[F.count_if(F.col("n") > s).alias(f"gt{s}") for s in sizes],
+            *[F.expr(f"count_if(n > {s}) AS gt{s}") for s in sizes],
         ).first()
         return Profile(row["total"], row["n_series"], row["longest"],
                        {s: row[f"gt{s}"] for s in sizes})
@@ -138,6 +145,13 @@ class SeriesFrame:
         """Order columns plus the value, so that ties cannot change a result."""
         return [*self.order, self.value]
 
+    @cached_property
+    def stored(self) -> SeriesFrame:
+        """The same frame with its indexed rows written once, for work in several passes."""
+        frame = SeriesFrame(self.rows, self.keys, self.order, self.value, self.block_rows)
+        vars(frame).update(profile=self.profile, stored=frame, indexed=store(self.indexed))
+        return frame
+
     @cached_property
     def indexed(self) -> DataFrame:
         """Valid rows plus ``i``, the 0-based position in the series."""
@@ -184,7 +198,7 @@ class SeriesFrame:
         """
         parts = min(MAX_RANGE_PARTITIONS, max(8, math.ceil(self.profile.total / self.block)))
         by = [*self.keys, *self.full_order, "_row"]
-        placed = checkpoint(
+        placed = store(
             self.valid.withColumn("_row", F.monotonically_increasing_id())
             .repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_row")
             .withColumn("_at", F.monotonically_increasing_id()))

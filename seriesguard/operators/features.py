@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame, attach
-from seriesguard.operators.stats import is_zero_spread
+from seriesguard.frame import SeriesFrame, attach, store
 from seriesguard.operators.windows import lagged, trailing
 
 # Fixed order of the feature columns.
@@ -28,22 +27,29 @@ def features(frame: SeriesFrame, window: int = 10) -> DataFrame:
     return rows.select(*frame.keys, "i", *FEATURES)
 
 
-def feature_moments(frame: SeriesFrame, rows: DataFrame) -> DataFrame:
-    """Per series: number of feature rows, and mean and divisor of each feature."""
-    stats = rows.groupBy(*frame.keys).agg(
-        F.count(F.lit(1)).alias("_m"), *[F.avg(f).alias(f"_mean_{f}") for f in FEATURES],
-        *[F.stddev_pop(f).alias(f"_sd_{f}") for f in FEATURES])
-    return stats.withColumns({f"_sd_{f}": divisor(F.col(f"_sd_{f}"), F.col(f"_mean_{f}")) for f in FEATURES})
+def stored_features(frame: SeriesFrame, window: int = 10) -> DataFrame:
+    """Feature rows written once per frame and window, for detectors that pass over them often."""
+    tables = vars(frame).setdefault("_features", {})
+    if window not in tables:
+        tables[window] = store(features(frame, window))
+    return tables[window]
+
 
+def divisor(feature: str) -> str:
+    """SQL for the standard deviation of a feature, 1 where it is only rounding noise."""
+    return (f"if(stddev_pop({feature}) <= 1e-12 * greatest(1.0, abs(avg({feature}))), 1.0, "
+            f"stddev_pop({feature}))")
 
-def divisor(sd: Column, mean: Column) -> Column:
-    """The standard deviation, or 1 for a constant column."""
-    return F.when(is_zero_spread(sd, mean), F.lit(1.0)).otherwise(sd)
+
+def feature_moments(frame: SeriesFrame, rows: DataFrame) -> DataFrame:
+    """Per series: number of feature rows, and mean and divisor of each feature."""
+    return rows.groupBy(*frame.keys).agg(
+        F.count(F.lit(1)).alias("_m"), *[F.expr(f"avg({f}) AS _mean_{f}") for f in FEATURES],
+        *[F.expr(f"{divisor(f)} AS _sd_{f}") for f in FEATURES])
 
 
 def scaled_features(frame: SeriesFrame, window: int = 10) -> DataFrame:
     """Feature rows with every feature standardised within its series."""
-    rows = features(frame, window)
+    rows = stored_features(frame, window)
     rows = attach(rows, feature_moments(frame, rows), frame.keys, frame.profile.n_series)
-    return rows.select(*frame.keys, "i", *[
-        ((F.col(f) - F.col(f"_mean_{f}")) / F.col(f"_sd_{f}")).alias(f) for f in FEATURES])
+    return rows.select(*frame.keys, "i", *[F.expr(f"({f} - _mean_{f}) / _sd_{f} AS {f}") for f in FEATURES])

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame, attach, checkpoint
+from seriesguard.frame import SeriesFrame, attach, store
 from seriesguard.functions.student_t import upper_tail
 
 FIRST_TAIL = 1_000
@@ -104,7 +104,7 @@ def grubbs_flags(frame: SeriesFrame, alpha: float = 0.05, first_tail: int = FIRS
             # every series fits into its tails, so none can be left over
             ended.append(result)
             break
-        result = checkpoint(result)
+        result = store(result)
         ended.append(result.where(~F.col("_more")))
         state = result.where("_more").select(*names)
         left = state.count()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.frame import SeriesFrame, attach
-from seriesguard.operators.features import FEATURES, divisor, features
+from seriesguard.operators.features import FEATURES, divisor, stored_features
 
 # Added to every density before the logarithm.
 SMOOTHING = 0.1
@@ -19,31 +19,24 @@ def hbos_scores(frame: SeriesFrame, window: int = 10, n_bins: int = 10) -> DataF
     is expressed in standard deviations.
     """
     keys, n_series = list(frame.keys), frame.profile.n_series
-    rows = features(frame, window)
-    ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.array(*[
-        F.struct(F.min(f).alias("lo"), F.max(f).alias("hi"),
-                 divisor(F.stddev_pop(f), F.avg(f)).alias("sd")) for f in FEATURES]).alias("_ranges"))
+    rows = stored_features(frame, window)
+    ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.expr("array(" + ", ".join(
+        f"struct(min({f}) AS lo, max({f}) AS hi, {divisor(f)} AS sd)" for f in FEATURES) + ") AS _ranges"))
     rows = attach(rows, ranges, keys, n_series)
-    cells = []
-    for j, f in enumerate(FEATURES):
-        lo, hi = F.col("_ranges")[j]["lo"], F.col("_ranges")[j]["hi"]
-        place = F.floor((F.col(f) - lo) / (hi - lo) * n_bins)
-        cells.append((F.when(hi > lo, F.least(place, F.lit(n_bins - 1))).otherwise(0) + j * n_bins).cast("int"))
-    binned = rows.select(*keys, "i", F.array(*cells).alias("_cells"))
+    # cell = feature number * n_bins + bin; the largest value falls into the last bin
+    cells = ", ".join(
+        f"CAST({j * n_bins} + if(_ranges[{j}].hi > _ranges[{j}].lo, least({n_bins - 1}, floor("
+        f"({f} - _ranges[{j}].lo) / (_ranges[{j}].hi - _ranges[{j}].lo) * {n_bins})), 0) AS INT)"
+        for j, f in enumerate(FEATURES))
+    binned = rows.select(*keys, "i", F.expr(f"array({cells}) AS _cells"))
     # at most 11 * n_bins partial counts per series and task leave the map side
     counts = (binned.select(*keys, F.explode("_cells").alias("_cell"))
               .groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_count")))
-    counts = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_cell", "_count"))).alias("_counts"))
-    table = counts.join(ranges, keys)
-
-    def cell_score(cell):
-        span = F.get("_ranges", F.floor(cell / n_bins).cast("int"))
-        width = F.when(span["hi"] > span["lo"], (span["hi"] - span["lo"]) / span["sd"]).otherwise(1.0) / n_bins
-        count = F.coalesce(F.col("_counts")[cell], F.lit(0))
-        return -F.log2(count / (F.col("_m") * width) + SMOOTHING)
-
-    table = table.select(*keys, F.transform(
-        F.sequence(F.lit(0), F.lit(len(FEATURES) * n_bins - 1)), cell_score).alias("_scores"))
-    scored = attach(binned, table, keys, n_series)
-    total = sum((F.get("_scores", F.col("_cells")[j]) for j in range(len(FEATURES))), F.lit(0.0))
-    return scored.select(*keys, "i", total.alias("score"))
+    counts = counts.groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(_cell, _count))) AS _counts"))
+    width = (f"if(_ranges[cell div {n_bins}].hi > _ranges[cell div {n_bins}].lo, (_ranges[cell div {n_bins}].hi "
+             f"- _ranges[cell div {n_bins}].lo) / _ranges[cell div {n_bins}].sd, 1.0) / {n_bins}")
+    table = counts.join(ranges, keys).select(*keys, F.expr(
+        f"transform(sequence(0, {len(FEATURES) * n_bins - 1}), cell -> "
+        f"-log2(coalesce(_counts[cell], 0) / (_m * {width}) + {SMOOTHING})) AS _scores"))
+    total = " + ".join(f"_scores[_cells[{j}]]" for j in range(len(FEATURES)))
+    return attach(binned, table, keys, n_series).select(*keys, "i", F.expr(f"{total} AS score"))

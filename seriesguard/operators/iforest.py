@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.frame import SeriesFrame, attach, cogrouped
-from seriesguard.operators.features import FEATURES, features
+from seriesguard.operators.features import FEATURES, stored_features
 
 SAMPLE = 256
 SEED = 42
@@ -98,7 +98,7 @@ def iforest_scores(frame: SeriesFrame, window: int = 10, n_estimators: int = 100
                    local_rows: int = LOCAL_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Keys, position and score. Path lengths ignore the scale of a feature: raw features do."""
     keys, profile = list(frame.keys), frame.profile
-    rows = features(frame, window)
+    rows = stored_features(frame, window)
     schema = rows.select(*keys, "i").withColumn("score", F.lit(0.0)).schema
     if profile.longest - window <= local_rows:
         return rows.groupBy(*keys).applyInPandas(_whole_series(keys, n_estimators), schema)

@@ -13,8 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame, attach, checkpoint, cogrouped
-from seriesguard.operators.features import FEATURES, features, scaled_features
+from seriesguard.frame import SeriesFrame, attach, cogrouped, store
+from seriesguard.operators.features import FEATURES, scaled_features, stored_features
 
 CELL_ROWS = 4_096
 MAX_SPLITS = 12
@@ -65,7 +65,7 @@ def neighbour_scores(frame: SeriesFrame, window: int = 10, knn: int | None = Non
     """
     wanted = [name for name, count in (("knn", knn), ("lof", lof)) if count]
     keys, profile = list(frame.keys), frame.profile
-    rows = features(frame, window)
+    rows = stored_features(frame, window)
     schema = rows.select(*keys, "i").withColumns({name: F.lit(0.0) for name in wanted}).schema
     whole = _whole_series(keys, knn, lof)
     if profile.longest - window <= cell_rows:
@@ -122,7 +122,7 @@ def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: i
         ids, dists = nearest(x, at, x, at, k)
         return part[[*cell, "i", *FEATURES]].assign(ids=list(ids), dists=list(dists))
 
-    local = checkpoint(placed.groupBy(*cell).applyInPandas(
+    local = store(placed.groupBy(*cell).applyInPandas(
         in_cell, f"{listed}, ids array<long>, dists array<double>"))
 
     def to_visit(part: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +146,7 @@ def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: i
     # each chunk of queries gets its own copy of the series' boxes
     chunks = queries.select(*keys, "_chunk").distinct()
     spread = boxes.join(chunks, keys)
-    visits = checkpoint(cogrouped(queries, spread, [*keys, "_chunk"], to_visit, f"{listed}, _reach double"))
+    visits = store(cogrouped(queries, spread, [*keys, "_chunk"], to_visit, f"{listed}, _reach double"))
     # popular cells are searched by several groups, each with a copy of the cell
     loads = visits.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("_groups"))
     visits = attach(visits, loads, cell, n_cells).withColumn(
@@ -165,7 +165,7 @@ def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: i
     both = local.select(*keys, "i", "ids", "dists").unionByName(away)
     pairs = F.flatten(F.collect_list(F.arrays_zip("dists", "ids")))
     merged = both.groupBy(*keys, "i").agg(F.slice(F.array_sort(pairs), 1, k).alias("_best"))
-    return checkpoint(merged.select(*keys, "i", F.col("_best.ids").alias("ids"), F.col("_best.dists").alias("dists")))
+    return store(merged.select(*keys, "i", F.col("_best.ids").alias("ids"), F.col("_best.dists").alias("dists")))
 
 
 def _cells(rows: DataFrame, keys: list[str], n_series: int, n_cells: int, cell_rows: int) -> DataFrame:

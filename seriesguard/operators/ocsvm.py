@@ -13,8 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame, attach, checkpoint, cogrouped
-from seriesguard.operators.features import FEATURES, features, scaled_features
+from seriesguard.frame import SeriesFrame, attach, cogrouped, store
+from seriesguard.operators.features import FEATURES, scaled_features, stored_features
 from seriesguard.operators.neighbors import standardise
 from seriesguard.operators.stats import quantiles
 
@@ -71,7 +71,7 @@ def ocsvm_scores(frame: SeriesFrame, window: int = 10, nu: float = 0.1, kernel:
     if not 0.0 < nu <= 1.0 or kernel != "rbf":
         raise ValueError(f"nu must be in (0, 1] and kernel rbf, got {nu} and {kernel}")
     keys, profile = list(frame.keys), frame.profile
-    rows = features(frame, window)
+    rows = stored_features(frame, window)
     schema = rows.select(*keys, "i").withColumn("score", F.lit(0.0)).schema
 
     def whole(part: pd.DataFrame) -> pd.DataFrame:
@@ -93,7 +93,7 @@ def ocsvm_scores(frame: SeriesFrame, window: int = 10, nu: float = 0.1, kernel:
 def _long_scores(rows: DataFrame, keys: list[str], nu: float, n_long: int, longest: int, schema) -> DataFrame:
     """Conditional-gradient fit: each step moves the model towards the mean of the ``nu`` rows it
     scores lowest. Chunks of rows return sums, never rows; the model is 512 numbers per series."""
-    rows = checkpoint(rows.withColumn("_chunk", F.expr(f"i div {CHUNK_ROWS}")))
+    rows = store(rows.withColumn("_chunk", F.expr(f"i div {CHUNK_ROWS}")))
     by = [*keys, "_chunk"]
     chunks = rows.select(*by).distinct()
     key_types = ", ".join(f"`{k}` {schema[k].dataType.simpleString()}" for k in keys)
@@ -122,7 +122,7 @@ def _long_scores(rows: DataFrame, keys: list[str], nu: float, n_long: int, longe
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
     sums = f"{key_types}, _sum array<double>, _count long"
-    model = checkpoint(mean_of(rows.groupBy(*by).applyInPandas(first_sum, sums), "_model"))
+    model = store(mean_of(rows.groupBy(*by).applyInPandas(first_sum, sums), "_model"))
     for step in range(STEPS):
         scored = cogrouped(rows, chunks.join(model, keys), by, score, schema)
         cuts = quantiles(scored, keys, "score", {"_cut": nu}, longest, n_long)
@@ -134,6 +134,6 @@ def _long_scores(rows: DataFrame, keys: list[str], nu: float, n_long: int, longe
         both = model.join(target, keys).withColumn(
             "_way", F.zip_with("_model", "_target", lambda x, y: y - x))
         share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), -dot("_model", "_way") / (dot("_way", "_way") + 1e-300)))
-        model = checkpoint(both.withColumn("_share", share).select(*keys, F.zip_with(
+        model = store(both.withColumn("_share", share).select(*keys, F.zip_with(
             "_model", "_way", lambda x, y: x + F.col("_share") * y).alias("_model")))
     return attach(scored, cuts, keys, n_long).select(*keys, "i", (F.col("_cut") - F.col("score")).alias("score"))

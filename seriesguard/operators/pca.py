@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesguard.frame import SeriesFrame, attach
-from seriesguard.operators.features import FEATURES, features
+from seriesguard.operators.features import FEATURES, stored_features
 
 WIDTH = len(FEATURES)
 PAIRS = [(a, b) for a in range(WIDTH) for b in range(a, WIDTH)]
@@ -35,19 +35,18 @@ def pca_scores(frame: SeriesFrame, window: int = 10) -> DataFrame:
     table meets Python, and the error is a column expression.
     """
     keys, n_series = list(frame.keys), frame.profile.n_series
-    rows = features(frame, window)
-    means = rows.groupBy(*keys).agg(F.array(*[F.avg(f) for f in FEATURES]).alias("_means"))
+    rows = stored_features(frame, window)
+    listed = ", ".join(f"avg({f})" for f in FEATURES)
+    means = rows.groupBy(*keys).agg(F.expr(f"array({listed}) AS _means"))
     centred = attach(rows, means, keys, n_series).select(
-        *keys, "i", *[(F.col(f) - F.col("_means")[j]).alias(f"_x{j}") for j, f in enumerate(FEATURES)])
-    axes = centred.groupBy(*keys).agg(F.array(*[
-        F.sum(F.col(f"_x{a}") * F.col(f"_x{b}")) for a, b in PAIRS]).alias("_products"))
+        *keys, "i", *[F.expr(f"{f} - _means[{j}] AS _x{j}") for j, f in enumerate(FEATURES)])
+    products = ", ".join(f"sum(_x{a} * _x{b})" for a, b in PAIRS)
+    axes = centred.groupBy(*keys).agg(F.expr(f"array({products}) AS _products"))
     axes = axes.select(*keys, leading_axes("_products").alias("_axes"))
-    placed = attach(centred, axes, keys, n_series)
-    placed = placed.withColumns({f"_p{c}": sum(
-        (F.col(f"_x{j}") * F.col("_axes")[c * WIDTH + j] for j in range(WIDTH)), F.lit(0.0))
-        for c in range(N_COMPONENTS)})
-    gaps = [F.col(f"_x{j}") - sum((F.col(f"_p{c}") * F.col("_axes")[c * WIDTH + j]
-                                   for c in range(N_COMPONENTS)), F.lit(0.0)) for j in range(WIDTH)]
-    placed = placed.select(*keys, "i", *[g.alias(f"_g{j}") for j, g in enumerate(gaps)])
-    error = sum((F.col(f"_g{j}") * F.col(f"_g{j}") for j in range(WIDTH)), F.lit(0.0)) / WIDTH
-    return placed.select(*keys, "i", error.alias("score"))
+    # coordinates on the axes, then what the axes leave unexplained of each feature
+    placed = attach(centred, axes, keys, n_series).select("*", *[F.expr(" + ".join(
+        f"_x{j} * _axes[{c * WIDTH + j}]" for j in range(WIDTH)) + f" AS _p{c}") for c in range(N_COMPONENTS)])
+    placed = placed.select(*keys, "i", *[F.expr(f"_x{j} - " + " - ".join(
+        f"_p{c} * _axes[{c * WIDTH + j}]" for c in range(N_COMPONENTS)) + f" AS _g{j}") for j in range(WIDTH)])
+    squares = " + ".join(f"_g{j} * _g{j}" for j in range(WIDTH))
+    return placed.select(*keys, "i", F.expr(f"({squares}) / {WIDTH} AS score"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import SeriesFrame
+from seriesguard.frame import SeriesFrame, store
 from seriesguard.operators import statistical
 from seriesguard.operators.grubbs import grubbs_flags
 from seriesguard.operators.hbos import hbos_scores
@@ -57,6 +57,9 @@ def detect_wide(frame: SeriesFrame, methods: Sequence[str], params: Mapping[str,
     """The rows with one boolean column per method."""
     chosen = normalize(methods)
     params = {ALIASES.get(m, m): dict(p) for m, p in (params or {}).items()}
+    normalize(list(params))
+    if set(chosen) - {"zscore", "modified_zscore", "iqr"}:
+        frame = frame.stored
     votes = {m: _vote_settings(m, params.get(m, {})) for m in chosen if m in VOTES}
     members = {v for s in votes.values() for v in s["members"]}
     custom = {m for m in chosen if m not in VOTES and params.get(m)}
@@ -104,7 +107,10 @@ def add_sparse(frame: SeriesFrame, rows: DataFrame, sparse: Mapping[str, DataFra
 
 def learned_flags(frame: SeriesFrame, methods: Sequence[str], params: Mapping[str, Mapping],
                   window: int = 10, contamination: float = CONTAMINATION) -> dict[str, DataFrame]:
-    """Positions flagged by each learned method; neighbour methods share one search."""
+    """Positions flagged by each learned method; neighbour methods share one search.
+
+    Scores are written before they are cut, as the percentile and the comparison both read them.
+    """
     keys, profile = list(frame.keys), frame.profile
 
     def cut(scores: DataFrame, share: float = contamination, score: str = "score") -> DataFrame:
@@ -115,16 +121,17 @@ def learned_flags(frame: SeriesFrame, methods: Sequence[str], params: Mapping[st
     near = [m for m in ("knn", "lof") if m in methods]
     if near:
         counts = {m: _settings(m, {"n_neighbors": NEIGHBOURS[m]}, params)["n_neighbors"] for m in near}
-        scores = neighbour_scores(frame, window, **counts)
+        scores = store(neighbour_scores(frame, window, **counts))
         flags.update({m: cut(scores, score=m) for m in near})
     if "isolation_forest" in methods:
-        flags["isolation_forest"] = cut(iforest_scores(
-            frame, window, **_settings("isolation_forest", {"n_estimators": 100}, params)))
+        flags["isolation_forest"] = cut(store(iforest_scores(
+            frame, window, **_settings("isolation_forest", {"n_estimators": 100}, params))))
     if "hbos" in methods:
-        flags["hbos"] = cut(hbos_scores(frame, window, **_settings("hbos", {"n_bins": 10}, params)))
+        flags["hbos"] = cut(store(hbos_scores(
+            frame, window, **_settings("hbos", {"n_bins": 10}, params))))
     if "autoencoder" in methods:
         percentile = _settings("autoencoder", {"threshold_percentile": 95.0}, params)["threshold_percentile"]
-        flags["autoencoder"] = cut(pca_scores(frame, window), 1.0 - percentile / 100.0)
+        flags["autoencoder"] = cut(store(pca_scores(frame, window)), 1.0 - percentile / 100.0)
     if "ocsvm" in methods:
         given = _settings("ocsvm", {"nu": 0.1, "kernel": "rbf"}, params)
         scores = ocsvm_scores(frame, window, **given)
