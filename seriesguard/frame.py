@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from seriesguard.functions.names import time_to_micros
 
-# A per-series table is broadcast up to this many rows (a few dozen MB); beyond it the join
-# is left to the adaptive sort-merge join, which splits skewed keys.
-BROADCAST_ROWS = 200_000
+# A per-series table is broadcast up to this size; beyond it the join is left to the adaptive
+# sort-merge join, which splits skewed keys.
+BROADCAST_BYTES = 32 << 20
+TEXT_BYTES = 64
 
 # Rows per block: as many as this, fewer when the data is small, so that every core has work.
 MAX_BLOCK_ROWS = 1 << 17
@@ -55,11 +56,15 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], size: int,
-           how: str = "inner") -> DataFrame:
-    """Join a table with one row per key to the rows; broadcast only when its size is small."""
-    small = F.broadcast(table) if size <= BROADCAST_ROWS else table
-    return rows.join(small, list(on), how)
+def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], size: int | None,
+           how: str = "inner", values: int = 0) -> DataFrame:
+    """Join a table with one row per key to the rows; broadcast only when it is known to be small.
+
+    ``size`` bounds the table's rows (None: unknown), ``values`` the entries of its array columns.
+    """
+    width = sum(TEXT_BYTES if kind == "string" else 8 for _, kind in table.dtypes) + 8 * values
+    small = size is not None and size * width <= BROADCAST_BYTES
+    return rows.join(F.broadcast(table) if small else table, list(on), how)
 
 
 def cogrouped(left: DataFrame, right: DataFrame, by: Sequence[str], run, schema) -> DataFrame:

@@ -22,7 +22,7 @@ def hbos_scores(frame: SeriesFrame, window: int = 10, n_bins: int = 10) -> DataF
     rows = stored_features(frame, window)
     ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.expr("array(" + ", ".join(
         f"struct(min({f}) AS lo, max({f}) AS hi, {divisor(f)} AS sd)" for f in FEATURES) + ") AS _ranges"))
-    rows = attach(rows, ranges, keys, n_series)
+    rows = attach(rows, ranges, keys, n_series, values=3 * len(FEATURES))
     # cell = feature number * n_bins + bin; the largest value falls into the last bin
     cells = ", ".join(
         f"CAST({j * n_bins} + if(_ranges[{j}].hi > _ranges[{j}].lo, least({n_bins - 1}, floor("
@@ -39,4 +39,4 @@ def hbos_scores(frame: SeriesFrame, window: int = 10, n_bins: int = 10) -> DataF
         f"transform(sequence(0, {len(FEATURES) * n_bins - 1}), cell -> "
         f"-log2(coalesce(_counts[cell], 0) / (_m * {width}) + {SMOOTHING})) AS _scores"))
     total = " + ".join(f"_scores[_cells[{j}]]" for j in range(len(FEATURES)))
-    return attach(binned, table, keys, n_series).select(*keys, "i", F.expr(f"{total} AS score"))
+    return attach(binned, table, keys, n_series, values=len(FEATURES) * n_bins).select(*keys, "i", F.expr(f"{total} AS score"))

@@ -194,8 +194,7 @@ def _cells(rows: DataFrame, keys: list[str], n_series: int, n_cells: int, cell_r
         return part[keys].iloc[:1].assign(_dims=[dims], _cuts=[cuts])
 
     trees = sampled.groupBy(*keys).applyInPandas(build, f"{key_types}, _dims array<int>, _cuts array<double>")
-    # a tree can hold 4,095 splits: count it as that many rows when deciding on a broadcast
-    rows = attach(rows.withColumn("_splits", splits), trees, keys, n_series * 2 ** MAX_SPLITS // 16, "left")
+    rows = attach(rows.withColumn("_splits", splits), trees, keys, n_series, "left", values=2 * 2 ** MAX_SPLITS)
     values = F.array(*FEATURES)
 
     def step(node, _):

@@ -2,8 +2,9 @@
 
 The dual is solved exactly inside one bounded group per series. Its solution holds at least a
 share ``nu`` of all rows, so it cannot be split exactly: series longer than ``exact_rows`` are
-fitted by distributed conditional-gradient steps over all their rows, with the kernel expressed
-by random Fourier features (Rahimi & Recht 2007).
+fitted by distributed conditional-gradient steps over all their rows, in the kernel's feature
+space. For the Gaussian kernel that space is approximated by random Fourier features (Rahimi &
+Recht 2007).
 """
 
 from __future__ import annotations
@@ -21,29 +22,45 @@ from seriesguard.operators.stats import quantiles
 GAMMA = 1.0 / len(FEATURES)
 EXACT_ROWS = 2_000
 TOLERANCE = 1e-6
+KERNELS = ("rbf", "linear", "poly", "sigmoid")
 
 FOURIER = 512
 STEPS = 40
 CHUNK_ROWS = 50_000
 
 
-def boundary_distance(x: np.ndarray, nu: float, gamma: float = GAMMA) -> np.ndarray:
+def gram(x: np.ndarray, kernel: str, gamma: float = GAMMA) -> np.ndarray:
+    """Kernel values of all pairs of rows of one bounded group."""
+    inner = x @ x.T
+    if kernel == "linear":
+        return inner
+    if kernel == "poly":
+        return (gamma * inner) ** 3
+    if kernel == "sigmoid":
+        return np.tanh(gamma * inner)
+    square = np.diag(inner)
+    return np.exp(-gamma * np.maximum(0.0, square[:, None] + square[None, :] - 2.0 * inner))
+
+
+def boundary_distance(x: np.ndarray, nu: float, kind: str = "rbf") -> np.ndarray:
     """Signed decision value of every row, negative outside; rows on the boundary give 0.
 
     Moves weight between the pair of rows that violates optimality most until none does.
     """
     m = len(x)
-    square = (x * x).sum(axis=1)
-    kernel = np.exp(-gamma * np.maximum(0.0, square[:, None] + square[None, :] - 2.0 * x @ x.T))
+    kernel = gram(x, kind)
+    own = np.diag(kernel)
+    # the Gaussian kernel is 1 on the diagonal; others are solved relative to their size
+    tolerance = TOLERANCE if kind == "rbf" else 1e-3 * own.mean()
     weight = np.clip(nu * m - np.arange(m), 0.0, 1.0)
     field = kernel @ weight
     while True:
         can_grow, can_shrink = weight < 1.0, weight > 0.0
         i = int(np.argmin(np.where(can_grow, field, np.inf)))
         gap = np.where(can_shrink, field - field[i], -np.inf)
-        if not can_grow[i] or gap.max() <= TOLERANCE:
+        if not can_grow[i] or gap.max() <= tolerance:
             break
-        bend = np.maximum(2.0 - 2.0 * kernel[i], 1e-12)
+        bend = np.maximum(own[i] + own - 2.0 * kernel[i], 1e-12)
         j = int(np.argmax(np.where(gap > 0, gap * gap / bend, -1.0)))
         step = min(gap[j] / bend[j], 1.0 - weight[i], weight[j])
         weight[i] = 1.0 if step == 1.0 - weight[i] else weight[i] + step
@@ -55,11 +72,15 @@ def boundary_distance(x: np.ndarray, nu: float, gamma: float = GAMMA) -> np.ndar
     else:
         offset = (field[weight >= 1.0].max() + field[weight <= 0.0].min(initial=field.max())) / 2.0
     value = field - offset
-    return np.where(np.abs(value) <= 2.0 * TOLERANCE, 0.0, value)
+    return np.where(np.abs(value) <= 2.0 * tolerance, 0.0, value)
 
 
-def fourier_map(x: np.ndarray, gamma: float) -> np.ndarray:
-    """Random features whose inner product approximates the Gaussian kernel."""
+def feature_map(x: np.ndarray, kernel: str, gamma: float = GAMMA) -> np.ndarray:
+    """Features whose inner product is the kernel: exact for linear and poly, random for rbf."""
+    if kernel == "linear":
+        return x
+    if kernel == "poly":
+        return gamma ** 1.5 * np.einsum("na,nb,nc->nabc", x, x, x).reshape(len(x), -1)
     rng = np.random.default_rng(42)
     waves = rng.normal(scale=np.sqrt(2.0 * gamma), size=(x.shape[1], FOURIER))
     return np.sqrt(2.0 / FOURIER) * np.cos(x @ waves + rng.uniform(0.0, 2.0 * np.pi, FOURIER))
@@ -68,38 +89,40 @@ def fourier_map(x: np.ndarray, gamma: float) -> np.ndarray:
 def ocsvm_scores(frame: SeriesFrame, window: int = 10, nu: float = 0.1, kernel: str = "rbf",
                  exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Keys, position and score; rows with a score above 0 lie outside the boundary."""
-    if not 0.0 < nu <= 1.0 or kernel != "rbf":
-        raise ValueError(f"nu must be in (0, 1] and kernel rbf, got {nu} and {kernel}")
+    if not 0.0 < nu <= 1.0 or kernel not in KERNELS:
+        raise ValueError(f"nu must be in (0, 1] and kernel one of {KERNELS}, got {nu} and {kernel}")
     keys, profile = list(frame.keys), frame.profile
     rows = stored_features(frame, window)
     schema = rows.select(*keys, "i").withColumn("score", F.lit(0.0)).schema
 
     def whole(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("i")
-        value = boundary_distance(standardise(part[list(FEATURES)].to_numpy()), nu)
+        value = boundary_distance(standardise(part[list(FEATURES)].to_numpy()), nu, kernel)
         return part[[*keys, "i"]].assign(score=-value)
 
     if profile.longest - window <= exact_rows:
         return rows.groupBy(*keys).applyInPandas(whole, schema)
     sizes = frame.valid.groupBy(*keys).agg((F.count(F.lit(1)) - window).alias("_m"))
     short = attach(rows, sizes.where(F.col("_m") <= exact_rows).select(*keys), keys, profile.n_series)
+    if kernel == "sigmoid":
+        raise ValueError(f"kernel sigmoid needs series of at most {exact_rows + window} rows")
     long_keys = sizes.where(F.col("_m") > exact_rows).select(*keys)
     n_long = profile.series_longer_than(exact_rows)
     long = attach(scaled_features(frame, window), long_keys, keys, n_long)
     return short.groupBy(*keys).applyInPandas(whole, schema).unionByName(
-        _long_scores(long, keys, nu, n_long, profile.longest, schema))
+        _long_scores(long, keys, nu, kernel, n_long, profile.longest, schema))
 
 
-def _long_scores(rows: DataFrame, keys: list[str], nu: float, n_long: int, longest: int, schema) -> DataFrame:
+def _long_scores(rows: DataFrame, keys: list[str], nu: float, kernel: str, n_long: int, longest: int, schema) -> DataFrame:
     """Conditional-gradient fit: each step moves the model towards the mean of the ``nu`` rows it
-    scores lowest. Chunks of rows return sums, never rows; the model is 512 numbers per series."""
+    scores lowest. Chunks of rows return sums, never rows; the model is one vector per series."""
     rows = store(rows.withColumn("_chunk", F.expr(f"i div {CHUNK_ROWS}")))
     by = [*keys, "_chunk"]
     chunks = rows.select(*by).distinct()
     key_types = ", ".join(f"`{k}` {schema[k].dataType.simpleString()}" for k in keys)
 
     def mapped(part: pd.DataFrame) -> np.ndarray:
-        return fourier_map(part[list(FEATURES)].to_numpy(), GAMMA)
+        return feature_map(part[list(FEATURES)].to_numpy(), kernel)
 
     def first_sum(part: pd.DataFrame) -> pd.DataFrame:
         return part[keys].iloc[:1].assign(_sum=[mapped(part).sum(axis=0)], _count=len(part))

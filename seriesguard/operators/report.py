@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesguard.frame import attach
 from seriesguard.functions.names import time_to_seconds
 from seriesguard.operators.stats import quantiles
 
@@ -59,9 +60,13 @@ def summary_text(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
     return summaries.select(*keys, "method", F.replace(report, F.lit("NaN"), F.lit("nan")).alias("report"))
 
 
-def histogram(detections: DataFrame, keys: Sequence[str], value: str = "value",
+def histogram(detections: DataFrame, keys: Sequence[str], value: str = "value", n_series: int | None = None,
               normal_bins: int = NORMAL_BINS, anomaly_bins: int = ANOMALY_BINS) -> DataFrame:
-    """Equal-width histogram of normal and of anomalous values per series and method."""
+    """Equal-width histogram of normal and of anomalous values per series and method.
+
+    ``n_series`` is the number of series times methods, None if unknown.
+    """
+    groups = n_series and 2 * n_series
     by = [*keys, "method", "is_anomaly"]
     rows = detections.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, F.col(value).alias("_v"))
     bins = F.when(F.col("is_anomaly"), F.lit(anomaly_bins)).otherwise(F.lit(normal_bins))
@@ -71,7 +76,7 @@ def histogram(detections: DataFrame, keys: Sequence[str], value: str = "value",
     spans = spans.select(*by, bins.alias("_bins"), F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("_lo"),
                          F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_hi"))
     place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_bins"))
-    counted = (rows.join(spans, by).withColumn("bin", F.least(place, F.col("_bins") - 1).cast("int"))
+    counted = (attach(rows, spans, by, groups).withColumn("bin", F.least(place, F.col("_bins") - 1).cast("int"))
                .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("_count")))
     width = (F.col("_hi") - F.col("_lo")) / F.col("_bins")
     grid = spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("_bins") - 1)))
@@ -82,13 +87,16 @@ def histogram(detections: DataFrame, keys: Sequence[str], value: str = "value",
 
 
 def box_plot(detections: DataFrame, keys: Sequence[str], value: str, longest: int, n_series: int) -> DataFrame:
-    """Quartiles, whiskers and outlier count of normal and anomalous values."""
+    """Quartiles, whiskers and outlier count of normal and anomalous values.
+
+    ``longest`` bounds the rows of a series, ``n_series`` is the number of series times methods.
+    """
     by = [*keys, "method", "is_anomaly"]
     rows = detections.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, F.col(value).alias("_v"))
-    boxes = quantiles(rows, by, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, longest, n_series)
+    boxes = quantiles(rows, by, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, longest, 2 * n_series)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
-    return rows.join(boxes, by).groupBy(*by, "q1", "median", "q3").agg(
+    return attach(rows, boxes, by, 2 * n_series).groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
 

@@ -189,7 +189,7 @@ def with_residual(frame: SeriesFrame, rows: DataFrame, period: int) -> DataFrame
         F.array_sort(F.collect_list(F.struct("_phase", "_mean"))).alias("_parts"))
     packed = packed.select(*frame.keys, "rmean", "rsd", F.transform(
         "_parts", lambda p: p["_mean"] - F.col("rmean")).alias("_season"))
-    rows = attach(rows, packed, frame.keys, n_series, "left")
+    rows = attach(rows, packed, frame.keys, n_series, "left", values=period)
     return rows.withColumn("resid", F.col("_flat") - F.get("_season", F.col("_phase").cast("int")))
 
 

@@ -57,7 +57,7 @@ def _bracketed(rows: DataFrame, keys: Sequence[str], value: str, wanted: Mapping
                            F.col("_edges")[2 * j + 1].alias("hi"),
                            (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"))
                   for j, p in enumerate(wanted.values())]).alias("_brackets"))
-    marked = attach(rows.select(*keys, F.col(value).alias("_v")), brackets, keys, n_series)
+    marked = attach(rows.select(*keys, F.col(value).alias("_v")), brackets, keys, n_series, values=4 * len(wanted))
     below = marked.groupBy(*keys).agg(F.array(*[
         F.count_if(F.col("_v") < F.col("_brackets")[j]["lo"]) for j in range(len(wanted))]).alias("_below"))
     inside = marked.withColumn("_b", F.explode(F.filter(
@@ -66,7 +66,7 @@ def _bracketed(rows: DataFrame, keys: Sequence[str], value: str, wanted: Mapping
     counted = inside.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     running = (Window.partitionBy(*keys, "_b").orderBy("_v")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = attach(counted.withColumn("_upto", F.sum("_c").over(running)), below, keys, n_series)
+    ranked = attach(counted.withColumn("_upto", F.sum("_c").over(running)), below, keys, n_series, values=len(wanted))
     upto = F.col("_upto") + F.col("_below")[F.col("_b.q")]
     start, rank = upto - F.col("_c"), F.col("_b.rank")
     low, high = F.floor(rank), F.ceil(rank)

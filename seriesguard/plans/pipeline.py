@@ -56,15 +56,15 @@ def analyze(frame: SeriesFrame, methods: Sequence[str] = DEFAULT_METHODS, key: M
     if key:
         frame = restrict(frame, key)
     found = detect(frame, methods, params, window)
-    keys = list(frame.keys)
+    keys, n_groups = list(frame.keys), frame.profile.n_series * len(methods)
     summaries = report.summary(found, keys, frame.value)
     results = {
         "detections": found,
         "anomalies": anomalous(found),
         "summary": summaries,
         "summary_text": report.summary_text(summaries, keys),
-        "histogram": report.histogram(found, keys, frame.value),
-        "box_plot": report.box_plot(found, keys, frame.value, frame.profile.longest, frame.profile.n_series),
+        "histogram": report.histogram(found, keys, frame.value, n_groups),
+        "box_plot": report.box_plot(found, keys, frame.value, frame.profile.longest, n_groups),
     }
     if compare and len(methods) > 1:
         results["comparison"] = report.comparison(found, keys, frame.value)

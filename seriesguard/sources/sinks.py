@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesguard.frame import BROADCAST_ROWS
+# Counts of more series than this are not squeezed into one file.
+ONE_FILE_ROWS = 200_000
 
 
 def write_table(rows: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
@@ -29,7 +30,7 @@ def write_detections(detections: DataFrame, path: str, fmt: str = "csv",
 
 def write_counts(counts: DataFrame, path: str, n_rows: int, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Counts per series (K2): one file while they are few, else one per partition."""
-    write_table(counts.coalesce(1) if n_rows <= BROADCAST_ROWS else counts, path, fmt, mode=mode)
+    write_table(counts.coalesce(1) if n_rows <= ONE_FILE_ROWS else counts, path, fmt, mode=mode)
 
 
 def write_anomalies(detections: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
