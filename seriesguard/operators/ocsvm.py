@@ -87,7 +87,7 @@ def feature_map(x: np.ndarray, kernel: str, gamma: float = GAMMA) -> np.ndarray:
 
 
 def ocsvm_scores(frame: SeriesFrame, window: int = 10, nu: float = 0.1, kernel: str = "rbf",
-                 exact_rows: int = EXACT_ROWS) -> DataFrame:
+                 exact_rows: int = EXACT_ROWS, steps: int = STEPS) -> DataFrame:
     """Keys, position and score; rows with a score above 0 lie outside the boundary."""
     if not 0.0 < nu <= 1.0 or kernel not in KERNELS:
         raise ValueError(f"nu must be in (0, 1] and kernel one of {KERNELS}, got {nu} and {kernel}")
@@ -110,10 +110,11 @@ def ocsvm_scores(frame: SeriesFrame, window: int = 10, nu: float = 0.1, kernel:
     n_long = profile.series_longer_than(exact_rows)
     long = attach(scaled_features(frame, window), long_keys, keys, n_long)
     return short.groupBy(*keys).applyInPandas(whole, schema).unionByName(
-        _long_scores(long, keys, nu, kernel, n_long, profile.longest, schema))
+        _long_scores(long, keys, nu, kernel, steps, n_long, profile.longest, schema))
 
 
-def _long_scores(rows: DataFrame, keys: list[str], nu: float, kernel: str, n_long: int, longest: int, schema) -> DataFrame:
+def _long_scores(rows: DataFrame, keys: list[str], nu: float, kernel: str, steps: int, n_long: int,
+                 longest: int, schema) -> DataFrame:
     """Conditional-gradient fit: each step moves the model towards the mean of the ``nu`` rows it
     scores lowest. Chunks of rows return sums, never rows; the model is one vector per series."""
     rows = store(rows.withColumn("_chunk", F.expr(f"i div {CHUNK_ROWS}")))
@@ -146,10 +147,10 @@ def _long_scores(rows: DataFrame, keys: list[str], nu: float, kernel: str, n_lon
 
     sums = f"{key_types}, _sum array<double>, _count long"
     model = store(mean_of(rows.groupBy(*by).applyInPandas(first_sum, sums), "_model"))
-    for step in range(STEPS):
+    for step in range(steps):
         scored = cogrouped(rows, chunks.join(model, keys), by, score, schema)
         cuts = quantiles(scored, keys, "score", {"_cut": nu}, longest, n_long)
-        if step == STEPS - 1:
+        if step == steps - 1:
             break
         cut_model = model.join(cuts, keys)
         target = mean_of(cogrouped(rows, chunks.join(cut_model, keys), by, low_sum, sums), "_target")

@@ -51,10 +51,13 @@ def _bracketed(rows: DataFrame, keys: Sequence[str], value: str, wanted: Mapping
     sketch = rows.groupBy(*keys).agg(
         *extra, F.count(value).alias("_n"),
         F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("_edges"))
+    # below this many rows the margin is less than a few ranks, so all values are ranked
+    short = F.col("_n") <= int(4 / margin)
     brackets = sketch.select(
         *keys,
-        F.array(*[F.struct(F.lit(j).alias("q"), F.col("_edges")[2 * j].alias("lo"),
-                           F.col("_edges")[2 * j + 1].alias("hi"),
+        F.array(*[F.struct(F.lit(j).alias("q"),
+                           F.when(short, float("-inf")).otherwise(F.col("_edges")[2 * j]).alias("lo"),
+                           F.when(short, float("inf")).otherwise(F.col("_edges")[2 * j + 1]).alias("hi"),
                            (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"))
                   for j, p in enumerate(wanted.values())]).alias("_brackets"))
     marked = attach(rows.select(*keys, F.col(value).alias("_v")), brackets, keys, n_series, values=4 * len(wanted))

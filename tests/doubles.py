@@ -87,3 +87,46 @@ def cut(score, w, n, contamination=0.1):
     out = np.zeros(n, bool)
     out[w:] = score > np.percentile(score, 100 * (1 - contamination))
     return out
+
+
+def grubbs(v, alpha=0.05):
+    from seriesguard.operators.grubbs import is_extreme
+
+    out, rest = np.zeros(len(v), bool), v.copy()
+    while len(rest) > 2 and rest.std() > 0:
+        apart = np.abs(rest - rest.mean())
+        j = int(apart.argmax())
+        if not is_extreme(apart[j] / rest.std(), len(rest), alpha):
+            break
+        out[np.flatnonzero(v == rest[j])[0]] = True
+        rest = np.delete(rest, j)
+    return out
+
+
+def hbos_scores(v, w=10, bins=10):
+    x = scaled(features(v, w))
+    total = np.zeros(len(x))
+    for column in x.T:
+        density, edges = np.histogram(column, bins, density=True)
+        total -= np.log2(density[np.clip(np.digitize(column, edges) - 1, 0, bins - 1)] + 0.1)
+    return total
+
+
+def pca_scores(v, w=10):
+    x = features(v, w)
+    x = x - x.mean(axis=0)
+    axes = np.linalg.svd(x, full_matrices=False)[2][:3]
+    return ((x - x @ axes.T @ axes) ** 2).mean(axis=1)
+
+
+def neighbour_scores(v, w=10, k=5, lof=20):
+    x = scaled(features(v, w))
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(dist, np.inf)
+    m = len(x)
+    order = np.argsort(dist, axis=1, kind="stable")
+    near = np.take_along_axis(dist, order, axis=1)
+    kk = min(lof, m - 1)
+    ids, ds = order[:, :kk], near[:, :kk]
+    density = 1 / (np.maximum(ds[:, -1][ids], ds).mean(axis=1) + 1e-10)
+    return near[:, min(k, m - 1) - 1], density[ids].mean(axis=1) / density
