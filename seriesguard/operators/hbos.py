@@ -20,23 +20,29 @@ def hbos_scores(frame: SeriesFrame, window: int = 10, n_bins: int = 10) -> DataF
     """
     keys, n_series = list(frame.keys), frame.profile.n_series
     rows = stored_features(frame, window)
-    ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.expr("array(" + ", ".join(
-        f"struct(min({f}) AS lo, max({f}) AS hi, {divisor(f)} AS sd)" for f in FEATURES) + ") AS _ranges"))
-    rows = attach(rows, ranges, keys, n_series, values=3 * len(FEATURES))
+    ranges = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), *[
+        c for j, f in enumerate(FEATURES) for c in (
+            F.expr(f"min({f}) AS _lo{j}"), F.expr(f"max({f}) - min({f}) AS _span{j}"),
+            F.expr(f"{divisor(f)} AS _sd{j}"))])
+    # Non-null doubles keep the generated code of the 11 bins short enough for the JIT compiler.
+    # A constant feature puts every row in its first bin.
+    edges = ranges.select(*keys, *[c for j in range(len(FEATURES)) for c in (
+        F.expr(f"coalesce(_lo{j}, 0D) AS _lo{j}"),
+        F.expr(f"if(_span{j} > 0, _span{j}, 1D) AS _width{j}"))])
     # cell = feature number * n_bins + bin; the largest value falls into the last bin
-    cells = ", ".join(
-        f"CAST({j * n_bins} + if(_ranges[{j}].hi > _ranges[{j}].lo, least({n_bins - 1}, floor("
-        f"({f} - _ranges[{j}].lo) / (_ranges[{j}].hi - _ranges[{j}].lo) * {n_bins})), 0) AS INT)"
-        for j, f in enumerate(FEATURES))
-    binned = rows.select(*keys, "i", F.expr(f"array({cells}) AS _cells"))
+    binned = attach(rows, edges, keys, n_series).select(*keys, "i", *[F.expr(
+        f"{j * n_bins} + least({n_bins - 1}, int((coalesce({f}, 0D) - _lo{j}) / _width{j} * {n_bins})) AS _c{j}")
+        for j, f in enumerate(FEATURES)])
+    cells = ", ".join(f"_c{j}" for j in range(len(FEATURES)))
     # at most 11 * n_bins partial counts per series and task leave the map side
-    counts = (binned.select(*keys, F.explode("_cells").alias("_cell"))
+    counts = (binned.select(*keys, F.expr(f"explode(array({cells})) AS _cell"))
               .groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_count")))
     counts = counts.groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(_cell, _count))) AS _counts"))
-    width = (f"if(_ranges[cell div {n_bins}].hi > _ranges[cell div {n_bins}].lo, (_ranges[cell div {n_bins}].hi "
-             f"- _ranges[cell div {n_bins}].lo) / _ranges[cell div {n_bins}].sd, 1.0) / {n_bins}")
-    table = counts.join(ranges, keys).select(*keys, F.expr(
-        f"transform(sequence(0, {len(FEATURES) * n_bins - 1}), cell -> "
-        f"-log2(coalesce(_counts[cell], 0) / (_m * {width}) + {SMOOTHING})) AS _scores"))
-    total = " + ".join(f"_scores[_cells[{j}]]" for j in range(len(FEATURES)))
-    return attach(binned, table, keys, n_series, values=len(FEATURES) * n_bins).select(*keys, "i", F.expr(f"{total} AS score"))
+    widths = ", ".join(f"if(_span{j} > 0, _span{j} / _sd{j}, 1D) / {n_bins}" for j in range(len(FEATURES)))
+    table = counts.join(ranges.select(*keys, "_m", F.expr(f"array({widths}) AS _widths")), keys)
+    table = table.select(*keys, F.expr(
+        f"transform(sequence(0, {len(FEATURES) * n_bins - 1}), cell -> -log2(coalesce(_counts[cell], 0) "
+        f"/ (_m * _widths[cell div {n_bins}]) + {SMOOTHING})) AS _scores"))
+    total = " + ".join(f"_scores[_c{j}]" for j in range(len(FEATURES)))
+    return attach(binned, table, keys, n_series, values=len(FEATURES) * n_bins).select(
+        *keys, "i", F.expr(f"{total} AS score"))

@@ -36,17 +36,18 @@ def pca_scores(frame: SeriesFrame, window: int = 10) -> DataFrame:
     """
     keys, n_series = list(frame.keys), frame.profile.n_series
     rows = stored_features(frame, window)
-    listed = ", ".join(f"avg({f})" for f in FEATURES)
-    means = rows.groupBy(*keys).agg(F.expr(f"array({listed}) AS _means"))
-    centred = attach(rows, means, keys, n_series, values=WIDTH).select(
-        *keys, "i", *[F.expr(f"{f} - _means[{j}] AS _x{j}") for j, f in enumerate(FEATURES)])
+    # Non-null doubles keep the generated code of the wide sums short enough for the JIT compiler.
+    means = rows.groupBy(*keys).agg(*[F.expr(f"coalesce(avg({f}), 0D) AS _mean{j}") for j, f in enumerate(FEATURES)])
+    centred = attach(rows, means, keys, n_series).select(
+        *keys, "i", *[F.expr(f"coalesce({f}, 0D) - _mean{j} AS _x{j}") for j, f in enumerate(FEATURES)])
     products = ", ".join(f"sum(_x{a} * _x{b})" for a, b in PAIRS)
     axes = centred.groupBy(*keys).agg(F.expr(f"array({products}) AS _products"))
-    axes = axes.select(*keys, leading_axes("_products").alias("_axes"))
+    axes = axes.select(*keys, leading_axes("_products").alias("_axes")).select(
+        *keys, *[F.expr(f"coalesce(_axes[{j}], 0D) AS _a{j}") for j in range(WIDTH * N_COMPONENTS)])
     # coordinates on the axes, then what the axes leave unexplained of each feature
-    placed = attach(centred, axes, keys, n_series, values=WIDTH * N_COMPONENTS).select("*", *[F.expr(" + ".join(
-        f"_x{j} * _axes[{c * WIDTH + j}]" for j in range(WIDTH)) + f" AS _p{c}") for c in range(N_COMPONENTS)])
+    placed = attach(centred, axes, keys, n_series).select("*", *[F.expr(" + ".join(
+        f"_x{j} * _a{c * WIDTH + j}" for j in range(WIDTH)) + f" AS _p{c}") for c in range(N_COMPONENTS)])
     placed = placed.select(*keys, "i", *[F.expr(f"_x{j} - " + " - ".join(
-        f"_p{c} * _axes[{c * WIDTH + j}]" for c in range(N_COMPONENTS)) + f" AS _g{j}") for j in range(WIDTH)])
+        f"_p{c} * _a{c * WIDTH + j}" for c in range(N_COMPONENTS)) + f" AS _g{j}") for j in range(WIDTH)])
     squares = " + ".join(f"_g{j} * _g{j}" for j in range(WIDTH))
     return placed.select(*keys, "i", F.expr(f"({squares}) / {WIDTH} AS score"))
