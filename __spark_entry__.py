@@ -48,6 +48,11 @@ def by_type(spark: SparkSession, sf_dir: str) -> SeriesFrame:
     return series_frame(table(spark, sf_dir, "events"), TYPE_KEY, ["ts", "event_id"], "value")
 
 
+def by_type_blocks(spark: SparkSession, sf_dir: str) -> SeriesFrame:
+    """The same series cut into short blocks, as long series are by default."""
+    return series_frame(table(spark, sf_dir, "events"), TYPE_KEY, ["ts", "event_id"], "value", block_rows=500)
+
+
 def by_user(spark: SparkSession, sf_dir: str) -> SeriesFrame:
     return series_frame(table(spark, sf_dir, "events"), USER_KEY, ["ts", "event_id"], "value")
 
@@ -289,6 +294,10 @@ def q_w0(spark, sf):
     return by_supplier(spark, sf).indexed.select("l_suppkey", "l_orderkey", "l_linenumber", "i")
 
 
+def q_w0_blocks(spark, sf):
+    return by_type_blocks(spark, sf).indexed.select("event_type", "event_id", "i")
+
+
 def q_w1(spark, sf):
     rows = windows.rolling_frame(by_type(spark, sf)).drop("ts", "i")
     return rounded(rows, "rolling_mean", "rolling_std")
@@ -348,7 +357,14 @@ def q_d6_parts(spark, sf):
 
 
 def q_m0(spark, sf):
-    frame = by_type(spark, sf)
+    return features_of(by_type(spark, sf))
+
+
+def q_m0_blocks(spark, sf):
+    return features_of(by_type_blocks(spark, sf))
+
+
+def features_of(frame: SeriesFrame) -> DataFrame:
     return rounded(with_id(frame, features(frame)), *FEATURES)
 
 
@@ -455,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a1_moments": q_a1, "a2_median_mad": q_a2, "a3_fences": q_a3, "a4_resample": q_a4,
     "a4_resample_7min": q_a4_odd, "a5_counts": q_a5, "a6_cut": q_a6,
     "w0_index": q_w0, "w1_rolling": q_w1, "w2_ema": q_w2, "w3_lags": q_w3, "w4_trailing": q_w4, "w5_trend": q_w5,
+    "w0_index_blocks": q_w0_blocks,
     "j1_series_statistic": q_j1, "j2_side_by_side": q_j2, "j3_neighbour_distance": q_j3,
     "o1_sorted": q_o1, "u1_union": q_u1,
     "d1_zscore": flag_query("zscore", by_type), "d1_counts": q_d1_counts,
@@ -471,7 +488,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d7_grubbs": flag_query("grubbs", by_type), "d7_grubbs_user": flag_query("grubbs", by_user),
     "d8_ensemble_stat": flag_query("ensemble", by_type),
     "d8_ensemble_supplier": flag_query("ensemble", by_supplier),
-    "m0_features": q_m0, "m0b_scaled": q_m0b,
+    "d6_seasonal_blocks": flag_query("seasonal", by_type_blocks),
+    "d8_ensemble_blocks": flag_query("ensemble", by_type_blocks),
+    "m0_features": q_m0, "m0_features_blocks": q_m0_blocks, "m0b_scaled": q_m0b,
     "m1_isolation_forest": flag_query("isolation_forest", by_type),
     "m1_scores": score_query(iforest_scores, by_user),
     "m2_lof": flag_query("lof", by_user), "m2_scores": q_m2_scores,
@@ -770,6 +789,7 @@ CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events""",
 cu AS (SELECT l_suppkey, quantile_cont(score, 0.9) AS cut FROM ab GROUP BY 1)
 SELECT l_suppkey, l_orderkey, l_linenumber FROM ab JOIN cu USING (l_suppkey) WHERE score > cut""",
         "w0_index": f"WITH {src(L)} SELECT l_suppkey, l_orderkey, l_linenumber, i FROM src",
+        "w0_index_blocks": f"WITH {src(T)} SELECT event_type, event_id, i FROM src",
         "w1_rolling": f"WITH {src(T)},\n{rolling_sql(T)} SELECT event_type, event_id, value, round(ma, 6) AS rolling_mean, "
                       "round(msd, 6) AS rolling_std FROM roll",
         "w2_ema": f"WITH {src(T)},\n{ema_sql(T)} SELECT event_type, event_id, value, round(ema, 6) AS ema FROM src JOIN ew USING (event_type, i)",
@@ -801,6 +821,9 @@ FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)
         "d6_seasonal_short": flags_sql(U, "seasonal", seasonal_sql(U, 40, 2.0)),
         "d8_ensemble_stat": flags_sql(T, "ensemble_stat", f"{voters_sql(T)},\n{vote_sql(T)}"),
         "d8_ensemble_supplier": flags_sql(L, "ensemble_stat", f"{voters_sql(L)},\n{vote_sql(L)}"),
+        "d6_seasonal_blocks": flags_sql(T, "seasonal", seasonal_sql(T)),
+        "d8_ensemble_blocks": flags_sql(T, "ensemble_stat", f"{voters_sql(T)},\n{vote_sql(T)}"),
+        "m0_features_blocks": f"WITH {src(T)},\n{features_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM ft",
         "m0_features": f"WITH {src(T)},\n{features_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM ft",
         "m0b_scaled": f"WITH {src(T)},\n{scaled_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM sc",
         "m2_lof": flags_sql(U, "lof", f"{lof_sql(U)},\n{cut_sql(U, 'lo', 'lof')}"),

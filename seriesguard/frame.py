@@ -25,9 +25,10 @@ from seriesguard.functions.names import time_to_micros
 BROADCAST_BYTES = 32 << 20
 TEXT_BYTES = 64
 
-# Rows per block: as many as this, fewer when the data is small, so that every core has work.
+# Rows per block: fewer when the data is small, so that every core has work, but never so few
+# that cutting a series costs more than it saves.
 MAX_BLOCK_ROWS = 1 << 17
-MIN_BLOCK_ROWS = 1 << 10
+MIN_BLOCK_ROWS = 1 << 15
 
 # A time bucket holding more than this many blocks counts as hot: times are too uneven for
 # equal-width buckets and the rows are range-partitioned instead.
