@@ -10,6 +10,7 @@ import pathlib
 import sys
 import uuid
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -506,9 +507,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def pipeline_module() -> ModuleType | None:
+    """Queries of the training-data operators, where that subpackage is there."""
+    try:
+        from seriesguard.llm import queries as found
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith("seriesguard.llm"):
+            raise
+        return None
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator."""
-    return dict(QUERIES)
+    more = pipeline_module()
+    return QUERIES | (more.queries() if more else {})
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -737,7 +750,8 @@ def oracle_sql() -> dict[str, str]:
     zi = f"{zscore_sql(T)},\n{iqr_sql(T)}"
     beds = " , ".join(f"'{c}'" for c in csv.CATEGORIES)
     scores = "SELECT {key}, {ids}, round(score, 6) AS {name} FROM {table} JOIN src USING ({key}, i)"
-    return {
+    more = pipeline_module()
+    return (more.oracle_sql() if more else {}) | {
         "s1_metric_csv": metric_sql(),
         "s1_csv_file": f"SELECT cmdb_id, kpi_name, epoch, value FROM ({METRICS_SQL}) WHERE cloudbed = '{BEDS[0]}' AND category = 'service'",
         "s2_category": metric_sql(f"cloudbed = '{BEDS[1]}' AND category = 'jvm'"),
