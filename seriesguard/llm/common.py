@@ -39,9 +39,12 @@ def packed(docs: DataFrame, name: str = "row") -> DataFrame:
 
 
 def unpacked(rows: DataFrame, columns: list[str], added: dict[str, Column], name: str = "row") -> DataFrame:
-    """The rows' own columns, then the added ones, which replace own columns of the same name."""
-    own = [F.col(name).getField(c).alias(c) for c in columns if c not in added]
-    return rows.select(*own, *[value.alias(key) for key, value in added.items()])
+    """The rows' own columns, then the added ones; an added one replaces an own one of its name in its place."""
+    place = {key: f"added{i}" for i, key in enumerate(added)}
+    # two steps: an own column's name must not be taken for the struct while the added ones are made
+    rows = rows.select(F.col(name).alias("whole"), *[value.alias(place[key]) for key, value in added.items()])
+    own = [F.col(place[c]).alias(c) if c in added else F.col("whole").getField(c).alias(c) for c in columns]
+    return rows.select(*own, *[F.col(place[c]).alias(c) for c in added if c not in columns])
 
 
 def partitions(docs: DataFrame) -> int:

@@ -1,7 +1,7 @@
 """Language identification by the nearest of several centroids per language.
 
-A text's vector is the TF-IDF of its byte n-grams (one to three, lower case, white space as one blank, hashed to a fixed
-number of places), with length one. Spherical k-means gives each language several centroids; a text has the language of
+A text's vector is the TF-IDF of its byte n-grams (one to three, lower case, runs of ASCII characters other than letters
+as one blank, hashed to a fixed number of places), with length one. Spherical k-means gives each language several centroids; a text has the language of
 the centroid with the largest cosine, and is rejected if even that is farther away than nearly all texts that the
 language was learned from.
 
@@ -27,14 +27,14 @@ CENTROIDS = 4
 #: A text is rejected below the cosine that this share of a language's own rows stays below.
 REJECT_SHARE = 0.001
 ROUNDS = 12
-_BLANK = bytes(32 if b in b" \t\n\v\f\r" else b for b in range(256))
+_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _SHIFT = 32 - (PLACES.bit_length() - 1)
 
 
 def counts(text: str | None) -> np.ndarray:
     """Hashed n-gram counts of a whole text."""
     out = np.zeros(PLACES, np.float32)
-    data = np.frombuffer((" ".join((text or "").lower().split()) + " ").encode(), np.uint8)
+    data = np.frombuffer(b" ".join((text or "").lower().encode().translate(_LETTERS).split()) + b" ", np.uint8)
     for at in range(0, len(data), 1 << 18):
         b = data[at:at + (1 << 18) + 2].astype(np.uint32)
         n = min(1 << 18, len(data) - at)
