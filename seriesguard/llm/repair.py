@@ -31,10 +31,12 @@ from .tokens import encoder
 END_ID = 1
 #: Ids of a block; a longer document makes a longer block.
 BLOCK_IDS = 1 << 21
-ROUNDS = 6
+ROUNDS = 5
 #: Pairs replaced in one round, and how often a pair must occur.
-ROUND_PAIRS = 2048
+ROUND_PAIRS = 3072
 LEAST_COUNT = 16
+#: Slots in which pairs are looked up.
+SLOT_BITS = 17
 MAGIC = b"RPR1"
 HEAD = "<4sIIIIQ"  # magic, base ids, documents, rules, symbol bytes, symbols
 
@@ -51,6 +53,20 @@ def _chosen(codes: np.ndarray, room: int) -> np.ndarray:
     return np.sort(ordered[starts[often]])
 
 
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """SLOT_BITS bits of each code."""
+    if codes.dtype == np.uint64:
+        return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    """Number of the pair in each slot of the hash, -1 where there is none."""
+    out = np.full(1 << SLOT_BITS, -1, np.int16)
+    out[_hashed(pairs)] = np.arange(len(pairs))
+    return out
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
     """A block of documents with so many ids each."""
     wide = base >= (1 << 16) - 256
@@ -70,14 +86,14 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
         pairs = _chosen(codes[inner], limit - symbols)
         if not len(pairs):
             break
-        left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        left[(pairs >> shift).astype(np.int64)] = True
-        right[(pairs & (kind(1) << shift) - kind(1)).astype(np.int64)] = True
-        may = np.flatnonzero(left[seq[:-1]] & right[seq[1:]] & inner)
-        found = np.searchsorted(pairs, codes[may])
-        found[found == len(pairs)] = 0
-        hit = pairs[found] == codes[may]
-        at, rule = may[hit], found[hit]
+        slots = _slots(pairs)
+        pairs = pairs[slots[_hashed(pairs)] == np.arange(len(pairs))]  # of pairs that share a slot one waits
+        slots = _slots(pairs)
+        slot = slots[_hashed(codes)]
+        at = np.flatnonzero((slot >= 0) & inner)
+        rule = slot[at].astype(np.int64)
+        hit = pairs[rule] == codes[at]
+        at, rule = at[hit], rule[hit]
         run = np.flatnonzero(np.r_[True, np.diff(at) != 1])  # runs of overlapping matches
         keep = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0
         at, rule = at[keep], rule[keep]
@@ -180,9 +196,9 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, *, key: str
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, last in runs(texts):
-                for k, t in zip(names[first:last], texts[first:last]):
+                for k, ids in zip(names[first:last], coder.batch(texts[first:last])):
                     keys.append(k)
-                    parts.append(np.concatenate([coder.ids(t), end]))
+                    parts.append(np.concatenate([ids, end]))
                     size += len(parts[-1])
                     if size >= block_ids:
                         yield out()

@@ -2,9 +2,10 @@
 
 The ids are those of the ``tokenizers`` library for the whole text without special tokens added; the strings of special
 tokens in a text count as these. Byte-pair merging itself is done by ``tiktoken`` from the file's own vocabulary, which
-is several times faster. Two kinds of files are known: byte-level ones that keep spaces, and lower-casing ones whose
-words end with ``</w>``. For the latter a blank stands for the word end, and texts with characters beyond Latin-1 or
-with an apostrophe (contractions) go through the ``tokenizers`` library.
+is several times faster. Two kinds of files are known: byte-level ones that keep spaces, and lower-casing ones that drop
+white space and whose words end with ``</w>``. A text for the latter is cut at spaces and line feeds, where its
+pre-tokenizer cuts in every case, and each piece is encoded once; a blank stands for the word end there, and pieces with
+characters beyond Latin-1 or with an apostrophe (contractions) go through the ``tokenizers`` library.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ import numpy as np
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_END = "</w>"
 
+#: Pieces kept per Python worker; with more the store is emptied. Longer pieces are not kept.
+KEPT_PIECES = 800_000
+KEPT_CHARS = 40
+
 _UNSAFE = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|'")
-_NO_WORD = re.compile(r"[^\sa-zß-öø-ÿ0-9]+|[0-9]")
-_BLANKS = str.maketrans("\t\n\r", "   ")
+_NO_WORD = re.compile(r"[^\s\0a-zß-öø-ÿ0-9]+|[0-9]")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -49,6 +53,8 @@ class Encoder:
                 end = self.words and token.endswith(WORD_END)
                 ranks[bytes(byte_of[c] for c in (token.removesuffix(WORD_END) if end else token)) + b" " * end] = id_
         self.ends = {b: i for b, i in ranks.items()} if not self.words else {}
+        self.separator = ranks.get(b"\0 ")
+        self.known: dict[str, bytes] = {}
         self.size = 1 + max([*ranks.values(), *self.specials.values()])
         self.fast = tiktoken.Encoding("file", pat_str="[^ ]+ " if self.words else BYTE_PATTERN, mergeable_ranks=ranks,
                                       special_tokens={} if self.words else self.specials)
@@ -59,11 +65,40 @@ class Encoder:
             return np.empty(0, "<u4")
         if not self.words:
             return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
-        if _UNSAFE.search(text) or any(s in text for s in self.specials):
-            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            return np.array(found, dtype="<u4")
-        plain = _NO_WORD.sub(r" \g<0> ", text.lower()).translate(_BLANKS) + " "
-        return self.fast.encode_to_numpy(plain, disallowed_special=()).astype("<u4", copy=False)
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Unsigned 32-bit ids of each text; none for null."""
+        if not self.words:
+            return [self.ids(t) for t in texts]
+        if len(self.known) > KEPT_PIECES:
+            self.known = {}
+        known = self.known
+        cut = [[t] if t and any(s in t for s in self.specials) else t.replace("\n", " ").split(" ") if t else []
+               for t in texts]
+        new = set().union(*cut).difference(known)
+        found = self._encode_pieces(list(new)) if new else {}
+        known.update(found)
+        at = known.__getitem__
+        out = [np.frombuffer(b"".join(map(at, pieces)), "<u4") for pieces in cut]
+        for piece in found:
+            if len(piece) > KEPT_CHARS:
+                del known[piece]
+        return out
+
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        plain = [p for p in pieces if not _UNSAFE.search(p) and p not in self.specials]
+        text = _NO_WORD.sub(r" \g<0> ", " \0 ".join(plain).lower()).replace("\t", " ").replace("\r", " ") + " \0 "
+        ids = np.array(self.fast.encode_ordinary(text), "<u4")
+        ends = np.flatnonzero(ids == self.separator)
+        data = ids.tobytes()
+        starts = np.r_[0, ends[:-1] + 1] * 4
+        out = {p: data[a:b] for p, a, b in zip(plain, starts.tolist(), (ends * 4).tolist())}
+        if len(out) < len(pieces):
+            other = [p for p in pieces if p not in out]
+            for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+                out[p] = np.array(e.ids, "<u4").tobytes()
+        return out
 
     def ending_with(self, ends: tuple[bytes, ...]) -> np.ndarray:
         """For each id of a byte-level file, whether its bytes end so."""
