@@ -106,6 +106,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, *, key: str = "doc_id", te
     digits = _digits(low, high, all_.uid or 0)
     splitters = sorted(_splitters(rows, digits, total, ranges, tolerance * total / ranges)) if total else []
 
+    # both tables handed to the rows are bounded by the number of ranges, not of rows
     # ranges below a row's first digit, and the splitters that share it
     firsts = [s[0] for s in splitters]
     table = [(d, bisect.bisect_left(firsts, d), [list(s) for s in splitters[bisect.bisect_left(firsts, d):
@@ -119,7 +120,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, *, key: str = "doc_id", te
     shard = F.expr(f"part div {ranges // shards}").cast("int")
     offsets = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("shard", shard).select(
         "part", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    done = placed.join(offsets, "part").repartitionById(ranges, F.col("part").cast("int")) \
+    done = placed.join(F.broadcast(offsets), "part").repartitionById(ranges, F.col("part").cast("int")) \
         .sortWithinPartitions("k", "tie", "uid") \
         .withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     return unpacked(done, docs.columns, {"size": F.col("size"), "shard": F.col("shard"),
