@@ -33,7 +33,7 @@ MAX_SOURCES = 2000
 #: Without given weights, a source's weight is its row count to this power.
 TEMPER = 0.7
 #: Rows of one source that one window group numbers.
-BUCKET_ROWS = 1 << 14
+BUCKET_ROWS = 1 << 11
 
 SLOTS = "composition int, src string, j long, slot long, release long, deadline long"
 
