@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,9 +66,8 @@ def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep
     def run(batches):
         target = to_arrow_schema(schema)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for first, last in runs(texts):
-                new = function(texts[first:last])
+            for first, last, texts in runs(batch.column(len(keep))):
+                new = function(texts)
                 old = [batch.column(i).slice(first, last - first) for i in range(len(keep))]
                 arrays = [*old, *[pa.array(x, type=f.type) for x, f in zip(new, list(target)[len(keep):])]]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) if a.type != f.type else a
@@ -75,11 +76,12 @@ def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep
     return rows.mapInArrow(run, schema)
 
 
-def runs(texts: list[str | None], chars: int = 1 << 20):
-    """(first, last) of consecutive texts with about so many characters."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text) if text else 0
-        if size >= chars or i + 1 == len(texts):
-            yield first, i + 1
-            first, size = i + 1, 0
+def runs(texts: pa.Array, size: int = 1 << 20):
+    """(first, last, texts) of consecutive texts with about so many bytes; only these become Python strings."""
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
+    first = 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield first, last, texts.slice(first, last - first).to_pylist()
+        first = last

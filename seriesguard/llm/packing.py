@@ -143,9 +143,9 @@ def pack_sorted(rows: DataFrame, tokenizer: str, *, length: int = LENGTH) -> Dat
         packer = Packer(coder.ending_with(SENTENCE_ENDS), length, TaskContext.get().partitionId() << 40)
         end = np.array([END_ID], "<u4")
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, last in runs(texts):
-                for k, t in zip(keys[first:last], texts[first:last]):
+            keys = batch.column(0).to_pylist()
+            for first, last, texts in runs(batch.column(1)):
+                for k, t in zip(keys[first:last], texts):
                     packer.add(k, np.concatenate([coder.ids(t), end]))
                     if packer.size >= BUFFER_IDS and (found := packer.pieces(False)):
                         yield _batch(found, schema)

@@ -194,9 +194,9 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, *, key: str
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, last in runs(texts):
-                for k, ids in zip(names[first:last], coder.batch(texts[first:last])):
+            names = batch.column(0).to_pylist()
+            for first, last, texts in runs(batch.column(1)):
+                for k, ids in zip(names[first:last], coder.batch(texts)):
                     keys.append(k)
                     parts.append(np.concatenate([ids, end]))
                     size += len(parts[-1])
