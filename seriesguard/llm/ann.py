@@ -30,13 +30,15 @@ from .common import store
 CURVES = 4
 DIMENSIONS = 7
 KEY_BITS = 8  # for each dimension
-#: Vectors of a segment.
-SEGMENT_ROWS = 2048
+#: Vectors of a segment; a query gets its k best of each segment it looks at.
+SEGMENT_ROWS = 1 << 15
 #: Queries that the window is measured on, and the recall wanted there.
 SAMPLE_QUERIES = 128
 RECALL = 0.95
 #: Queries that meet a segment at once.
-QUERY_ROWS = 1024
+QUERY_ROWS = 1 << 13
+#: Scores that are held at once.
+SCORES = 1 << 22
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -148,14 +150,17 @@ def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
                     [batch.column(0), pa.array([curve] * len(v), pa.int32()), pa.array(keys), batch.column(1)],
                     names=["cid", "curve", "key", "vec"])
 
-    segments = max(1, -(-stats["n"] // segment_rows))
     on_curve = index.select("cid", "vec").mapInArrow(keyed, "cid long, curve int, key long, vec binary")
-    # a partition that spans two curves makes a segment of each
-    ranged = store(on_curve.repartitionByRange(segments * curves, "curve", "key", "cid")
-                   .withColumn("part", F.spark_partition_id()), "curves")
-    parts = ranged.select("curve", "part").distinct()
-    numbered = parts.withColumn("segment", F.row_number().over(Window.partitionBy("curve").orderBy("part")) - 1)
-    rows = store(ranged.join(F.broadcast(numbered), ["curve", "part"]).drop("part", "key"), "segments")
+    # rank along the curve: place in the sorted partition, after the rows of the partitions before
+    ranged = store(on_curve.repartitionByRange(max(1, -(-stats["n"] * curves // segment_rows)), "curve", "key", "cid")
+                   .sortWithinPartitions("curve", "key", "cid").withColumn("place", F.monotonically_increasing_id()), "curves")
+    ranged = ranged.withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    offsets = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    rank = F.col("offset") + F.col("place").bitwiseAND((1 << 33) - 1) - F.col("curve") * F.lit(stats["n"])
+    rows = ranged.join(F.broadcast(offsets), "part").select(
+        "cid", "curve", "vec", F.floor(rank / segment_rows).cast("int").alias("segment"))
     last = rows.groupBy("curve").agg(F.max("segment").alias("last"))
 
     reach = _window(index, queries, rows, k, recall)
@@ -233,7 +238,10 @@ def _meet(k: int):
                                  "score": pd.Series(dtype="f8")})
         q = np.stack([np.frombuffer(v, "<f8") for v in asks["query"]])
         v = np.stack([np.frombuffer(v, "<f8") for v in held["vec"]])
-        keep = np.nonzero(_top(q @ v.T, k + 1))
-        return pd.DataFrame({"query": asks.cid.to_numpy()[keep[0]], "cid": held.cid.to_numpy()[keep[1]],
-                             "score": _dots(q[keep[0]], v[keep[1]])})
+        step, out = max(1, SCORES // len(v)), []
+        for at in range(0, len(q), step):
+            i, j = np.nonzero(_top(q[at:at + step] @ v.T, k + 1))
+            out.append((i + at, j))
+        i, j = (np.concatenate(x) for x in zip(*out))
+        return pd.DataFrame({"query": asks.cid.to_numpy()[i], "cid": held.cid.to_numpy()[j], "score": _dots(q[i], v[j])})
     return run
