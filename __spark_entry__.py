@@ -29,7 +29,7 @@ from seriesguard.operators.ocsvm import ocsvm_scores  # noqa: E402
 from seriesguard.operators.pca import pca_scores  # noqa: E402
 from seriesguard.operators.resample import resample  # noqa: E402
 from seriesguard.operators.statistical import seasonal_parts  # noqa: E402
-from seriesguard.plans.pipeline import analyze, run_detection  # noqa: E402
+from seriesguard.plans.pipeline import analyze, run_analysis, run_detection  # noqa: E402
 from seriesguard.plans.registry import detect, detect_wide, learned_flags  # noqa: E402
 from seriesguard.sources import csv, sinks, store  # noqa: E402
 
@@ -172,7 +172,7 @@ def q_k1(spark, sf):
 def q_k2(spark, sf):
     frame, path = by_type(spark, sf), fresh_dir(spark, "counts")
     counts = report.counts(detect(frame, ["iqr"]), frame.keys)
-    sinks.write_counts(counts, path, frame.profile.n_series)
+    sinks.write_counts(counts, path)
     return spark.read.schema(counts.schema).option("header", True).csv(path)
 
 
@@ -195,7 +195,7 @@ def q_k5(spark, sf):
     frame, path = by_type(spark, sf), fresh_dir(spark, "reports")
     texts = report.summary_text(report.summary(detect(frame, ["zscore", "iqr"]), TYPE_KEY), TYPE_KEY)
     sinks.write_summary_text(texts, path, TYPE_KEY)
-    return spark.read.text(path, wholetext=True).select("event_type", "method", F.col("value").alias("report"))
+    return spark.read.schema("event_type string, report string, method string").json(path)
 
 
 def q_k6(spark, sf):
@@ -422,11 +422,32 @@ def q_r6(spark, sf):
 
 
 def q_r8(spark, sf):
-    found = detect(by_type(spark, sf), ["zscore", "iqr"])
+    found = detect_wide(by_type(spark, sf), ["zscore", "iqr"])
     rows = report.overlay(found, TYPE_KEY, "ts", "value", {"event_type": "click"}, ["zscore", "iqr"])
     return rows.select("event_id", "value", "zscore", "iqr")
 
 
+def q_r8_ties(spark, sf):
+    """Every row twice, with nothing but the time to order by."""
+    rows = table(spark, sf, "events").select("event_type", "ts", "value")
+    frame = series_frame(rows.unionAll(rows), TYPE_KEY, ["ts"], "value")
+    found = report.overlay(detect_wide(frame, ["zscore"]), TYPE_KEY, "ts", "value", {"event_type": "view"}, ["zscore"])
+    return found.select(time_to_micros(F.col("ts")).alias("us"), "value", "zscore")
+
+
+def q_e2_outputs(spark, sf):
+    """What the analysis writes, read back: figures in the reports beside the anomalies in the files."""
+    out = fresh_dir(spark, "analysis")
+    run_analysis(spark, metric_files(spark, sf), out, ["zscore", "iqr"], compare=True)
+    keys = ["cloudbed", "cmdb_id", "kpi_name", "method"]
+    texts = spark.read.schema("cloudbed string, cmdb_id string, kpi_name string, report string, method string").json(f"{out}/reports")
+    flagged = spark.read.option("header", True).csv(f"{out}/anomalies").groupBy(*keys).count()
+    figure = lambda name: F.regexp_extract("report", name + r": (\d+)", 1).cast("long")
+    return texts.join(flagged, keys, "left").select(
+        *keys, figure("Total data points").alias("total"), figure("Anomalies detected").alias("reported"),
+        F.coalesce("count", F.lit(0)).alias("in_file"))
+
+
 def q_e1(spark, sf):
     path = fresh_dir(spark, "job")
     run_detection(spark, metric_files(spark, sf), path, ["zscore", "iqr"])
@@ -501,8 +522,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m6_autoencoder": flag_query("autoencoder", by_type), "m6_scores": score_query(pca_scores, by_type),
     "m7_ensemble_ml": flag_query("ensemble_ml", by_user), "m_all_counts": q_all_learned,
     "r2_summary": q_r2, "r3_comparison": q_r3, "r3_comparison_wide": q_r3_wide, "r4_histogram": q_r4,
-    "r5_box_plot": q_r5, "r6_matrix": q_r6, "r8_overlay": q_r8,
-    "e1_detection_job": q_e1, "e2_analysis": q_e2, "e2_first_series": q_e2_first,
+    "r5_box_plot": q_r5, "r6_matrix": q_r6, "r8_overlay": q_r8, "r8_overlay_ties": q_r8_ties,
+    "e1_detection_job": q_e1, "e2_analysis": q_e2, "e2_first_series": q_e2_first, "e2_outputs": q_e2_outputs,
     "e3_many_methods": q_e3, "e5_dispatch": q_e5,
 }
 
@@ -741,7 +762,7 @@ RATE_LINES = """'Anomaly Detection Summary Report' || chr(10) || repeat('=', 50)
 || 'Method: ' || method || chr(10) || 'Total data points: ' || total || chr(10) || 'Anomalies detected: ' || hits || chr(10)
 || printf('Anomaly rate: %.2f%%', 100.0 * hits / total) || chr(10) || chr(10)
 || 'Normal values:' || chr(10) || printf('  Mean: %.4f', nm) || chr(10) || printf('  Std: %.4f', ns) || chr(10) || chr(10)
-|| 'Anomalous values:' || chr(10) || printf('  Mean: %.4f', am) || chr(10) || printf('  Std: %.4f', asd) || chr(10)"""
+|| 'Anomalous values:' || chr(10) || printf('  Mean: %.4f', am) || chr(10) || printf('  Std: %.4f', asd)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -870,6 +891,18 @@ max(CASE WHEN method = 'zscore' AND is_anomaly THEN 1 ELSE 0 END) AS zscore, max
 FROM lo_all JOIN (SELECT event_id, ts FROM events) USING (event_id) GROUP BY 1, 2""",
         "r8_overlay": f"""WITH {src(T)},\n{zi} SELECT event_id, z.value, z.flag AS zscore, q.flag AS iqr
 FROM zscore z JOIN iqr q USING (event_type, event_id) WHERE event_type = 'click'""",
+        "r8_overlay_ties": """WITH st AS (SELECT avg(value) AS m, stddev_pop(value) AS sd FROM events WHERE event_type = 'view')
+SELECT epoch_us(ts) AS us, value, sd > 0 AND abs((value - m) / sd) > 3.0 AS zscore
+FROM (SELECT * FROM events UNION ALL SELECT * FROM events), st WHERE event_type = 'view'""",
+        "e2_outputs": f"""WITH me AS ({METRICS_SQL}),
+st AS (SELECT cloudbed, cmdb_id, kpi_name, avg(value) AS m, stddev_pop(value) AS sd, quantile_cont(value, 0.25) AS q1,
+  quantile_cont(value, 0.75) AS q3 FROM me GROUP BY 1, 2, 3),
+fl AS (SELECT me.*, sd > 0 AND abs((value - m) / sd) > 3.0 AS z, value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) AS q
+  FROM me JOIN st USING (cloudbed, cmdb_id, kpi_name)),
+lo AS (SELECT cloudbed, cmdb_id, kpi_name, 'zscore' AS method, z AS is_anomaly FROM fl
+  UNION ALL SELECT cloudbed, cmdb_id, kpi_name, 'iqr', q FROM fl)
+SELECT cloudbed, cmdb_id, kpi_name, method, count(*) AS total, count(*) FILTER (WHERE is_anomaly) AS reported,
+  count(*) FILTER (WHERE is_anomaly) AS in_file FROM lo GROUP BY 1, 2, 3, 4""",
         "e1_detection_job": f"""WITH me AS ({METRICS_SQL}),
 st AS (SELECT cloudbed, cmdb_id, kpi_name, avg(value) AS m, stddev_pop(value) AS sd, quantile_cont(value, 0.25) AS q1,
   quantile_cont(value, 0.75) AS q3 FROM me GROUP BY 1, 2, 3),

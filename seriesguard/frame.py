@@ -9,6 +9,7 @@ copying the few rows next to the edge.
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -34,13 +35,13 @@ MIN_BLOCK_ROWS = 1 << 15
 # equal-width buckets and the rows are range-partitioned instead.
 HOT_BUCKET_BLOCKS = 8
 
-MAX_RANGE_PARTITIONS = 50_000
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none."""
+    """The cluster's shared folder; a temporary one only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="seriesguard-"))
         named = spark.sparkContext.getCheckpointDir()
     return named
@@ -202,7 +203,7 @@ class SeriesFrame:
         Sampling balances the partitions over keys, times, tie-breakers and, through the row
         id, even full copies. The sorted rows are written once, so counts and positions agree.
         """
-        parts = min(MAX_RANGE_PARTITIONS, max(8, math.ceil(self.profile.total / self.block)))
+        parts = max(8, math.ceil(self.profile.total / self.block))
         by = [*self.keys, *self.full_order, "_row"]
         placed = store(
             self.valid.withColumn("_row", F.monotonically_increasing_id())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-# Above this many degrees of freedom a normal approximation is exact to double precision use.
+# Above this many degrees of freedom a normal approximation is used; its relative error is below 1e-8 there.
 NORMAL_FROM = 100_000.0
 
 

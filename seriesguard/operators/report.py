@@ -109,12 +109,14 @@ def matrix(detections: DataFrame, keys: Sequence[str], time: str, methods: Seque
             .agg(F.max(F.col("is_anomaly").cast("int"))))
 
 
-def overlay(detections: DataFrame, keys: Sequence[str], time: str, value: str, key: dict,
+def overlay(wide: DataFrame, keys: Sequence[str], time: str, value: str, key: dict,
             methods: Sequence[str]) -> DataFrame:
-    """Rows of one series in time order with the flag of every method."""
+    """Rows of one series in time order with the flag of every method.
+
+    ``wide`` has one row per input row and a column per method, as ``detect_wide`` gives it, so
+    rows that are alike stay apart.
+    """
     for name, wanted in key.items():
-        detections = detections.where(F.col(name) == wanted)
-    order = [c for c in detections.columns
-             if c not in (*keys, value, "method", "is_anomaly", "anomaly_score")]
-    return (detections.groupBy(*keys, *order, value).pivot("method", list(methods))
-            .agg(F.max("is_anomaly")).orderBy(*order))
+        wide = wide.where(F.col(name) == wanted)
+    order = [c for c in wide.columns if c not in (*keys, value, *methods)]
+    return wide.select(*keys, *order, value, *methods).orderBy(*order)

@@ -78,6 +78,9 @@ def _bracketed(rows: DataFrame, keys: Sequence[str], value: str, wanted: Mapping
     share = F.first(rank - low)
     picked = ranked.groupBy(*keys, F.col("_b.q").alias("_q")).agg(
         F.when(share == 0, at_low).otherwise((1 - share) * at_low + share * at_high).alias("_x"))
+    # a rank outside its bracket would mean that the sketch broke its bound: never pass that on as "no threshold"
+    lost = F.raise_error(F.lit("a percentile lies outside the bracket of its sketch")).cast("double")
+    picked = picked.withColumn("_x", F.coalesce("_x", lost))
     wide = picked.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_q") == j, F.col("_x"))).alias(name) for j, name in enumerate(wanted)])
     plain = sketch.drop("_n", "_edges")

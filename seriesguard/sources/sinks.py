@@ -5,10 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Counts of more series than this are not squeezed into one file.
-ONE_FILE_ROWS = 200_000
 
 
 def write_table(rows: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
@@ -28,9 +24,12 @@ def write_detections(detections: DataFrame, path: str, fmt: str = "csv",
     write_table(detections, path, fmt, partition_by, mode)
 
 
-def write_counts(counts: DataFrame, path: str, n_rows: int, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Counts per series (K2): one file while they are few, else one per partition."""
-    write_table(counts.coalesce(1) if n_rows <= ONE_FILE_ROWS else counts, path, fmt, mode=mode)
+def write_counts(counts: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", one_file: bool = True) -> None:
+    """Counts per series (K2): one file, or one per partition where the caller has too many series for that.
+
+    The finished counts move to one task; they are not counted there.
+    """
+    write_table(counts.repartition(1) if one_file else counts, path, fmt, mode=mode)
 
 
 def write_anomalies(detections: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -44,6 +43,5 @@ def write_comparison(comparison: DataFrame, path: str, fmt: str = "csv", mode: s
 
 
 def write_summary_text(texts: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite") -> None:
-    """One text report per series and method (K5), in directories named by both."""
-    texts.select(*keys, "method", F.col("report").alias("value")).write.mode(mode) \
-        .partitionBy(*keys, "method").text(path)
+    """One text report per series and method (K5): a row of JSON with the series' keys, in directories by method."""
+    write_table(texts.select(*keys, "method", "report"), path, "json", ["method"], mode)

@@ -4,12 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesguard.frame import series_frame
+from seriesguard.frame import series_frame, shared_dir
 from seriesguard.operators import report, stats
 from seriesguard.operators.features import FEATURES, features
+from seriesguard.operators.resample import resample
 from seriesguard.operators.select import first_series, kpis, one_series, services
 from seriesguard.plans.pipeline import analyze, metric_frame, run_detection
-from seriesguard.plans.registry import detect, normalize
+from seriesguard.plans.registry import detect, detect_wide, normalize
 from seriesguard.sources import csv, sinks, store
 
 # The two demo series.
@@ -135,11 +136,43 @@ def test_analysis_and_reports(spark, demo, tmp_path):
     assert found["comparison"].count() == 4 and found["anomalies"].count() == 6
     grid = found["matrix"].where("cmdb_id = 'svcA'").agg(F.sum("zscore"), F.sum("iqr")).first()
     assert tuple(grid) == (1, 2)
-    overlay = report.overlay(found["detections"], demo.keys, "timestamp", "value", {"cmdb_id": "svcB"}, ["zscore", "iqr"])
+    overlay = report.overlay(detect_wide(demo, ["zscore", "iqr"]), demo.keys, "timestamp", "value", {"cmdb_id": "svcB"}, ["zscore", "iqr"])
     assert [r["value"] for r in overlay.collect()] == SVC_B
     assert {r["cmdb_id"] for r in analyze(demo, ["iqr"], key="first")["detections"].collect()} == {"svcA"}
     sinks.write_summary_text(found["summary_text"], str(tmp_path / "text"), demo.keys)
-    assert spark.read.text(str(tmp_path / "text"), wholetext=True).count() == 4
+    back = spark.read.json(str(tmp_path / "text"))
+    assert back.count() == 4 and (tmp_path / "text" / "method=zscore").exists()
+    assert back.where("cmdb_id = 'svcA' and method = 'zscore'").first()["report"] == text
+
+
+def test_far_off_time_makes_no_huge_grid(spark):
+    rows = spark.createDataFrame([("a", 0, 1.0), ("a", 1_700_000_000, 2.0), ("a", 1_700_000_001, 4.0)], "k string, s long, x double")
+    frame = series_frame(rows.withColumn("t", F.timestamp_seconds("s")).drop("s"), ["k"], ["t"], "x")
+    found = resample(frame, 1).where("t >= timestamp_seconds(1700000000)")
+    mean = frame.value
+    assert [r[mean] for r in found.orderBy("t").collect()] == [2.0, 4.0]
+    assert [r[mean] for r in resample(frame, 600_000_000).orderBy("t").collect()] == [1.0, None, 3.0]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    class Conf:
+        @staticmethod
+        def get(name, default=None):
+            return default
+
+    Elsewhere.conf = Conf
+    with pytest.raises(ValueError):
+        shared_dir(Elsewhere)
 
 
 def test_method_names_and_votes(spark):
