@@ -6,12 +6,15 @@ same values. All queries read whole tables.
 
 from __future__ import annotations
 
+import functools
+import math
 import pathlib
 import sys
 import uuid
 from collections.abc import Callable
 from types import ModuleType
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -652,7 +655,7 @@ def voters_sql(key: str) -> str:
 
 def features_sql(key: str, w: int = 10) -> str:
     ids = SOURCES[key][0]
-    return f"""ft AS (SELECT {key}, {ids}, i, value, avg(value) OVER fr AS mean, stddev_pop(value) OVER fr AS std,
+    return f"""ft AS MATERIALIZED (SELECT {key}, {ids}, i, value, avg(value) OVER fr AS mean, stddev_pop(value) OVER fr AS std,
   min(value) OVER fr AS min, max(value) OVER fr AS max, quantile_cont(value, 0.5) OVER fr AS median,
   value - lag(value, 1) OVER o AS diff, value - avg(value) OVER fr AS dev,
   lag(value, 1) OVER o AS lag1, lag(value, 2) OVER o AS lag2, lag(value, 5) OVER o AS lag5 FROM src
@@ -677,7 +680,7 @@ def hbos_sql(key: str, bins: int = 10) -> str:
     return f"""{features_sql(key)},
 up AS (SELECT {key}, i, f, x FROM (SELECT {key}, i, {", ".join(FEATURES)} FROM ft) UNPIVOT (x FOR f IN ({", ".join(FEATURES)}))),
 rg AS (SELECT {key}, f, min(x) AS lo, max(x) AS hi, {divisor_sql("x")} AS sd, count(*) AS m FROM up GROUP BY 1, 2),
-bn AS (SELECT up.*, rg.m, CASE WHEN hi > lo THEN (hi - lo) / sd ELSE 1.0 END / {bins} AS width,
+bn AS MATERIALIZED (SELECT up.*, rg.m, CASE WHEN hi > lo THEN (hi - lo) / sd ELSE 1.0 END / {bins} AS width,
   CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) ELSE 0 END AS b
   FROM up JOIN rg USING ({key}, f)),
 ct AS (SELECT {key}, f, b, count(*) AS c FROM bn GROUP BY 1, 2, 3),
@@ -758,6 +761,47 @@ m AS (SELECT event_type, CAST(floor((epoch(ts) - day) / {seconds}) AS BIGINT) AS
 SELECT event_type, CAST(day AS BIGINT) + k * {seconds} AS bin_start, round(value, 6) AS value FROM g LEFT JOIN m USING (event_type, k)"""
 
 
+def t_within(t: float, df: int) -> float:
+    """P(|T| <= t) of Student's t for whole degrees of freedom, by its finite sum of powers of a cosine."""
+    angle = math.atan(t / math.sqrt(df))
+    sine, square = math.sin(angle), math.cos(angle) ** 2
+    if df % 2 == 0:
+        k = np.arange(1, df // 2)
+        return sine * (1.0 + float(np.cumprod((2 * k - 1) / (2 * k) * square).sum()))
+    k = np.arange(1, (df - 1) // 2)
+    terms = 1.0 + float(np.cumprod(2 * k / (2 * k + 1) * square).sum()) if df > 1 else 0.0
+    return 2.0 / math.pi * (angle + sine * math.cos(angle) * terms)
+
+
+def grubbs_critical(n: int, alpha: float = 0.05) -> float:
+    low, high = 0.0, 1.0
+    while t_within(high, n - 2) < 1.0 - alpha / n:
+        high *= 2.0
+    for _ in range(50):
+        mid = (low + high) / 2.0
+        low, high = (mid, high) if t_within(mid, n - 2) < 1.0 - alpha / n else (low, mid)
+    return (n - 1) / math.sqrt(n) * math.sqrt(low * low / (n - 2 + low * low))
+
+
+@functools.cache
+def grubbs_sql(key: str, most: int = 2600) -> str:
+    """The removal loop with critical values of their own making, for series of up to ``most`` rows."""
+    ids = SOURCES[key][0]
+    values = ", ".join(f"({n}, {grubbs_critical(n)!r}::DOUBLE)" for n in range(3, most + 1))
+    return f"""WITH RECURSIVE {src(key)},
+cr(n, g) AS (VALUES {values}),
+re AS (SELECT {key}, list(value ORDER BY i) AS vs, list(i ORDER BY i) AS ps, CAST(NULL AS BIGINT) AS gone FROM src GROUP BY {key}
+  UNION ALL
+  SELECT {key}, list_concat(list_slice(vs, 1, j - 1), list_slice(vs, j + 1, len(vs))),
+    list_concat(list_slice(ps, 1, j - 1), list_slice(ps, j + 1, len(ps))), list_extract(ps, j)
+  FROM (SELECT *, list_position(ds, list_max(ds)) AS j FROM (
+    SELECT {key}, vs, ps, sd, list_transform(vs, lambda x: abs(x - m)) AS ds FROM (
+      SELECT {key}, vs, ps, list_avg(vs) AS m, list_stddev_pop(vs) AS sd FROM re WHERE len(vs) > 2)))
+  JOIN cr ON cr.n = len(vs) WHERE sd > 0 AND list_max(ds) / sd > g)
+SELECT src.{key}, {ids}, value, gone IS NOT NULL AS is_anomaly, CAST(gone IS NOT NULL AS DOUBLE) AS anomaly_score
+FROM src LEFT JOIN (SELECT {key}, gone FROM re WHERE gone IS NOT NULL) re ON src.{key} = re.{key} AND src.i = re.gone"""
+
+
 RATE_LINES = """'Anomaly Detection Summary Report' || chr(10) || repeat('=', 50) || chr(10) || chr(10)
 || 'Method: ' || method || chr(10) || 'Total data points: ' || total || chr(10) || 'Anomalies detected: ' || hits || chr(10)
 || printf('Anomaly rate: %.2f%%', 100.0 * hits / total) || chr(10) || chr(10)
@@ -865,6 +909,8 @@ FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)
         "m2_scores": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),
         "m3_knn": flags_sql(U, "knn", f"{knn_sql(U)},\n{cut_sql(U, 'kn', 'knn')}"),
         "m5_hbos": flags_sql(T, "hbos", f"{hbos_sql(T)},\n{cut_sql(T, 'hs', 'hbos')}"),
+        "d7_grubbs": grubbs_sql(T),
+        "d7_grubbs_user": grubbs_sql(U),
         "m5_scores": f"WITH {src(L)},\n{hbos_sql(L)} " + scores.format(key=L, ids="l_orderkey, l_linenumber", name="score", table="hs_raw"),
         "r2_summary": summary_sql(L, ["zscore"], zscore_sql(L)),
         "r3_comparison": summary_sql(T, ["zscore", "modified_zscore", "iqr"], f"{zi},\n{modified_zscore_sql(T)}"),
