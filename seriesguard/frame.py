@@ -154,9 +154,13 @@ class SeriesFrame:
 
     @cached_property
     def stored(self) -> SeriesFrame:
-        """The same frame with its indexed rows written once, for work in several passes."""
+        """The same frame with its indexed rows written once, for work in several passes.
+
+        Statistics read what was written too; of the source only the rows without a value are read again.
+        """
         frame = SeriesFrame(self.rows, self.keys, self.order, self.value, self.block_rows)
-        vars(frame).update(profile=self.profile, stored=frame, indexed=store(self.indexed))
+        indexed = store(self.indexed)
+        vars(frame).update(profile=self.profile, stored=frame, indexed=indexed, valid=indexed.drop("i"))
         return frame
 
     @cached_property
