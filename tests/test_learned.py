@@ -85,10 +85,29 @@ def test_boundary_is_optimal():
     assert free.min() > -1e-4 and free.max() < 1 + 1e-4
 
 
-def test_long_boundary_flags_about_nu(frame):
-    got = parts(ocsvm_scores(frame, exact_rows=500, steps=4))
+@pytest.mark.parametrize("kernel", ["rbf", "sigmoid"])
+def test_boundary_in_chunks_equals_the_one_of_a_group(frame, kernel):
+    whole, split = (parts(ocsvm_scores(frame, kernel=kernel, group_rows=rows)) for rows in (None, 50))
+    assert set(whole) == set(split)
+    for k, part in whole.items():
+        assert np.allclose(part["score"], split[k]["score"], atol=1e-5 * max(1.0, part["score"].abs().max())), k
+
+
+def test_boundary_is_smooth_where_landmarks_begin_to_stand_for_rows(spark):
+    flags = []
+    for m in (400, 402):  # the first 400 rows are alike; the landmarks are 400
+        values = np.random.default_rng(8).normal(size=430)[:m + 10]
+        table = spark.createDataFrame([("a", j, float(v)) for j, v in enumerate(values)], "k string, t long, x double")
+        part = parts(ocsvm_scores(series_frame(table, ["k"], ["t"], "x"), landmarks=400))["a"]
+        flags.append((part["score"] > 0).to_numpy()[:400])
+        assert 0.03 < flags[-1].mean() <= 0.11
+    assert (flags[0] != flags[1]).sum() <= 8
+
+
+def test_few_landmarks_flag_about_nu(frame):
+    got = parts(ocsvm_scores(frame, landmarks=120))
     assert set(got) == {"short", "mid", "long", "steps"}
-    assert 0.02 < (got["long"]["score"] > 0).mean() <= 0.11
+    assert 0.04 < (got["long"]["score"] > 0).mean() < 0.18
 
 
 def test_detection_by_learned_methods(frame, series):
