@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 #: Turns that one output string may hold.
 PART_TURNS = 256
-#: Turns numbered by one window group.
+#: Turn numbers whose rows one window group numbers.
+BUCKET_TURNS = 1 << 12
 OPEN, CLOSE = "<|", "|>\n"
 END = "<|end|>\n"
 
@@ -28,14 +29,13 @@ def turns_of(conversations: DataFrame, pair: Column, side: str) -> DataFrame:
                                 F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS) -> DataFrame:
+def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS, bucket_turns: int = BUCKET_TURNS) -> DataFrame:
     """Rows (pair_id, side, turn, role, text) with side ``chosen`` or ``rejected`` as training pairs.
 
     One row for each pair and part: ``prompt``, ``chosen`` and ``rejected`` strings, ``chosen_mask`` and
     ``rejected_mask`` (trained spans of the string, code points, end exclusive), ``prompt_turns`` of the whole pair.
     """
-    order = Window.partitionBy("pair_id", "side").orderBy("turn", "role", "text")
-    turns = turns.withColumn("at", F.row_number().over(order) - 1)
+    turns = _placed(turns, bucket_turns)
     # a position differs if its rows are not one chosen and one rejected turn with equal content
     by_place = turns.groupBy("pair_id", "at").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("role").alias("roles"),
@@ -70,6 +70,20 @@ def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS) -> DataF
                         *[mask(s).alias(f"{s}_mask") for s in ("chosen", "rejected")])
 
 
+def _placed(turns: DataFrame, bucket_turns: int) -> DataFrame:
+    """The rows with their place ``at``: numbered inside runs of turn numbers, after the rows of the runs before, so
+    that one very long conversation is the work of many tasks."""
+    first = -(1 << 62)  # null turns come before all others
+    turns = turns.withColumn("run", F.coalesce(F.expr(f"turn div {int(bucket_turns)}"), F.lit(first)))
+    run = ["pair_id", "side", "run"]
+    before = Window.partitionBy("pair_id", "side").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = turns.groupBy(*run).agg(F.count(F.lit(1)).alias("n")).select(
+        *run, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy(*run).orderBy("turn", "role", "text")
+    return turns.withColumn("at", F.row_number().over(inside) - 1).join(runs, run) \
+        .withColumn("at", F.col("at") + F.col("offset")).drop("run", "offset")
+
+
 def regenerated_pairs(conversations: DataFrame) -> DataFrame:
     """Turn rows of pairs made from single conversations: the rejected side of a conversation is the conversation
     with its last assistant turn replaced by that of the conversation with the next id (none: by an empty text).
@@ -82,7 +96,7 @@ def regenerated_pairs(conversations: DataFrame) -> DataFrame:
         .where("conv_id is not null")
     last = rows.where("role = 'assistant'").groupBy("conv_id").agg(
         F.max(F.struct("turn", "text")).alias("last"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("other"))
+    other = last.select(F.try_subtract("conv_id", F.lit(1)).cast("long").alias("conv_id"), F.col("last.text").alias("other"))
     swap = last.select("conv_id", F.col("last.turn").alias("last_turn"), F.col("last.text").alias("last_text")) \
         .join(other, "conv_id", "left")
     both = rows.join(swap, "conv_id").withColumn("sides", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))))

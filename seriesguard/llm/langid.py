@@ -89,7 +89,7 @@ def _fit_language(idf: np.ndarray, k: int, reject: float):
 
 
 def fit(rows: DataFrame, *, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, reject: float = REJECT_SHARE) -> Model:
-    """Learn from (text, lang) rows: of each language the ``fit_rows`` with the smallest hash, whole texts."""
+    """Learn from (text, lang) rows: of each language at most ``fit_rows`` different texts, chosen by hash, whole."""
     labelled = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")) \
         .select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"))
     sizes = labelled.groupBy("lang").count().collect()  # one row for each language
@@ -98,6 +98,8 @@ def fit(rows: DataFrame, *, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS
         return Model(np.ones(PLACES, np.float32), np.zeros((0, PLACES), np.float32), [], np.zeros(0))
     limits = F.create_map(*[F.lit(x) for s, v in share.items() for x in (s, int(v * (1 << 20)))])
     sample = labelled.where(F.pmod("h", F.lit(1 << 20)) < limits[F.col("lang")])
+    # copies of a text count once, so that a large group of them neither fills the sample nor meets in one task
+    sample = sample.dropDuplicates(["lang", "h"])
     of_lang = F.row_number().over(_by_hash())
     sample = sample.withColumn("n", of_lang).where(F.col("n") <= fit_rows).drop("n")
 

@@ -37,7 +37,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [r.kind for r in secrets.BASE]
-    count = lambda kind: F.coalesce(F.size(F.col("findings")[kind]), F.lit(0)).cast("long").alias(f"n_{kind}")
+    spans = lambda kind: F.coalesce(F.col("findings")[kind], F.array().cast(secrets.FOUND))
+    count = lambda kind: F.size(spans(kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in base],
                         F.sha2(secrets.listed(F.col("findings"), base), 256).alias("base_sha256"),
                         secrets.listed(F.col("findings"), [r.kind for r in secrets.RULES]).alias("spans"))

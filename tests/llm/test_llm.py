@@ -118,6 +118,14 @@ def test_language_counts_match_plain():
     assert langid.counts(long).sum() == 3 * len(data) - 3
 
 
+def test_many_copies_do_not_crowd_out_a_language(spark):
+    rows = [(f"the cat number {i} sat on the mat and looked at the dog", "en") for i in range(40)] + \
+           [(f"der hund nummer {i} liegt auf dem sofa und sieht die katze", "de") for i in range(40)] + [("jawohl", "de")] * 400
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    found = langid.predict(table, langid.fit(table, fit_rows=400)).join(table, F.col("key") == F.col("doc_id"))
+    assert found.where("lang <> lang_pred").count() == 0
+
+
 def test_language_awkward(spark):
     table = awkward(spark)
     model = langid.fit(table)
@@ -411,10 +419,10 @@ def test_preference_pairs(spark):
                 other = last.get(c + 1)
                 rejected = [(t[0], t[1], other[2] if other else "") if t == last[c] else t for t in v]
                 want[c] = plain_pair(sorted(v), sorted(rejected))
-        for part_turns in (256,):
+        for bucket_turns in (256, 1):
             got = {r.pair_id: (r.prompt_turns, r.prompt, r.chosen, [tuple(s) for s in r.chosen_mask], r.rejected,
                                [tuple(s) for s in r.rejected_mask])
-                   for r in chat.preference_pairs(chat.regenerated_pairs(table), part_turns=part_turns).collect()}
+                   for r in chat.preference_pairs(chat.regenerated_pairs(table), bucket_turns=bucket_turns).collect()}
             assert got == want
 
 
