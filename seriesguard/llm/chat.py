@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import store
+
 #: Turns that one output string may hold.
 PART_TURNS = 256
-#: Turn numbers whose rows one window group numbers.
-BUCKET_TURNS = 1 << 12
+#: Turns of one side of a pair that one window group numbers.
+GROUP_TURNS = 1 << 16
 OPEN, CLOSE = "<|", "|>\n"
 END = "<|end|>\n"
 
@@ -29,13 +31,13 @@ def turns_of(conversations: DataFrame, pair: Column, side: str) -> DataFrame:
                                 F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS, bucket_turns: int = BUCKET_TURNS) -> DataFrame:
+def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS, group_turns: int = GROUP_TURNS) -> DataFrame:
     """Rows (pair_id, side, turn, role, text) with side ``chosen`` or ``rejected`` as training pairs.
 
     One row for each pair and part: ``prompt``, ``chosen`` and ``rejected`` strings, ``chosen_mask`` and
     ``rejected_mask`` (trained spans of the string, code points, end exclusive), ``prompt_turns`` of the whole pair.
     """
-    turns = _placed(turns, bucket_turns)
+    turns = _placed(turns, group_turns)
     # a position differs if its rows are not one chosen and one rejected turn with equal content
     by_place = turns.groupBy("pair_id", "at").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("role").alias("roles"),
@@ -70,17 +72,24 @@ def preference_pairs(turns: DataFrame, *, part_turns: int = PART_TURNS, bucket_t
                         *[mask(s).alias(f"{s}_mask") for s in ("chosen", "rejected")])
 
 
-def _placed(turns: DataFrame, bucket_turns: int) -> DataFrame:
-    """The rows with their place ``at``: numbered inside runs of turn numbers, after the rows of the runs before, so
-    that one very long conversation is the work of many tasks."""
-    first = -(1 << 62)  # null turns come before all others
-    turns = turns.withColumn("run", F.coalesce(F.expr(f"turn div {int(bucket_turns)}"), F.lit(first)))
+def _placed(turns: DataFrame, group_turns: int) -> DataFrame:
+    """The rows with their place ``at``. Sides with more turns than a group holds are numbered inside runs of turn
+    numbers, after the rows of the runs before, so that one very long conversation is the work of many tasks."""
+    sizes = turns.groupBy("pair_id", "side").agg(F.count(F.lit(1)).alias("n"), F.min("turn").alias("low"),
+                                                 F.max("turn").alias("high"))
+    long = store(sizes.where(F.col("n") > group_turns).select("pair_id", "side", "low", (
+        (F.col("high").cast("double") - F.col("low")) * group_turns / F.col("n") + 1).alias("step")), "long")
+    order = ["turn", "role", "text"]
+    if long.isEmpty():
+        return turns.withColumn("at", F.row_number().over(Window.partitionBy("pair_id", "side").orderBy(*order)) - 1)
+    span = F.floor((F.col("turn").cast("double") - F.col("low")) / F.col("step"))
+    turns = turns.join(long, ["pair_id", "side"], "left") \
+        .withColumn("run", F.coalesce(span, F.lit(-1))).drop("low", "step")  # null turns come before all others
     run = ["pair_id", "side", "run"]
     before = Window.partitionBy("pair_id", "side").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = turns.groupBy(*run).agg(F.count(F.lit(1)).alias("n")).select(
         *run, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy(*run).orderBy("turn", "role", "text")
-    return turns.withColumn("at", F.row_number().over(inside) - 1).join(runs, run) \
+    return turns.withColumn("at", F.row_number().over(Window.partitionBy(*run).orderBy(*order)) - 1).join(runs, run) \
         .withColumn("at", F.col("at") + F.col("offset")).drop("run", "offset")
 
 

@@ -419,10 +419,10 @@ def test_preference_pairs(spark):
                 other = last.get(c + 1)
                 rejected = [(t[0], t[1], other[2] if other else "") if t == last[c] else t for t in v]
                 want[c] = plain_pair(sorted(v), sorted(rejected))
-        for bucket_turns in (256, 1):
+        for group_turns in (256, 1):
             got = {r.pair_id: (r.prompt_turns, r.prompt, r.chosen, [tuple(s) for s in r.chosen_mask], r.rejected,
                                [tuple(s) for s in r.rejected_mask])
-                   for r in chat.preference_pairs(chat.regenerated_pairs(table), bucket_turns=bucket_turns).collect()}
+                   for r in chat.preference_pairs(chat.regenerated_pairs(table), group_turns=group_turns).collect()}
             assert got == want
 
 
