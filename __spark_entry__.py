@@ -132,6 +132,18 @@ def q_s1(spark, sf):
     return metric_output(csv.read_metrics(spark, metric_files(spark, sf), categories=None))
 
 
+def q_s1_bad_rows(spark, sf):
+    """Counts over files in which every tenth value and every tenth time is no number."""
+    root = fresh_dir(spark, "bad-rows")
+    at = F.col("event_id") % 10
+    rows = metrics(spark, sf).withColumns({
+        "timestamp": F.when(at == 1, "bad").otherwise(time_to_seconds(F.col("timestamp")).cast("string")),
+        "value": F.when(at == 0, "oops").otherwise(F.col("value").cast("string"))})
+    for bed, (name, layout) in enumerate(zip(BEDS, LAYOUTS)):
+        sinks.write_table(rows.where(F.col("user_id") % 2 == bed).select(*layout), f"{root}/{name}/metric/service", "csv")
+    return csv.count_bad_rows(spark, root)
+
+
 def q_s1_file(spark, sf):
     rows = csv.load_csv_file(spark, f"{metric_files(spark, sf)}/{BEDS[0]}/metric/service")
     return rows.select("cmdb_id", "kpi_name", time_to_seconds(F.col("timestamp")).alias("epoch"), "value")
@@ -487,7 +499,7 @@ def q_all_learned(spark, sf):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "s1_metric_csv": q_s1, "s1_csv_file": q_s1_file, "s2_category": q_s2, "s3_cloudbed": q_s3,
+    "s1_metric_csv": q_s1, "s1_csv_file": q_s1_file, "s1_bad_rows": q_s1_bad_rows, "s2_category": q_s2, "s3_cloudbed": q_s3,
     "s4_all_cloudbeds": q_s4, "s5_job_input": q_s5, "s6_range_read": q_s6, "s7_series_rows": q_s7,
     "k1_detections_csv": q_k1, "k2_counts_csv": q_k2, "k3_anomalies_csv": q_k3, "k4_comparison_csv": q_k4,
     "k5_summary_text": q_k5, "k6_store_write": q_k6, "k7_store_ingest": q_k7,
@@ -819,6 +831,9 @@ def oracle_sql() -> dict[str, str]:
     return (more.oracle_sql() if more else {}) | {
         "s1_metric_csv": metric_sql(),
         "s1_csv_file": f"SELECT cmdb_id, kpi_name, epoch, value FROM ({METRICS_SQL}) WHERE cloudbed = '{BEDS[0]}' AND category = 'service'",
+        "s1_bad_rows": f"""SELECT cloudbed, 'service' AS category, count(*) AS total,
+count_if(event_id % 10 = 1) AS without_time, count_if(event_id % 10 = 0) AS without_value
+FROM (SELECT event_id, CASE user_id % 2 WHEN 0 THEN '{BEDS[0]}' ELSE '{BEDS[1]}' END AS cloudbed FROM events) GROUP BY 1""",
         "s2_category": metric_sql(f"cloudbed = '{BEDS[1]}' AND category = 'jvm'"),
         "s3_cloudbed": metric_sql(f"cloudbed = '{BEDS[0]}' AND category IN ({beds})"),
         "s4_all_cloudbeds": metric_sql(f"category IN ({beds})"),

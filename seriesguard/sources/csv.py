@@ -1,19 +1,20 @@
 """Metric CSV files under ``<root>/<cloudbed>/metric/<category>/*.csv``.
 
-Columns are matched by name in every file. Spark's CSV reader matches by position, so files are
-grouped by their header line and each group is read with its own schema.
+Columns are matched by name in every file. Spark's CSV reader matches by position, so one pass over the
+lines finds the header of each file, and the rows are then parsed with the positions their own file's header
+states. Paths and headers stay in a table; the driver sees counts only.
 """
 
 from __future__ import annotations
 
 import logging
-from collections import defaultdict
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from seriesguard.frame import BROADCAST_BYTES, store
 from seriesguard.functions.names import seconds_to_time
 
 logger = logging.getLogger(__name__)
@@ -24,9 +25,8 @@ CATEGORIES = ("container", "istio", "jvm", "node", "service")
 
 KEYS = ("cloudbed", "cmdb_id", "kpi_name")
 SCHEMA = "cloudbed string, category string, cmdb_id string, kpi_name string, timestamp timestamp, value double"
-TYPES = {"timestamp": T.DoubleType(), "value": T.DoubleType()}
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 PLACE = r"([^/]+)/metric/([^/]+)/[^/]+\.csv$"
-MAX_LAYOUTS = 1_000
 
 
 def file_path() -> Column:
@@ -38,48 +38,40 @@ def read_metrics(spark: SparkSession, root: str, cloudbed: str | None = None,
                  name_contains: str | None = None, date_pattern: str | None = None,
                  categories: Sequence[str] | None = CATEGORIES, strict: bool = False,
                  header: str | None = None) -> DataFrame:
-    """All metric rows below ``root`` with their cloudbed and category.
+    """All metric rows below ``root`` with their cloudbed and category; rows whose time is no number are left out.
 
     ``cloudbed`` picks one directory by exact name; ``name_contains`` and ``date_pattern`` are
     substrings of the directory name; ``categories`` None means any. Files lacking a needed
     column are left out with a warning, or raise when ``strict``. ``header`` states one header
     line all files share and saves the pass that looks for headers.
     """
-    bed, category = F.regexp_extract(file_path(), PLACE, 1), F.regexp_extract(file_path(), PLACE, 2)
-    wanted = bed != ""
-    if cloudbed is not None:
-        wanted = wanted & (bed == cloudbed)
-    for part in (name_contains, date_pattern):
-        if part:
-            wanted = wanted & F.contains(bed, F.lit(part))
-    if categories is not None:
-        wanted = wanted & category.isin(list(categories))
-    groups = ({tuple(_names(header)): None} if header else _files_by_header(spark, [root], wanted, strict))
-    parts = []
-    for names, paths in groups.items():
-        rows = _read(spark, [root] if paths is None else paths, names)
-        parts.append(rows.where(wanted).select(
-            bed.alias("cloudbed"), category.alias("category"), "cmdb_id", "kpi_name",
-            seconds_to_time(F.col("timestamp")).alias("timestamp"), "value"))
-    return _union(spark, parts, SCHEMA)
+    rows = _rows(spark, root, _wanted(cloudbed, name_contains, date_pattern, categories), strict, header)
+    return rows.where("timestamp is not null").select(*NAMES)
+
+
+def count_bad_rows(spark: SparkSession, root: str, categories: Sequence[str] | None = None,
+                   header: str | None = None) -> DataFrame:
+    """Per cloudbed and category: all rows, rows left out as their time is no number, and rows whose value is none."""
+    rows = _rows(spark, root, _wanted(categories=categories), False, header)
+    return rows.groupBy("cloudbed", "category").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("timestamp").isNull()).alias("without_time"),
+        F.count_if(F.col("timestamp").isNotNull() & F.col("value").isNull()).alias("without_value"))
 
 
 def load_csv_file(spark: SparkSession, path: str) -> DataFrame:
     """One file (or several by glob), columns by name; empty if a needed column is missing."""
-    parts = [_read(spark, paths, names).select(
-        seconds_to_time(F.col("timestamp")).alias("timestamp"), "cmdb_id", "kpi_name", "value")
-        for names, paths in _files_by_header(spark, [path], F.lit(True), False).items()]
-    return _union(spark, parts, "timestamp timestamp, cmdb_id string, kpi_name string, value double")
+    return _rows(spark, path, F.lit(True), False).where("timestamp is not null") \
+        .select("timestamp", "cmdb_id", "kpi_name", "value")
 
 
 def load_metric_category(spark: SparkSession, cloudbed_dir: str, category: str) -> DataFrame:
     """All files of one category of a cloudbed directory."""
-    return read_metrics(spark, cloudbed_dir, categories=[category])
+    return read_metrics(spark, f"{cloudbed_dir}/metric/{_literal(category)}", categories=[category])
 
 
 def load_cloudbed(spark: SparkSession, root: str, name: str, date_pattern: str | None = None) -> DataFrame:
     """One cloudbed by exact name, the known categories only."""
-    return read_metrics(spark, root, cloudbed=name, date_pattern=date_pattern)
+    return read_metrics(spark, f"{root}/{_literal(name)}", cloudbed=name, date_pattern=date_pattern)
 
 
 def load_all_cloudbeds(spark: SparkSession, root: str, date_pattern: str | None = None) -> DataFrame:
@@ -100,48 +92,71 @@ def require_columns(rows: DataFrame, columns: Sequence[str] = COLUMNS) -> DataFr
 
 
 def _names(line: str) -> list[str]:
-    return [name.strip().strip('"') for name in line.lstrip("﻿").split(",")]
+    return [name.strip().strip('"') for name in line.lstrip("\ufeff").split(",")]
+
 
+def _literal(name: str) -> str:
+    """A directory name in which no character is taken for a pattern."""
+    return "".join(f"\\{c}" if c in "\\*?[]{}^" else c for c in name)
 
-def _files_by_header(spark: SparkSession, paths: list[str], wanted: Column,
-                     strict: bool) -> dict[tuple[str, ...], list[str]]:
-    """File paths grouped by column names. The driver sees paths, which it lists anyway."""
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(paths)
-             .where(wanted))
-    names = F.transform(F.split("value", ","), lambda n: F.btrim(n, F.lit(' "﻿')))
+
+def _wanted(cloudbed: str | None = None, name_contains: str | None = None, date_pattern: str | None = None,
+            categories: Sequence[str] | None = None) -> Column:
+    bed, category = F.regexp_extract(file_path(), PLACE, 1), F.regexp_extract(file_path(), PLACE, 2)
+    wanted = bed != ""
+    if cloudbed is not None:
+        wanted = wanted & (bed == cloudbed)
+    for part in (name_contains, date_pattern):
+        if part:
+            wanted = wanted & F.contains(bed, F.lit(part))
+    return wanted if categories is None else wanted & category.isin(list(categories))
+
+
+def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header: str | None = None) -> DataFrame:
+    """Every row with the columns of SCHEMA; time and value are null where they are no numbers."""
+    try:
+        lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+                 .where(wanted & (F.trim("value") != "")).select("value", file_path().alias("path")))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMA)
+    if header:
+        names = _names(header)
+        found, width = lines.withColumn("header", F.lit(header)), len(names)
+        places = {c: F.lit(names.index(c)) for c in COLUMNS}
+    else:
+        headers, size, width = _headers(lines, strict)
+        if not width:
+            return spark.createDataFrame([], SCHEMA)
+        found = lines.join(F.broadcast(headers) if size <= BROADCAST_BYTES else headers, "path")
+        places = {c: F.array_position("names", c).cast("int") - 1 for c in COLUMNS}
+    found = found.where("value <> header")
+    cells = F.from_csv("value", ", ".join(f"c{j} string" for j in range(width)))
+    parsed = found.withColumn("cells", F.array(*[cells[f"c{j}"] for j in range(width)]))
+    cell = {c: F.get("cells", place) for c, place in places.items()}
+    return parsed.select(
+        F.regexp_extract("path", PLACE, 1).alias("cloudbed"), F.regexp_extract("path", PLACE, 2).alias("category"),
+        cell["cmdb_id"].alias("cmdb_id"), cell["kpi_name"].alias("kpi_name"),
+        seconds_to_time(cell["timestamp"].try_cast("double")).alias("timestamp"),
+        cell["value"].try_cast("double").alias("value"))
+
+
+def _headers(lines: DataFrame, strict: bool) -> tuple[DataFrame, int, int]:
+    """(path, header, names) of the files that have all columns, the table's bytes, and the most columns of a file."""
+    names = F.transform(F.split("value", ","), lambda n: F.btrim(n, F.lit(' "\ufeff')))
     is_header = F.array_size(F.array_intersect(names, F.array(*[F.lit(c) for c in COLUMNS]))) == len(COLUMNS)
-    files = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.max(F.when(is_header, F.col("value"))).alias("header"))
-    groups, without = defaultdict(list), []
-    for row in files.select(file_path_of("path").alias("path"), "header").toLocalIterator():
-        if row["header"] is None:
-            without.append(row["path"])
-        else:
-            groups[tuple(_names(row["header"]))].append(row["path"])
-    if without:
-        message = f"{len(without)} files lack one of the columns {', '.join(COLUMNS)}: {sorted(without)[:5]}"
+    files = store(lines.groupBy("path").agg(F.max(F.when(is_header, F.struct(
+        F.col("value").alias("header"), names.alias("names")))).alias("h")).select("path", "h.header", "h.names"))
+    lacking = F.col("header").isNull()
+    seen = files.agg(
+        F.count_if(lacking).alias("without"),
+        F.coalesce(F.sum(F.length("path") + 3 * F.length("header")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.size("names")), F.lit(0)).alias("width")).first()
+    if seen["without"]:
+        some = [r["path"] for r in files.where(lacking).orderBy("path").limit(5).collect()]
+        message = f"{seen['without']} files lack one of the columns {', '.join(COLUMNS)}: {some}"
         if strict:
             raise ValueError(message)
         logger.warning(message)
-    if len(groups) > MAX_LAYOUTS:
-        raise ValueError(f"{len(groups)} different headers; expected at most {MAX_LAYOUTS}")
-    return groups
-
-
-def file_path_of(column: str) -> Column:
-    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
-
-
-def _read(spark: SparkSession, paths: list[str], names: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(n, TYPES.get(n, T.StringType())) for n in names])
-    return (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv").csv(paths))
-
-
-def _union(spark: SparkSession, parts: list[DataFrame], schema: str) -> DataFrame:
-    if not parts:
-        return spark.createDataFrame([], schema)
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    return rows
+    return files.where(~lacking), seen["bytes"], max(0, seen["width"])

@@ -69,6 +69,17 @@ def test_files_without_a_needed_column(spark, tmp_path):
         csv.require_columns(spark.range(1))
 
 
+def test_rows_that_are_no_numbers(spark, tmp_path):
+    folder = tmp_path / "cloudbed[9]" / "metric" / "node"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text('\ufefftimestamp,"value",cmdb_id,kpi_name\r\n1,oops,"a, b",k\r\nbad,2,a,k\r\n\r\n3\r\n4,5,a,k,more\r\n')
+    (folder / "b.csv").write_text("value,kpi_name,cmdb_id,timestamp\n")
+    rows = csv.load_cloudbed(spark, str(tmp_path), "cloudbed[9]").orderBy("timestamp").collect()
+    assert [(r["timestamp"].timestamp(), r["cmdb_id"], r["value"]) for r in rows] == [(1, "a, b", None), (3, None, None), (4, "a", 5)]
+    assert tuple(csv.count_bad_rows(spark, str(tmp_path)).first()) == ("cloudbed[9]", "node", 4, 1, 2)
+    assert csv.load_cloudbed(spark, str(tmp_path), "nowhere").count() == 0
+
+
 def test_golden_flags(demo):
     spikes = {1_703_551_500, 1_703_553_300}
     expected = {"zscore": {1_703_553_300}, "modified_zscore": spikes, "iqr": spikes, "moving_average": set(),
