@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesguard.functions.names import clean_name, millis_to_time, time_to_millis, time_to_seconds
+from seriesguard.functions.names import clean_name, millis_to_time, time_to_millis
 from seriesguard.sources.csv import load_cloudbed
 
-# Rows of one series that go into one file; longer series are written by several tasks.
-FILE_ROWS = 5_000_000
-
 
 def write_store(rows: DataFrame, path: str, device: str = "cmdb_id", measurement: str = "kpi_name",
                 time: str = "timestamp", value: str = "value", mode: str = "overwrite") -> None:
@@ -26,11 +23,8 @@ def write_store(rows: DataFrame, path: str, device: str = "cmdb_id", measurement
     named = last.select(
         millis_to_time(F.col("_ms")).alias("timestamp"), "value", "device_name", "measurement_name",
         clean_name(F.col("device_name")).alias("device"), clean_name(F.col("measurement_name")).alias("measurement"))
-    per_series = raw.groupBy("device_name", "measurement_name").agg(F.count(F.lit(1)).alias("n"))
-    longest = per_series.agg(F.max("n")).first()[0] or 0
-    slices = -(-longest // FILE_ROWS) or 1
-    day = F.floor(time_to_seconds(F.col("timestamp")) / 86_400)
-    spread = named.repartition("device", "measurement", *([F.pmod(day, F.lit(slices))] if slices > 1 else []))
+    # ranges of equal size: a long series, or a crowded day of one, is cut into several files by time
+    spread = named.repartitionByRange("device", "measurement", "timestamp")
     (spread.sortWithinPartitions("device", "measurement", "timestamp")
      .write.mode(mode).partitionBy("device", "measurement").parquet(path))
 
