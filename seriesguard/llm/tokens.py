@@ -5,7 +5,8 @@ tokens in a text count as these. Byte-pair merging itself is done by ``tiktoken`
 is several times faster. Two kinds of files are known: byte-level ones that keep spaces, and lower-casing ones that drop
 white space and whose words end with ``</w>``. A text for the latter is cut at spaces and line feeds, where its
 pre-tokenizer cuts in every case, and each piece is encoded once; a blank stands for the word end there, and pieces with
-characters beyond Latin-1 or with an apostrophe (contractions) go through the ``tokenizers`` library.
+characters beyond Latin-1, an apostrophe (contractions) or a special token's string (these texts are not cut) go through
+the ``tokenizers`` library.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ class Encoder:
         return out
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        plain = [p for p in pieces if not _UNSAFE.search(p) and p not in self.specials]
+        plain = [p for p in pieces if not _UNSAFE.search(p) and not any(s in p for s in self.specials)]
         text = _NO_WORD.sub(r" \g<0> ", " \0 ".join(plain).lower()).replace("\t", " ").replace("\r", " ") + " \0 "
         ids = np.array(self.fast.encode_ordinary(text), "<u4")
         ends = np.flatnonzero(ids == self.separator)

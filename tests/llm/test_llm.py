@@ -497,6 +497,15 @@ def test_ids_equal_the_library():
             assert coder.ids(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_strings_in_plain_texts():
+    coder = encoder(queries.tokenizer_path("word_bpe_49k.json"))
+    texts = ["alpha <|endoftext|> beta", "alpha\n<|endoftext|>\nbeta gamma", "<|startoftext|>hi\nyou", "a<|endoftext|>b",
+             "one\ntwo", "<|endoftext|>", "<|endoftext", "<|EndOfText|>\nx"]
+    for text, ids in zip(texts, coder.batch(texts)):
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert coder.ids(texts[0]).tolist() == [8624, 49407, 9505]
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(4)
     for base in (500, 49408, 70000):
