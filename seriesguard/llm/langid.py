@@ -10,6 +10,7 @@ Defined results: null text and text without a letter give ``und`` and score 0; w
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,20 +89,28 @@ def _fit_language(idf: np.ndarray, k: int, reject: float):
     return run
 
 
-def fit(rows: DataFrame, *, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, reject: float = REJECT_SHARE) -> Model:
-    """Learn from (text, lang) rows: of each language at most ``fit_rows`` different texts, chosen by hash, whole."""
+def _sample(rows: DataFrame, fit_rows: int) -> DataFrame | None:
+    """The first ``fit_rows`` different texts of each language by hash, or all it has; none without a labelled row."""
     labelled = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")) \
         .select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"))
-    sizes = labelled.groupBy("lang").count().collect()  # one row for each language
-    share = {r["lang"]: min(1.0, 1.2 * fit_rows / r["count"]) for r in sizes}
-    if not share:
-        return Model(np.ones(PLACES, np.float32), np.zeros((0, PLACES), np.float32), [], np.zeros(0))
-    limits = F.create_map(*[F.lit(x) for s, v in share.items() for x in (s, int(v * (1 << 20)))])
-    sample = labelled.where(F.pmod("h", F.lit(1 << 20)) < limits[F.col("lang")])
+    # different texts, as copies would take the share of the others; one row for each language
+    sizes = labelled.select("lang", "h").distinct().groupBy("lang").count().collect()
+    if not sizes:
+        return None
+    # hashes below the limit hold the first fit_rows: eight standard deviations more are expected there
+    expected = fit_rows + 8 * math.sqrt(fit_rows) + 32
+    limit = {r["lang"]: min((1 << 63) - 1, math.ceil(expected / r["count"] * (1 << 64)) - (1 << 63)) for r in sizes}
+    limits = F.create_map(*[x for s, v in limit.items() for x in (F.lit(s), F.lit(v).cast("long"))])
     # copies of a text count once, so that a large group of them neither fills the sample nor meets in one task
-    sample = sample.dropDuplicates(["lang", "h"])
-    of_lang = F.row_number().over(_by_hash())
-    sample = sample.withColumn("n", of_lang).where(F.col("n") <= fit_rows).drop("n")
+    sample = labelled.where(F.col("h") <= limits[F.col("lang")]).dropDuplicates(["lang", "h"])
+    return sample.withColumn("n", F.row_number().over(_by_hash())).where(F.col("n") <= fit_rows).drop("n")
+
+
+def fit(rows: DataFrame, *, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, reject: float = REJECT_SHARE) -> Model:
+    """Learn from (text, lang) rows: of each language at most ``fit_rows`` different texts, chosen by hash, whole."""
+    sample = _sample(rows, fit_rows)
+    if sample is None:
+        return Model(np.ones(PLACES, np.float32), np.zeros((0, PLACES), np.float32), [], np.zeros(0))
 
     def frequency(batches):
         total, n = np.zeros(PLACES), 0

@@ -126,6 +126,18 @@ def test_many_copies_do_not_crowd_out_a_language(spark):
     assert found.where("lang <> lang_pred").count() == 0
 
 
+def test_few_texts_in_many_copies_stay_in_the_model(spark):
+    # of 8 languages 2,000 rows of 12 texts, of one 3,000 rows of 40 texts, nearly all of them one
+    rows = [(f"{lang}{'abcdefghijkl'[i % 12]} word", f"l{lang}") for lang in "qrstuvwx" for i in range(2000)]
+    rows += [(f"text {'abcdefghij'[max(0, i - 2960) % 10]}{'klmn'[max(0, i - 2960) // 10]}", "m") for i in range(3000)]
+    table = spark.createDataFrame(rows, "text string, lang string")
+    assert set(langid.fit(table, fit_rows=10).languages) == {lang for _, lang in rows}
+    found = langid._sample(table, 10).groupBy("lang").agg(F.count("*"), F.countDistinct("text")).collect()
+    assert sorted(tuple(r) for r in found) == sorted((lang, 10, 10) for lang in {lang for _, lang in rows})
+    found = langid._sample(table, 20).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in found} == {lang: 20 if lang == "m" else 12 for _, lang in rows}
+
+
 def test_language_awkward(spark):
     table = awkward(spark)
     model = langid.fit(table)
