@@ -1,8 +1,8 @@
 """Token-ID output with Re-Pair grammar compression.
 
 A shard is a range of documents in key order, written as blocks. In a block the most frequent pairs of neighbouring ids
-are repeatedly replaced by new symbols (nonterminals), many pairs in each round; where matches overlap, every other one
-of the run is replaced. A block stores the rules, the length of each rule's expansion and the symbols of every document,
+are repeatedly replaced by new symbols (nonterminals), many pairs in each round, until no pair occurs twice; where
+matches overlap, that of the more frequent pair is replaced. A block stores the rules, the length of each rule's expansion and the symbols of every document,
 so ids from anywhere in a document are decoded without what stands before. Pairs never span documents.
 
 Block: header, documents (ids each, first symbol each), rules (left, right), expansion lengths, symbols. Base ids and
@@ -31,72 +31,70 @@ from .tokens import encoder
 END_ID = 1
 #: Ids of a block; a longer document makes a longer block.
 BLOCK_IDS = 1 << 21
-ROUNDS = 5
-#: Pairs replaced in one round, and how often a pair must occur.
-ROUND_PAIRS = 3072
-LEAST_COUNT = 16
+#: How often a pair must occur to be replaced, and how much rarer than the most frequent one it may be in one round.
+LEAST_COUNT = 2
+SPREAD = 4
 #: Slots in which pairs are looked up.
-SLOT_BITS = 17
+SLOT_BITS = 20
 MAGIC = b"RPR1"
 HEAD = "<4sIIIIQ"  # magic, base ids, documents, rules, symbol bytes, symbols
 
 
-def _chosen(codes: np.ndarray, room: int) -> np.ndarray:
-    """The most frequent pairs that are worth a rule."""
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """SLOT_BITS bits of each code."""
+    return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+
+
+def _chosen(codes: np.ndarray) -> np.ndarray:
+    """Pairs at least 1 / SPREAD as frequent as the most frequent one, which comes last; ties by hash."""
     ordered = np.sort(codes)
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     counts = np.diff(np.r_[starts, len(ordered)])
-    often = np.flatnonzero(counts >= LEAST_COUNT)
-    n = min(room, ROUND_PAIRS, len(often))
-    if n < len(often):
-        often = often[np.argpartition(-counts[often], n - 1)[:n]] if n else often[:0]
-    return np.sort(ordered[starts[often]])
-
-
-def _hashed(codes: np.ndarray) -> np.ndarray:
-    """SLOT_BITS bits of each code."""
-    if codes.dtype == np.uint64:
-        return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
-    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+    often = np.flatnonzero(counts >= max(LEAST_COUNT, int(counts.max()) // SPREAD))
+    pairs = ordered[starts[often]]
+    return pairs[np.lexsort((pairs * np.uint64(0x9E3779B97F4A7C15), counts[often]))]
 
 
 def _slots(pairs: np.ndarray) -> np.ndarray:
-    """Number of the pair in each slot of the hash, -1 where there is none."""
-    out = np.full(1 << SLOT_BITS, -1, np.int16)
-    out[_hashed(pairs)] = np.arange(len(pairs))
+    """Number of the last pair in each slot of the hash, -1 where there is none."""
+    out = np.full(1 << SLOT_BITS, -1, np.int32)
+    np.maximum.at(out, _hashed(pairs), np.arange(len(pairs), dtype=np.int32))
     return out
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
     """A block of documents with so many ids each."""
-    wide = base >= (1 << 16) - 256
-    kind, shift = (np.uint64, np.uint64(32)) if wide else (np.uint32, np.uint32(16))
-    limit = (1 << 32) - 1 if wide else (1 << 16) - 1
+    kind, shift = np.uint64, np.uint64(32)
     seq = ids.astype(kind)
     last = np.zeros(len(seq), bool)  # of a document
     ends = np.cumsum(sizes)
     last[ends[sizes > 0] - 1] = True
     rules: list[np.ndarray] = []
     symbols = base
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         codes = (seq[:-1] << shift) | seq[1:]
-        inner = ~last[:-1]
-        pairs = _chosen(codes[inner], limit - symbols)
+        free = ~last[:-1]
+        same = np.flatnonzero((seq[:-1] == seq[1:]) & free)
+        run = np.flatnonzero(np.r_[True, np.diff(same) != 1]) if len(same) else same  # of one symbol: every other pair
+        free[same[(np.arange(len(same)) - np.repeat(run, np.diff(np.r_[run, len(same)]))) % 2 == 1]] = False
+        inner = codes[free]
+        pairs = _chosen(inner) if len(inner) else inner
         if not len(pairs):
             break
         slots = _slots(pairs)
-        pairs = pairs[slots[_hashed(pairs)] == np.arange(len(pairs))]  # of pairs that share a slot one waits
+        pairs = pairs[slots[_hashed(pairs)] == np.arange(len(pairs))]  # of pairs that share a slot the others wait
         slots = _slots(pairs)
-        slot = slots[_hashed(codes)]
-        at = np.flatnonzero((slot >= 0) & inner)
-        rule = slot[at].astype(np.int64)
-        hit = pairs[rule] == codes[at]
-        at, rule = at[hit], rule[hit]
-        run = np.flatnonzero(np.r_[True, np.diff(at) != 1])  # runs of overlapping matches
-        keep = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0
-        at, rule = at[keep], rule[keep]
+        rule = slots[_hashed(codes)]
+        rule[~free | (pairs[rule] != codes)] = -1
+        # of overlapping matches the more frequent pair's; the most frequent one keeps all, so every round gets on
+        keep = rule >= 0
+        keep[1:] &= rule[1:] > rule[:-1]
+        keep[:-1] &= rule[:-1] > rule[1:]
+        at = np.flatnonzero(keep)
+        rule = rule[at]
+        used = np.bincount(rule, minlength=len(pairs)) >= LEAST_COUNT
+        at, rule = at[used[rule]], (np.cumsum(used) - 1)[rule[used[rule]]]
+        pairs = pairs[used]
         seq[at] = (symbols + rule).astype(kind)
         last[at] = last[at + 1]
         gone = np.ones(len(seq), bool)
@@ -115,7 +113,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
     first = np.r_[0, np.flatnonzero(last) + 1]
     starts = np.zeros(len(sizes), np.int64)
     starts[sizes > 0] = first[:-1]
-    width = 4 if wide or symbols > 1 << 16 else 2
+    width = 4 if symbols > 1 << 16 else 2
     return b"".join([
         struct.pack(HEAD, MAGIC, base, len(sizes), len(pairs), width, len(seq)), sizes.astype("<u4").tobytes(),
         starts.astype("<u8").tobytes(), left.astype("<u4").tobytes(), right.astype("<u4").tobytes(),

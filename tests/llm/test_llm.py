@@ -535,6 +535,20 @@ def test_blocks_round_trip():
     assert len(repair.compress(again.astype("<u4"), np.array([len(again)]), 49408)) < len(again) // 4
 
 
+def test_no_pair_is_left_twice():
+    rng = np.random.default_rng(5)
+    one = rng.integers(0, 40000, 500)
+    for ids, sizes in ((np.tile(one, 50), [500] * 50), (np.r_[one, rng.integers(0, 40000, 700), one], [1700]),
+                       (rng.integers(0, 30, 9000), [4000, 5000]), (np.zeros(1001, int), [1001]), (np.zeros(3, int), [3])):
+        block = repair.Block(repair.compress(ids.astype("<u4"), np.array(sizes), 49408))
+        assert np.array_equal(block.ids(), ids)
+        cuts, seen = [*block.starts.tolist(), len(block.symbols)], {}
+        for a, b in zip(cuts, cuts[1:]):
+            for i, pair in enumerate(zip(block.symbols[a:b].tolist(), block.symbols[a + 1:b].tolist()), a):
+                assert seen.setdefault(pair, i) >= i - 1, pair  # only a run of three of one symbol has it again
+    assert len(repair.Block(repair.compress(np.tile(one, 50).astype("<u4"), np.array([500] * 50), 49408)).symbols) == 50
+
+
 def test_written_ids(spark, docs):
     path = queries.tokenizer_path("word_bpe_49k.json")
     coder = encoder(path).tokenizer
