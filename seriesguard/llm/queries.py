@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, mixing, packing, repair, rules, secrets, sharding, simhash
+from . import ann, chat, langid, mixing, negatives, packing, repair, rules, secrets, sharding, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -87,6 +87,12 @@ def op10_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op11_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = str(pathlib.Path(__file__).resolve().parents[2])
     if top not in sys.path:
@@ -98,9 +104,31 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     found = [op1_pfair_mixing, op2_language_id, op3_secret_ledger, op4_decision_list, op5_window_packing,
-             op6_histogram_sort, op7_anchor_simhash, op8_preference_chat, op9_hilbert_ann, op10_repair_ids, pipeline]
+             op6_histogram_sort, op7_anchor_simhash, op8_preference_chat, op9_hilbert_ann, op10_repair_ids,
+             op11_kronecker_negatives, pipeline]
     return {f.__name__: f for f in found}
 
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor, a.lab AS anchor_lab, v.id, v.lab, list_inner_product(a.c, v.c)::BIGINT AS s
+  FROM v AS a JOIN v ON a.id <> v.id WHERE a.id % 100 = 0),
+p AS (
+  SELECT anchor, anchor_lab, id, s FROM s WHERE lab = anchor_lab
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.s DESC, s.id)::INTEGER AS rank,
+       s.id AS negative_id, p.s AS positive_score, s.s AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND s.lab <> p.anchor_lab AND 80 * p.s <= 100 * s.s AND s.s <= p.s
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.s DESC, s.id) <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_kronecker_negatives": NEGATIVES_SQL}
