@@ -112,10 +112,10 @@ def queries() -> dict:
 NEGATIVES_SQL = """
 WITH v AS (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS c
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.id AS anchor, a.lab AS anchor_lab, v.id, v.lab, list_inner_product(a.c, v.c)::BIGINT AS s
   FROM v AS a JOIN v ON a.id <> v.id WHERE a.id % 100 = 0),
