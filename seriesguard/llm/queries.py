@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, mixing, negatives, packing, repair, rules, secrets, sharding, simhash
+from . import ann, chat, langid, mixing, negatives, packing, phrases, repair, rules, secrets, sharding, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -93,6 +93,10 @@ def op11_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows)
 
 
+def op12_era_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = str(pathlib.Path(__file__).resolve().parents[2])
     if top not in sys.path:
@@ -105,7 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     found = [op1_pfair_mixing, op2_language_id, op3_secret_ledger, op4_decision_list, op5_window_packing,
              op6_histogram_sort, op7_anchor_simhash, op8_preference_chat, op9_hilbert_ann, op10_repair_ids,
-             op11_kronecker_negatives, pipeline]
+             op11_kronecker_negatives, op12_era_phrases, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -130,5 +134,41 @@ QUALIFY row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.s DESC, s.id)
 """
 
 
+PHRASES_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, t
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS t FROM documents)),
+w AS (
+  SELECT lang, list_filter(string_split_regex(t, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, greatest(len(ws) - k + 2, 1)),
+                                        lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS sizes(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+parts AS (
+  SELECT lang, phrase, a, 1 AS cut, ws[1] AS lp, array_to_string(ws[2:3], ' ') AS rp FROM c UNION ALL
+  SELECT lang, phrase, a, 2, array_to_string(ws[1:2], ' '), ws[3] FROM c WHERE k = 3),
+often AS MATERIALIZED (SELECT lang, phrase, f FROM f WHERE f >= 10),
+cuts AS (
+  SELECT p.*, l.f AS l, r.f AS r,
+         (1000000 * p.a::HUGEINT * p.a::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM parts AS p JOIN often AS l ON l.lang = p.lang AND l.phrase = p.lp
+  JOIN often AS r ON r.lang = p.lang AND r.phrase = p.rp),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+  GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, s.a DESC, phrase) AS rank, phrase,
+       s.a, s.l, s.r, n.n::BIGINT AS n, s.score::BIGINT AS score
+FROM scored AS s JOIN n USING (lang) LEFT JOIN longer AS x USING (lang, phrase)
+WHERE x.a IS NULL OR 100 * x.a < 50 * s.a
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, s.a DESC, phrase) <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_kronecker_negatives": NEGATIVES_SQL}
+    return {"op11_kronecker_negatives": NEGATIVES_SQL, "op12_era_phrases": PHRASES_SQL}
