@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, mixing, negatives, packing, phrases, repair, rules, secrets, sharding, simhash
+from . import ann, chat, forest, langid, mixing, negatives, packing, phrases, repair, rules, secrets, sharding, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -97,6 +97,12 @@ def op12_era_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                        F.col("key").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = str(pathlib.Path(__file__).resolve().parents[2])
     if top not in sys.path:
@@ -109,7 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     found = [op1_pfair_mixing, op2_language_id, op3_secret_ledger, op4_decision_list, op5_window_packing,
              op6_histogram_sort, op7_anchor_simhash, op8_preference_chat, op9_hilbert_ann, op10_repair_ids,
-             op11_kronecker_negatives, op12_era_phrases, pipeline]
+             op11_kronecker_negatives, op12_era_phrases, op13_lsh_forest, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -170,5 +176,29 @@ QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, s.a DESC, phra
 """
 
 
+FOREST_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 1 THEN ws ELSE list_transform(
+         range(1, greatest(len(ws), 1)), lambda i: ws[i] || ' ' || ws[i + 1]) END)) AS s FROM w),
+classes AS MATERIALIZED (SELECT min(doc_id) AS c, s, len(s) AS n, list(doc_id) AS ids FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS MATERIALIZED (SELECT c, n, unnest(s) AS item FROM classes),
+links AS MATERIALIZED (
+  SELECT a.c AS a, b.c AS b FROM items AS a JOIN items AS b
+  ON a.item = b.item AND a.c <> b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT c, c AS root FROM classes UNION
+  SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.c WHERE links.b > reach.root),
+firsts AS (SELECT c, min(root) AS root FROM reach GROUP BY c)
+SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(f.root, sets.doc_id) AS component_id,
+       sets.doc_id = coalesce(f.root, sets.doc_id) AS kept
+FROM sets LEFT JOIN (SELECT unnest(ids) AS doc_id, root FROM classes JOIN firsts USING (c)) AS f USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_kronecker_negatives": NEGATIVES_SQL, "op12_era_phrases": PHRASES_SQL}
+    return {"op11_kronecker_negatives": NEGATIVES_SQL, "op12_era_phrases": PHRASES_SQL,
+            "op13_lsh_forest": FOREST_SQL}
