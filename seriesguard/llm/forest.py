@@ -282,7 +282,8 @@ class Sets:
 def _full_sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str, words: int, repeated: bool) -> DataFrame:
     """(root, cid, n, items) of the wanted documents (key, d1, d2, root, cid): their sets, read from their texts again."""
     rows = docs.select(F.col(key).alias("own"), F.col(text).cast("string").alias("text"))
-    both = rows.join(wanted, F.col("own").eqNullSafe(F.col("key"))).select("root", "cid", "d1", "d2", "text")
+    # by shuffle at every size: the number of copies is not known to be small
+    both = rows.join(wanted.hint("shuffle_hash"), F.col("own").eqNullSafe(F.col("key"))).select("root", "cid", "d1", "d2", "text")
 
     def run(batches):
         known = _Words()
