@@ -1,12 +1,13 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's rows, in a stable random order, are cut into blocks. Target weights become integer quotas of blocks per
-round. In a round of L blocks, block j of a source with quota q is released at slot floor(j L / q) and due by slot
-ceil((j + 1) L / q); earliest deadline first meets every deadline, so after any number of slots a source is less than
-one block away from its share. All rounds with the same live sources and quotas are alike: only a table of
-(composition, source, j) -> slot is scheduled, every block then finds its slot by arithmetic and a join.
+A source's rows, in a stable random order, are cut into blocks. With the exact fractions f of the target weights, block j
+of a source is released at slot floor(j / f) and due by slot ceil((j + 1) / f); earliest deadline first meets every deadline,
+so after any number of slots a source is less than one block away from its share. When the shares of one of the sources are
+used up, a new stretch begins: releases and deadlines count from there, and the targets of the sources that have blocks left
+are scaled up to the whole. Every row comes out exactly once.
 
-A source that ends leaves the mixture, and the targets of the others are scaled up. Every row comes out exactly once.
+The schedule is made from the sources' block counts alone, in one task: at most ``MAX_SLOTS`` slots (and one for each source),
+as blocks of a corpus beyond ``MAX_SLOTS * BLOCK_ROWS`` rows are larger in proportion. Rows find their slot by a join.
 
 Defined results: a null source is a source of its own; sources without a given weight get ``other_weight``; repeated
 rows are separate rows; an empty table gives an empty one; own columns named like an output are replaced.
@@ -16,135 +17,117 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, partitions, unpacked
+from .common import packed, partitions, store, unpacked
 
-#: Rows per block.
+#: Rows per block, and slots at most before blocks grow.
 BLOCK_ROWS = 16
-#: Blocks per round that the quotas are rounded to; the relative rounding error of a weight w is below 1 / (w ROUND).
-ROUND = 1000
-#: Bound on the number of sources, whose counts alone come to the driver.
-MAX_SOURCES = 2000
+MAX_SLOTS = 1 << 22
 #: Without given weights, a source's weight is its row count to this power.
 TEMPER = 0.7
 #: Rows of one source that one window group numbers.
 BUCKET_ROWS = 1 << 11
 
-SLOTS = "composition int, src string, j long, slot long, release long, deadline long"
-
-
-def quotas(weights: Mapping[str, float], size: int = ROUND) -> dict[str, int]:
-    """Blocks per round: largest remainders, and at least one for each source."""
-    total = math.fsum(weights.values())
-    exact = {s: size * w / total for s, w in weights.items()}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[:max(0, size - sum(out.values()))]:
-        out[s] += 1
-    return out
-
-
-def earliest_deadline_first(quota: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, j, slot, release, deadline) of a round; every block is placed in [release, deadline)."""
-    length = sum(quota.values())
-    waiting = [(0, -(-length // q), s, 0) for s, q in sorted(quota.items())]  # by release
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int, int]] = []  # by deadline
-    out = []
-    for slot in range(length):
-        while waiting and waiting[0][0] <= slot:
-            release, deadline, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline, s, j, release))
-        deadline, s, j, release = heapq.heappop(ready)
-        out.append((s, j, slot, release, deadline))
-        if (k := j + 1) < quota[s]:
-            heapq.heappush(waiting, (k * length // quota[s], -(-(k + 1) * length // quota[s]), s, k))
-    return out
-
-
-def _compositions(blocks: Mapping[str, int], quota: Mapping[str, int]) -> list[tuple[int, int, int, dict[str, int]]]:
-    """(first round, blocks before it, blocks per round, quota of each live source) for each run of like rounds."""
-    cuts = sorted({0} | {b // quota[s] + more for s, b in blocks.items() for more in (0, 1)})
-    out = []
-    for cut in cuts:
-        live = {s: min(quota[s], b - cut * quota[s]) for s, b in blocks.items() if b > cut * quota[s]}
-        if live:
-            out.append((cut, sum(min(b, cut * quota[s]) for s, b in blocks.items()), sum(live.values()), live))
-    return out
+SLOTS = "src string, block long, slot long, release long, deadline long"
+
+
+def earliest_deadline_first(weights: Mapping[str, float], blocks: Mapping[str, int] | None = None
+                            ) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) in the order of slots; every block is placed in [release, deadline).
+
+    ``blocks``: how many each source has; by default as many as its weight says.
+    """
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    weight = {s: int(w * scale) for s, w in exact.items()}
+    left = {s: int(n) for s, n in (blocks or weight).items() if n > 0}
+    done, base = dict.fromkeys(left, 0), 0
+    while left:  # a stretch in which no source runs out
+        total = sum(weight[s] for s in left)
+        stretch = min(n * total // weight[s] for s, n in left.items())
+        waiting = [(0, -(-total // weight[s]), s, 0) for s in sorted(left)]  # by release
+        heapq.heapify(waiting)
+        ready: list[tuple[int, str, int, int]] = []  # by deadline
+        for slot in range(stretch):
+            while waiting and waiting[0][0] <= slot:
+                release, deadline, s, j = heapq.heappop(waiting)
+                heapq.heappush(ready, (deadline, s, j, release))
+            deadline, s, j, release = heapq.heappop(ready)
+            yield s, done[s], base + slot, base + release, base + deadline
+            done[s] += 1
+            j += 1
+            heapq.heappush(waiting, (j * total // weight[s], -(-(j + 1) * total // weight[s]), s, j))
+            left[s] -= 1
+        left = {s: n for s, n in left.items() if n}
+        base += stretch
 
 
 def _schedule(rows: pd.DataFrame) -> pd.DataFrame:
-    out = pd.DataFrame(earliest_deadline_first(dict(zip(rows.src, rows.quota.astype(int)))),
-                       columns=["src", "j", "slot", "release", "deadline"])
-    out.insert(0, "composition", rows.composition.iloc[0])
-    return out
+    found = earliest_deadline_first(dict(zip(rows.src, rows.weight)), dict(zip(rows.src, rows.blocks)))
+    return pd.DataFrame(found, columns=["src", "block", "slot", "release", "deadline"])
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, source: str = "source",
         temper: float = TEMPER, other_weight: float = 1.0, block_rows: int = BLOCK_ROWS,
-        round_blocks: int = ROUND) -> DataFrame:
+        max_slots: int = MAX_SLOTS) -> DataFrame:
     """The rows with ``mix_block`` (of its source), ``mix_release``, ``mix_deadline``, ``mix_slot`` and ``mix_row``.
 
-    The mixture is the rows by (mix_slot, mix_row); slots count blocks and have no gap. Release and deadline are
-    slots of the whole mixture.
+    The mixture is the rows by (mix_slot, mix_row); slots count blocks and have no gap. The order inside a source is that of
+    a hash of the row and its place in the table.
     """
+    return _mixed(docs, weights, source, temper, other_weight, block_rows, max_slots)[0]
+
+
+def _mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source: str = "source",
+           temper: float = TEMPER, other_weight: float = 1.0, block_rows: int = BLOCK_ROWS,
+           max_slots: int = MAX_SLOTS) -> tuple[DataFrame, int]:
+    """What ``mix`` gives, and the number of slots."""
+    given = {"" if s is None else f"={s}": float(w) for s, w in (weights or {}).items()}
+    if any(not 0 < w < math.inf for w in [other_weight, *given.values()]):
+        raise ValueError("weights must be positive")
     spark = docs.sparkSession
     src = F.when(F.col("row").getField(source).isNull(), "").otherwise(
         F.concat(F.lit("="), F.col("row").getField(source).cast("string")))
-    rows = packed(docs).select("row", src.alias("src"), F.xxhash64("row").alias("h"))
-    counts = {r.src: r.n for r in rows.groupBy("src").agg(F.count(F.lit(1)).alias("n")).take(MAX_SOURCES + 1)}
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    rows = store(packed(docs).select("row", src.alias("src"), F.monotonically_increasing_id().alias("uid")), "mixing")
+    # equal rows have places of their own, so no bucket is hot
+    ids = rows.select("src", "uid", F.xxhash64("row", "uid").alias("h"))
+    sources = store(rows.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "sources")
+    sums = sources.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    size = max(block_rows, math.ceil((sums.n or 0) / max_slots))
     if weights is None:
-        weight = {s: n ** temper for s, n in counts.items()}
+        weighted = sources.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(float(temper))))
     else:
-        named = {"" if s is None else f"={s}": w for s, w in weights.items()}
-        weight = {s: float(named.get(s, other_weight)) for s in counts}
-    if any(not w > 0 for w in weight.values()):
-        raise ValueError("weights must be positive")
-    quota = quotas(weight, max(round_blocks, len(counts))) if counts else {}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    runs = _compositions(blocks, quota)
+        table = spark.createDataFrame(list(given.items()), "src string, weight double")
+        weighted = sources.join(table, "src", "left").withColumn("weight", F.coalesce("weight", F.lit(float(other_weight))))
+    weighted = weighted.select("src", "weight", F.expr(f"(n + {size - 1}) div {size}").alias("blocks"))
+    slots = weighted.groupBy().applyInPandas(_schedule, SLOTS)
+    total = weighted.agg(F.sum("blocks")).first()[0] or 0
 
     # index of a row in its source: buckets of a stable hash, numbered within, offset by the buckets before
-    bits = max(0, math.ceil(math.log2(max(1, max(counts.values(), default=0) / BUCKET_ROWS))))
-    bucket = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
-    rows = rows.withColumn("bucket", bucket)
+    bits = max(0, math.ceil(math.log2(max(1, (sums.most or 0) / BUCKET_ROWS))))
+    ids = ids.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (rows.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    offsets = (ids.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("n"))
                .select("src", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
-    inside = Window.partitionBy("src", "bucket").orderBy("h")
-    rows = (rows.withColumn("at", F.row_number().over(inside) - 1).join(offsets, ["src", "bucket"])
-            .withColumn("k", F.col("at") + F.col("offset")))
-
-    table = [(c, s, q) for c, (_, _, _, live) in enumerate(runs) for s, q in live.items()]
-    slots = spark.createDataFrame(table, "composition int, src string, quota long").groupBy("composition") \
-        .applyInPandas(_schedule, SLOTS)
-    sources = spark.createDataFrame([(s, q) for s, q in quota.items()], "src string, quota long")
-    firsts, bases, lengths = ([run[i] for run in runs] or [0] for i in range(3))
-    pick = lambda values: F.element_at(F.lit(values).cast("array<long>"), F.col("composition") + 1)
-    rows = (rows.join(sources, "src")
-            .withColumn("block", F.expr(f"k div {int(block_rows)}"))
-            .withColumn("round", F.expr("block div quota")).withColumn("j", F.col("block") % F.col("quota"))
-            .withColumn("composition", F.size(F.filter(F.lit(firsts).cast("array<long>"),
-                                                       lambda first: first <= F.col("round"))) - 1)
-            .join(slots, ["composition", "src", "j"])
-            .withColumn("base", pick(bases) + (F.col("round") - pick(firsts)) * pick(lengths)))
-    return unpacked(rows, docs.columns, {
-        "mix_block": F.col("block"), "mix_release": F.col("base") + F.col("release"),
-        "mix_deadline": F.col("base") + F.col("deadline"), "mix_slot": F.col("base") + F.col("slot"),
-        "mix_row": (F.col("k") % block_rows).cast("long")})
+    inside = Window.partitionBy("src", "bucket").orderBy("h", "uid")
+    placed = (ids.withColumn("at", F.row_number().over(inside) - 1).join(offsets, ["src", "bucket"])
+              .withColumn("k", F.col("at") + F.col("offset")).withColumn("block", F.expr(f"k div {size}"))
+              .join(slots, ["src", "block"]).select("uid", "block", "release", "deadline", "slot",
+                                                    (F.col("k") % size).cast("long").alias("inner")))
+    return unpacked(rows.select("row", "uid").join(placed, "uid"), docs.columns, {
+        "mix_block": F.col("block"), "mix_release": F.col("release"), "mix_deadline": F.col("deadline"),
+        "mix_slot": F.col("slot"), "mix_row": F.col("inner")}), total
 
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows alone, laid out in the mixture's order: sorted partitions, one after the other."""
-    rows = mix(docs, **options)
+    """The rows alone, laid out in the mixture's order: sorted partitions of as many slots each, one after the other."""
+    rows, slots = _mixed(docs, **options)
     n = partitions(docs)
-    slots = docs.count() // options.get("block_rows", BLOCK_ROWS) + MAX_SOURCES
-    part = F.least(F.expr(f"mix_slot * {n} div {slots}"), F.lit(n - 1)).cast("int")
+    part = F.expr(f"mix_slot * {n} div {max(1, slots)}").cast("int")
     return rows.repartitionById(n, part).sortWithinPartitions("mix_slot", "mix_row").select(*docs.columns)
-

@@ -46,11 +46,12 @@ def texts(rows):
 # ---------------------------------------------------------------- 1 mixing
 
 def lag_of(order, weights):
-    """Largest deviation, in blocks, of any source from its share after any number of slots."""
-    total, done, worst = sum(weights.values()), Counter(), Fraction(0)
+    """Largest deviation, in blocks, of any source from its share after any number of slots; whole arithmetic."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    total, done, worst = sum(exact.values()), Counter(), Fraction(0)
     for t, s in enumerate(order, 1):
         done[s] += 1
-        worst = max(worst, *(abs(Fraction(w * t, total) - done[k]) for k, w in weights.items()))
+        worst = max(worst, *(abs(w * t / total - done[k]) for k, w in exact.items()))
     return worst
 
 
@@ -58,34 +59,68 @@ def test_schedule_stays_within_one_block():
     for seed in range(30):
         rng = random.Random(seed)
         quota = {f"s{i}": rng.randint(1, 60) for i in range(rng.randint(1, 12))}
-        found = mixing.earliest_deadline_first(quota)
+        found = list(mixing.earliest_deadline_first(quota))
         assert all(release <= slot < deadline for _, _, slot, release, deadline in found)
         assert Counter(s for s, *_ in found) == quota
         assert lag_of([s for s, *_ in found], quota) < 1
 
 
+@pytest.mark.parametrize("weights", [{"a": 3.14159, "b": 2.71828, "c": 1.41421}, {"a": 1e6, "b": 1.0}, {"a": 0.1, "b": 0.2, "c": 0.7},
+                                     {f"s{i}": 1.0 / (i + 1) for i in range(40)}])
+def test_deviation_from_the_weights_themselves(weights):
+    """Twenty thousand slots, no source ends before."""
+    found = mixing.earliest_deadline_first(weights, dict.fromkeys(weights, 1 << 30))
+    order = [next(found) for _ in range(20_000)]
+    assert [slot for _, _, slot, _, _ in order] == list(range(20_000))
+    assert all(release <= slot < deadline for _, _, slot, release, deadline in order)
+    assert lag_of([s for s, *_ in order], weights) < 1
+
+
+def live_lags(order, weights):
+    """Deviation within each stretch in which no source runs out."""
+    left, at, out = Counter(order), 0, []
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    while left:
+        total = sum(exact[s] for s in left)
+        stretch = min(n * total // exact[s] for s, n in left.items())
+        out.append(lag_of(order[at:at + stretch], {s: exact[s] for s in left}))
+        left -= Counter(order[at:at + stretch])
+        at += stretch
+    return out
+
+
 def test_mix_keeps_rows_and_targets(spark):
     counts = {"a": 700, "b": 90, "c": 333, None: 41}
     rows = [(i, s) for s, n in counts.items() for i in range(n)]
     table = spark.createDataFrame(rows, "doc_id long, source string")
-    weights = {"a": 2, "b": 1, "c": 3, None: 1}
-    found = mixing.mix(table, weights, block_rows=4, round_blocks=70).collect()
-    assert Counter((r.doc_id, r.source) for r in found) == Counter(rows)
-    slots = defaultdict(set)
-    for r in found:
-        slots[r.mix_slot].add((r.source, r.mix_block))
-        assert r.mix_release <= r.mix_slot < r.mix_deadline
-    assert sorted(slots) == list(range(len(slots))) and all(len(v) == 1 for v in slots.values())
-    order = [next(iter(slots[t]))[0] for t in range(len(slots))]
-    last = min(max(t for t, s in enumerate(order) if s == name) for name in counts)
-    quota = mixing.quotas({str(k): w for k, w in weights.items()}, 70)
-    full = last // 70 * 70  # whole rounds with all sources
-    assert lag_of([str(s) for s in order[:full]], quota) < 1
-    per = defaultdict(list)
-    for t in range(len(order)):
-        s, b = next(iter(slots[t]))
-        per[s].append(b)
-    assert all(v == list(range(len(v))) for v in per.values())
+    for weights, rows_a_block in (({"a": 2, "b": 1, "c": 3, None: 1}, 4), ({"a": 0.3, "b": 1e-3, "c": 2.5, None: 1.1}, 3), (None, 5)):
+        found = mixing.mix(table, weights, block_rows=rows_a_block).collect()
+        assert Counter((r.doc_id, r.source) for r in found) == Counter(rows)
+        slots = defaultdict(set)
+        for r in found:
+            slots[r.mix_slot].add((r.source, r.mix_block))
+            assert r.mix_release <= r.mix_slot < r.mix_deadline and 0 <= r.mix_row < rows_a_block
+        assert sorted(slots) == list(range(len(slots))) and all(len(v) == 1 for v in slots.values())
+        assert len({(r.mix_slot, r.mix_row) for r in found}) == len(rows)
+        order = [next(iter(slots[t]))[0] for t in range(len(slots))]
+        weights = weights or {s: float(n) ** mixing.TEMPER for s, n in counts.items()}
+        assert max(live_lags(order, weights)) < 1
+        per = defaultdict(list)
+        for t in range(len(order)):
+            s, b = next(iter(slots[t]))
+            per[s].append(b)
+        assert all(v == list(range(len(v))) for v in per.values())
+
+
+def test_many_sources_equal_rows_and_few_slots(spark):
+    rows = [(None, f"s{i % 3000}") for i in range(9000)] + [(None, "hot")] * 30_000
+    table = spark.createDataFrame(rows, "doc_id long, source string").repartition(5)
+    found = mixing.mix(table, max_slots=1000)
+    sizes = found.groupBy("mix_slot").count().collect()
+    assert sum(r["count"] for r in sizes) == len(rows) and max(r["count"] for r in sizes) == 39
+    assert found.select("mix_slot", "mix_row").distinct().count() == len(rows)
+    with pytest.raises(ValueError):
+        mixing.mix(table, {"hot": 0})
 
 
 def test_mix_awkward(spark):
