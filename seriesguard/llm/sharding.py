@@ -6,7 +6,8 @@ splitter, all partitions at once; a boundary within tolerance of a splitter's ta
 inside the cell that holds their target. Then one exchange moves every row to its range, and ranges make up shards.
 
 A range is what one task sorts, so a shard larger than ``range_bytes`` consists of several ranges: the number of shards
-does not limit the number of tasks.
+does not limit the number of tasks. There are at most ``MAX_RANGES`` of them, so that what the driver and the tasks hold
+for each stays small (8 MB); beyond that they grow, and Spark sorts them on disk.
 
 Defined results: null text has no bytes and null ids come first; rows with equal ids are ordered by checksum and row
 number, so a hot id is split like any other; an empty table gives an empty one; own columns named like an output are
@@ -27,6 +28,8 @@ from .common import fresh_path, packed, store, unpacked
 ROW_BYTES = 8
 #: Bytes that one range, the work of one task, may hold.
 RANGE_BYTES = 128 << 20
+#: Ranges at most; beyond MAX_RANGES * RANGE_BYTES (8 TB) ranges are larger.
+MAX_RANGES = 1 << 16
 #: A splitter may miss its target by this share of a range, or by half a row.
 TOLERANCE = 0.001
 #: Key bits that one round resolves.
@@ -34,10 +37,15 @@ BITS = 12
 
 
 def _digits(low: int, high: int, uid: int) -> list:
-    """The key as numbers of at most BITS bits, most significant first."""
-    parts = [(F.when(F.col("k").isNull(), 0).otherwise(F.col("k") - low + 1), (high - low + 1).bit_length()),
-             (F.col("tie"), 32), (F.col("uid"), max(1, uid.bit_length()))]
-    out = []
+    """The key as numbers of at most BITS bits, most significant first; the first is 0 for a null key."""
+    span, parts, out = (high - low + 1).bit_length(), [(F.col("tie"), 32), (F.col("uid"), max(1, uid.bit_length()))], []
+    if span <= 62:
+        parts.insert(0, (F.when(F.col("k").isNull(), 0).otherwise(F.col("k") - low + 1), span))
+    else:  # differences would overflow: all 64 bits, the sign flipped
+        bits = F.col("k").bitwiseXOR(F.lit(-1 << 63))
+        rest = 64 - (BITS - 1)
+        out.append(F.when(F.col("k").isNull(), 0).otherwise(F.shiftrightunsigned(bits, rest) + 1))
+        parts.insert(0, (F.coalesce(bits, F.lit(0)), rest))
     for value, bits in parts:
         for top in range(bits, 0, -BITS):
             end = max(0, top - BITS)
@@ -45,6 +53,18 @@ def _digits(low: int, high: int, uid: int) -> list:
     return out
 
 
+def _at_most(splitters, key, most: int):
+    """How many of the sorted splitters are not above the key, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size(splitters).alias("high"))
+
+    def step(a, _):
+        middle = F.shiftright(a["low"] + a["high"], 1)
+        below = (a["low"] < a["high"]) & (F.get(splitters, middle) <= key)
+        return F.struct(F.when(below, middle + 1).otherwise(a["low"]).alias("low"),
+                        F.when(below, a["high"]).otherwise(middle).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, most.bit_length()))), start, step, lambda a: a["low"])
+
+
 def _place(cells: DataFrame, targets: DataFrame, parent: list[str], digit: str, slack: float, last: bool) -> DataFrame:
     """Each target with the cell that holds it: its digit, ``before`` and, if met there, the digit of the boundary."""
     both = cells.select(*parent, digit, "before", "bytes", F.col("before").alias("at"),
@@ -102,7 +122,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, *, key: str = "doc_id", te
     all_ = rows.agg(F.sum("size").alias("bytes"), F.min("k").alias("low"), F.max("k").alias("high"),
                     F.max("uid").alias("uid")).first()
     total, low, high = all_.bytes or 0, all_.low or 0, all_.high or 0
-    ranges = shards * max(1, math.ceil(total / shards / range_bytes))
+    ranges = shards * max(1, min(MAX_RANGES // shards, math.ceil(total / shards / range_bytes)))
     digits = _digits(low, high, all_.uid or 0)
     splitters = sorted(_splitters(rows, digits, total, ranges, tolerance * total / ranges)) if total else []
 
@@ -115,7 +135,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, *, key: str = "doc_id", te
     lookup = docs.sparkSession.createDataFrame(table, "d0 long, below int, inside array<array<long>>")
     full = F.array(*digits)
     placed = rows.withColumn("d0", digits[0]).join(F.broadcast(lookup), "d0").withColumn(
-        "part", F.col("below") + F.size(F.filter("inside", lambda s: s <= full))).drop("below", "inside", "d0")
+        "part", F.col("below") + _at_most(F.col("inside"), full, max(len(t[2]) for t in table))).drop("below", "inside", "d0")
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shard = F.expr(f"part div {ranges // shards}").cast("int")
     offsets = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("shard", shard).select(
