@@ -174,26 +174,44 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, group_rows: int = GROUP_
     return groups.mapInArrow(_links(bits), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
-                    bits: int = MAX_BITS) -> DataFrame:
-    """(key, fp, component) of every row; the component is the smallest key that links reach, itself included."""
+def _grouped(docs: DataFrame, *, key: str, text: str, words: int, bits: int) -> DataFrame:
+    """(key, fp, root, component) of every row; the root is a fingerprint that names the group."""
     prints = store(fingerprints(docs, key=key, text=text, words=words), "fingerprints")
     classes = store(prints.groupBy("fp").agg(F.min("key").alias("first")), "classes")
     roots = components(links(classes, bits=bits))  # node, root
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left") \
         .select("fp", F.coalesce("root", "fp").alias("root"), "first")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(firsts, "root").select("fp", "component")
-    return prints.join(named, "fp").select("key", "fp", "component")
+    named = rooted.join(firsts, "root").select("fp", "root", "component")
+    return prints.join(named, "fp").select("key", "fp", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+                    bits: int = MAX_BITS) -> DataFrame:
+    """(key, fp, component) of every row; the component is the smallest key that links reach, itself included."""
+    return _grouped(docs, key=key, text=text, words=words, bits=bits).select("key", "fp", "component")
+
 
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
+             bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near duplicates: that with the smallest key (rows with null keys stay).
 
-def keep_one(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """One row of each group of near duplicates: that with the smallest key (rows with null keys stay)."""
-    found = near_duplicates(docs, key=key, **options).where("key = component").select("key").distinct()
+    A key may stand on several rows, also of several groups: each group keeps one row, of repeated rows any.
+    """
+    found = _grouped(docs, key=key, text=text, words=words, bits=bits).where("key is not null")
+    # rows of a group's smallest key: one fingerprint of each group and key
+    firsts = found.where("key = component").groupBy("root", "key").agg(F.min("fp").alias("fp"))
     rows = packed(docs).withColumn("key", F.col("row").getField(key))
-    one = rows.join(found.hint("shuffle_hash"), "key", "left_semi")
-    if not rows.where("key is not null").groupBy("key").count().where("count > 1").isEmpty():
-        one = one.dropDuplicates(["key"])
+    twice = found.groupBy("key").count().where("count > 1").select("key")
+    if twice.isEmpty():
+        one = rows.join(firsts.select("key").hint("shuffle_hash"), "key", "left_semi")
+    else:  # a repeated key does not tell its rows apart, their fingerprints do
+        text_ = F.col("row").getField(text).cast("string")
+        marked = map_texts(rows.where("key is not null").select("row", "key", text_.alias("text")),
+                           lambda texts: [[fingerprint(t, words) for t in texts]], "fp long")
+        one = marked.join(firsts.select("key", "fp").hint("shuffle_hash"), ["key", "fp"], "left_semi")
+        alone = one.join(twice, "key", "left_anti").select("row", "key")
+        one = alone.unionByName(one.join(twice, "key", "left_semi").dropDuplicates(["key", "fp"]).select("row", "key"))
     return unpacked(one.unionByName(rows.where("key is null")), docs.columns, {})
 
 
