@@ -12,7 +12,8 @@ such as uniform directions, thereby gets wide windows, clustered data narrow one
 Equal vectors are one in the index and are unfolded at the end, so many copies make no hot segment.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
-part; null ids neither; repeated rows with one id count once; with fewer candidates than asked for, all are returned.
+part; null ids neither; rows alike in id and vector count once, rows of one id with other vectors are rows of their own (a
+query does not find its own row, but others with its id); with fewer candidates than asked for, all are returned.
 """
 
 from __future__ import annotations
@@ -86,12 +87,13 @@ def _doubles(column: pa.Array) -> np.ndarray:
 
 
 def classes(vectors: DataFrame, k: int, *, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors (code, vec, cid, ids): bytes of doubles, smallest id, the k + 1 smallest ids; and their members."""
+    """Distinct vectors (code, vec, cid, ids): bytes of doubles, number of the first row, (id, uid) of the k + 1 rows with the
+    smallest ids; and the rows (id, uid, vec, code) themselves."""
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & F.exists("v", lambda x: x != 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.where(F.size("v") == (lengths["n"] if lengths else 0)).dropDuplicates(["id"])
+    rows = rows.where(F.size("v") == (lengths["n"] if lengths else 0))
 
     def packed(batches):
         for batch in batches:
@@ -100,12 +102,13 @@ def classes(vectors: DataFrame, k: int, *, key: str, vector: str) -> tuple[DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in v], pa.binary())],
                                              names=["id", "vec"])
 
-    rows = rows.mapInArrow(packed, "id long, vec binary").withColumn("code", F.sha2("vec", 256))
-    first = Window.partitionBy("code").orderBy("id")  # limited before the exchange
-    least = rows.select("code", "id").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
-    ids = least.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    one = rows.groupBy("code").agg(F.min("id").alias("id"))
-    return rows.join(one, ["code", "id"]).select("code", "vec", F.col("id").alias("cid")).join(ids, "code"), rows
+    rows = store(rows.mapInArrow(packed, "id long, vec binary").withColumn("code", F.sha2("vec", 256))
+                 .dropDuplicates(["id", "code"]).withColumn("uid", F.monotonically_increasing_id()), "members")
+    first = Window.partitionBy("code").orderBy("id", "uid")  # limited before the exchange
+    least = rows.select("code", "id", "uid").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+    ids = least.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("id", "uid"))).alias("ids"))
+    one = rows.groupBy("code").agg(F.min("uid").alias("uid"))
+    return rows.join(one, ["code", "uid"]).select("code", "vec", F.col("uid").alias("cid")).join(ids, "code"), rows
 
 
 def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20,
@@ -119,7 +122,7 @@ def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
     if not stats["n"]:
         return empty
     dim = stats["bytes"] // 8
-    asked = members.where(F.col("id") % every == 0).select("code", "id")
+    asked = members.where(F.col("id") % every == 0).select("code", "id", "uid")
     queries = store(asked.select("code").distinct().join(index.select("code", "cid", "vec"), "code"), "queries")
 
     # scale from a bounded sample
@@ -179,14 +182,15 @@ def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
         .withColumn("n", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("n") <= k + 1)
 
     # unfold classes: the k + 1 first members of each, then the first k + 1 of a query vector, then without itself
-    unfolded = merged.join(index.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("id"))
-    top = unfolded.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))) \
-        .where(F.col("n") <= k + 1).drop("n")
+    unfolded = merged.join(index.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("m")) \
+        .select("query", "score", "m.*")
+    top = unfolded.withColumn("n", F.row_number().over(
+        Window.partitionBy("query").orderBy(F.desc("score"), "id", "uid"))).where(F.col("n") <= k + 1).drop("n")
     rows_of = asked.join(queries.select("code", F.col("cid").alias("query")), "code").select(
-        "query", F.col("id").alias("query_id"))
-    mine = rows_of.join(top, "query").where("id <> query_id")
+        "query", F.col("id").alias("query_id"), F.col("uid").alias("query_uid"))
+    mine = rows_of.join(top, "query").where("uid <> query_uid")
     return mine.withColumn("rank", F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int")).where(F.col("rank") <= k) \
+        Window.partitionBy("query_uid").orderBy(F.desc("score"), "id", "uid")).cast("int")).where(F.col("rank") <= k) \
         .select("query_id", "rank", "id", "score")
 
 
