@@ -43,7 +43,8 @@ BASE = (
 MORE = (
     Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
     Rule("code_host", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # one try for each run of its characters, and no way back: linear on any text
+    Rule("web_token", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
 )
 RULES = BASE + MORE
 FOUND = "array<struct<start:int,end:int>>"
