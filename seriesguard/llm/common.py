@@ -53,10 +53,18 @@ def partitions(docs: DataFrame) -> int:
     return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def in_key_order(rows: DataFrame) -> DataFrame:
+    """(key, text) rows in ranges of the key. Equal keys are ordered by a hash of the text and the row's place in the table,
+    so that a hot key is many ranges."""
+    placed = rows.select("key", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("uid"))
+    return placed.repartitionByRange("key", "h", "uid").sortWithinPartitions("key", "h", "uid").select("key", "text")
+
+
+def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep: list[str] | None = None,
+              most: int | None = None) -> DataFrame:
     """Replace the text column by what ``function(list of texts)`` gives: one array for each added column.
 
-    Other columns pass through as Arrow arrays; texts go to the function in runs of about a million characters.
+    Other columns pass through as Arrow arrays; texts go to the function in runs of about a million characters and ``most`` rows.
     """
     keep = [c for c in rows.columns if c != text] if keep is None else keep
     rows = rows.select(*keep, text)
@@ -66,7 +74,7 @@ def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep
     def run(batches):
         target = to_arrow_schema(schema)
         for batch in batches:
-            for first, last, texts in runs(batch.column(len(keep))):
+            for first, last, texts in runs(batch.column(len(keep)), most=most):
                 new = function(texts)
                 old = [batch.column(i).slice(first, last - first) for i in range(len(keep))]
                 arrays = [*old, *[pa.array(x, type=f.type) for x, f in zip(new, list(target)[len(keep):])]]
@@ -76,12 +84,19 @@ def map_texts(rows: DataFrame, function, added: str, *, text: str = "text", keep
     return rows.mapInArrow(run, schema)
 
 
-def runs(texts: pa.Array, size: int = 1 << 20):
-    """(first, last, texts) of consecutive texts with about so many bytes; only these become Python strings."""
+def runs(texts: pa.Array, size: int = 1 << 20, most: int | None = None):
+    """(first, last, texts) of consecutive texts with about so many bytes, at most so many; only these become strings."""
+    for first, last in spans(texts, size, most):
+        yield first, last, texts.slice(first, last - first).to_pylist()
+
+
+def spans(texts: pa.Array, size: int, most: int | None = None):
+    """(first, last) of such runs."""
     ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
     first = 0
     while first < len(texts):
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield first, last, texts.slice(first, last - first).to_pylist()
+        last = min(last, first + most) if most else last
+        yield first, last
         first = last

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, runs
 
 #: Labelled rows per language that centroids are fitted on, at most.
 FIT_ROWS = 1500
@@ -80,19 +80,40 @@ class Model:
     least: np.ndarray  # cosine below which a text is rejected, for each centroid's language
 
 
-def _fit_language(idf: np.ndarray, k: int, reject: float):
+def _fit_language(k: int, reject: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x = _vectors(rows.sort_values(["h", "text"]).text, idf)
+        x = np.stack([np.frombuffer(v, "f4") for v in rows.sort_values(["h", "vec"]).vec])
         c = _kmeans(x, k)
         least = float(np.quantile((x @ c.T).max(axis=1), reject))
         return pd.DataFrame({"lang": rows.lang.iloc[0], "least": least, "centroid": [v.astype("f4").tobytes() for v in c]})
     return run
 
 
+def _labelled(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")) \
+        .select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"))
+
+
+def _frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many texts each n-gram place is found, and the number of texts."""
+    def run(batches):
+        total, n = np.zeros(PLACES, np.int64), 0
+        for batch in batches:
+            for _, _, texts in runs(batch.column(0)):
+                for text in texts:
+                    total += counts(text) > 0
+                n += len(texts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(PLACES + 1)), pa.array(np.r_[total, n])], names=["place", "n"])
+
+    found = np.zeros(PLACES + 1, np.int64)
+    for r in rows.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        found[r["place"]] = r["n"]  # one row for each place
+    return found[:-1], int(found[-1])
+
+
 def _sample(rows: DataFrame, fit_rows: int) -> DataFrame | None:
     """The first ``fit_rows`` different texts of each language by hash, or all it has; none without a labelled row."""
-    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")) \
-        .select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"))
+    labelled = _labelled(rows)
     # different texts, as copies would take the share of the others; one row for each language
     sizes = labelled.select("lang", "h").distinct().groupBy("lang").count().collect()
     if not sizes:
@@ -107,25 +128,17 @@ def _sample(rows: DataFrame, fit_rows: int) -> DataFrame | None:
 
 
 def fit(rows: DataFrame, *, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, reject: float = REJECT_SHARE) -> Model:
-    """Learn from (text, lang) rows: of each language at most ``fit_rows`` different texts, chosen by hash, whole."""
+    """Learn from (text, lang) rows: document frequencies from all of them, centroids from at most ``fit_rows`` different
+    texts of each language, chosen by hash, whole. What a language's texts become before they meet is of fixed size."""
     sample = _sample(rows, fit_rows)
     if sample is None:
         return Model(np.ones(PLACES, np.float32), np.zeros((0, PLACES), np.float32), [], np.zeros(0))
-
-    def frequency(batches):
-        total, n = np.zeros(PLACES), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += counts(text) > 0
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("f8").tobytes()], pa.binary()), pa.array([n])],
-                                         names=["found", "n"])
-
-    parts = sample.select("text").mapInArrow(frequency, "found binary, n long").collect()  # one row for each task
-    found, n = sum(np.frombuffer(p.found) for p in parts), sum(p.n for p in parts)
+    found, n = _frequencies(_labelled(rows))
     idf = (np.log((1 + n) / (1 + found)) + 0.1).astype(np.float32)
-    learned = sample.groupBy("lang").applyInPandas(_fit_language(idf, centroids, reject),
-                                                   "lang string, least double, centroid binary").toPandas()
+    vectors = map_texts(sample.select("lang", "h", "text"), lambda texts: [[v.tobytes() for v in _vectors(texts, idf)]],
+                        "vec binary", most=256)
+    learned = vectors.groupBy("lang").applyInPandas(_fit_language(centroids, reject),
+                                                    "lang string, least double, centroid binary").toPandas()
     learned = learned.sort_values(["lang", "centroid"], kind="stable")
     return Model(idf, np.stack([np.frombuffer(c, "f4") for c in learned.centroid]), list(learned.lang),
                  learned.least.to_numpy())

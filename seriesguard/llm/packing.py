@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, text_of
+from .common import in_key_order, runs, text_of
 from .tokens import encoder
 
 LENGTH = 2048
@@ -157,6 +157,5 @@ def pack_sorted(rows: DataFrame, tokenizer: str, *, length: int = LENGTH) -> Dat
 
 def pack(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Pieces of all documents in key order. ``ids`` holds a piece's ids as little-endian unsigned 32-bit numbers."""
-    rows = docs.select(F.col(key).alias("key"), text_of(docs, text).alias("text"))
-    return pack_sorted(rows.repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text")),
+    return pack_sorted(in_key_order(docs.select(F.col(key).alias("key"), text_of(docs, text).alias("text"))),
                        tokenizer, length=length)

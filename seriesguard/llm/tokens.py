@@ -11,21 +11,28 @@ the ``tokenizers`` library.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Fixed: the pre-tokenizer pattern of byte-level files.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_END = "</w>"
 
-#: Pieces kept per Python worker; with more the store is emptied. Longer pieces are not kept.
+#: Pieces kept per Python worker; with more the store is emptied, and also after pieces that are longer on average.
 KEPT_PIECES = 800_000
 KEPT_CHARS = 40
 
+#: A text with so long a run of white space goes through the library: the other's pattern matcher gives up on a million.
+LONG_RUN = 1 << 16
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
+
 _UNSAFE = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|'")
 _NO_WORD = re.compile(r"[^\s\0a-zß-öø-ÿ0-9]+|[0-9]")
 
@@ -37,6 +44,38 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+class _Pieces(dict):
+    """Numbers of pieces met so far, and the ids of each in one pool."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.left_whole: set[str] = set()
+        self.pool = np.empty(0, "<u4")
+        self.starts = self.sizes = np.empty(0, np.int64)
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
+        return n
+
+    def whole(self, text: str) -> int:
+        """A text that is not cut, as special strings are in it."""
+        self.left_whole.add(text)
+        return self[text]
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.r_[self.starts, len(self.pool) + np.cumsum(sizes) - sizes]
+        self.sizes, self.pool = np.r_[self.sizes, sizes], np.concatenate([self.pool, ids])
+
+    def forget(self) -> None:
+        """Start anew if long pieces were among the last ones."""
+        if any(len(p) > KEPT_CHARS for p in self.new) and sum(map(len, self.new)) > KEPT_CHARS * len(self.new):
+            self.__init__()
+            self.clear()
+        self.new, self.left_whole = [], set()
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one core
@@ -55,7 +94,7 @@ class Encoder:
                 ranks[bytes(byte_of[c] for c in (token.removesuffix(WORD_END) if end else token)) + b" " * end] = id_
         self.ends = {b: i for b, i in ranks.items()} if not self.words else {}
         self.separator = ranks.get(b"\0 ")
-        self.known: dict[str, bytes] = {}
+        self.pieces = _Pieces()
         self.size = 1 + max([*ranks.values(), *self.specials.values()])
         self.fast = tiktoken.Encoding("file", pat_str="[^ ]+ " if self.words else BYTE_PATTERN, mergeable_ranks=ranks,
                                       special_tokens={} if self.words else self.specials)
@@ -65,41 +104,56 @@ class Encoder:
         if not text:
             return np.empty(0, "<u4")
         if not self.words:
+            if len(text) > LONG_RUN and _LONG_RUN.search(text):
+                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
         return self.batch([text])[0]
 
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+    def batch(self, texts: list[str | None] | pa.StringArray) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text; none for null."""
         if not self.words:
-            return [self.ids(t) for t in texts]
-        if len(self.known) > KEPT_PIECES:
-            self.known = {}
-        known = self.known
-        cut = [[t] if t and any(s in t for s in self.specials) else t.replace("\n", " ").split(" ") if t else []
-               for t in texts]
-        new = set().union(*cut).difference(known)
-        found = self._encode_pieces(list(new)) if new else {}
-        known.update(found)
-        at = known.__getitem__
-        out = [np.frombuffer(b"".join(map(at, pieces)), "<u4") for pieces in cut]
-        for piece in found:
-            if len(piece) > KEPT_CHARS:
-                del known[piece]
-        return out
-
-    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        plain = [p for p in pieces if not _UNSAFE.search(p) and not any(s in p for s in self.specials)]
+            return [self.ids(t) for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)]
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces = _Pieces()
+        known = self.pieces
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        special = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in self.specials])
+        # cut by Arrow: only different pieces become Python strings
+        cut = pc.split_pattern(pc.replace_substring(pc.if_else(special, "", texts), "\n", " "), " ")
+        words = cut.flatten().dictionary_encode()
+        place = np.fromiter(map(known.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        of, ends = place[words.indices.to_numpy()], cut.offsets.to_numpy()[1:].astype(np.int64)
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            of[ends[i] - 1] = known.whole(texts[i].as_py())  # in place of the one empty piece
+        if known.new:
+            known.add(*self._encode_pieces(known.new, known.left_whole))
+        size = known.sizes[of]
+        stops = np.cumsum(size)
+        out = known.pool[np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(known.starts[of] - stops + size, size)]
+        cuts = np.r_[0, stops][ends].tolist()
+        known.forget()
+        return [out[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def _encode_pieces(self, pieces: list[str], whole: set[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after the other, and how many each has."""
+        odd = [i for i, p in enumerate(pieces) if _UNSAFE.search(p) or p in whole]
+        plain = pieces
+        if odd:
+            other = self.tokenizer.encode_batch_fast([pieces[i] for i in odd], add_special_tokens=False)
+            plain = pieces.copy()
+            for i in odd:
+                plain[i] = ""
         text = _NO_WORD.sub(r" \g<0> ", " \0 ".join(plain).lower()).replace("\t", " ").replace("\r", " ") + " \0 "
         ids = np.array(self.fast.encode_ordinary(text), "<u4")
         ends = np.flatnonzero(ids == self.separator)
-        data = ids.tobytes()
-        starts = np.r_[0, ends[:-1] + 1] * 4
-        out = {p: data[a:b] for p, a, b in zip(plain, starts.tolist(), (ends * 4).tolist())}
-        if len(out) < len(pieces):
-            other = [p for p in pieces if p not in out]
-            for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-                out[p] = np.array(e.ids, "<u4").tobytes()
-        return out
+        sizes = np.diff(np.r_[-1, ends]) - 1
+        ids = np.delete(ids, ends)
+        if odd:
+            parts = np.split(ids, np.cumsum(sizes)[:-1])
+            for i, e in zip(odd, other):
+                parts[i] = np.array(e.ids, "<u4")
+            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        return ids, sizes
 
     def ending_with(self, ends: tuple[bytes, ...]) -> np.ndarray:
         """For each id of a byte-level file, whether its bytes end so."""
