@@ -1,9 +1,10 @@
 """Nearest-neighbour detectors (M2, M3) on the standardised features of a series.
 
-A short series is one bounded group. A long one is cut into cells by a space-partitioning tree
-built from a sample. A row first searches its own cell; the k-th distance found there bounds its
-true one, so it then visits only the cells whose bounding box is nearer than that. The result is
-exact, cells stay bounded, and pairs of rows in far-apart cells are never formed.
+A short series is one bounded group. A long one becomes a tree with at most ``FAN`` children a node, built from a bounded
+sample of each node and level by level, so its size sets no limit. A row first searches its own cell; the k-th distance found
+there is its reach. It then goes down the tree's boxes, node by node, and gets the list of cells that its reach touches,
+nearest first. Rounds visit the next few cells of each list and shrink the reach, until no cell is left inside
+it. The result is exact, every group is bounded, and rows in far-apart cells never meet.
 """
 
 from __future__ import annotations
@@ -17,7 +18,14 @@ from seriesguard.frame import SeriesFrame, attach, cogrouped, store
 from seriesguard.operators.features import FEATURES, scaled_features, stored_features
 
 CELL_ROWS = 4_096
-MAX_SPLITS = 12
+#: Children of a node, as a power of two, and rows that a node's cuts are taken from for each child.
+FAN_BITS = 10
+FAN = 1 << FAN_BITS
+SAMPLE_ROWS = 16
+#: Cells that a row visits in the first round; each further round visits GROWTH times as many, up to MOST_VISITS.
+FIRST_VISITS = 2
+GROWTH = 4
+MOST_VISITS = 64
 QUERY_ROWS = 20_000
 TINY = 1e-10
 
@@ -105,16 +113,18 @@ def _whole_series(keys: list[str], knn: int | None, lof: int | None):
     return run
 
 
-def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: int,
-               cell_rows: int) -> DataFrame:
-    """Keys, position, ``ids`` and ``dists`` of the k nearest rows, for series of ``_m`` > k rows."""
-    n_cells = 4 * total // cell_rows + 1
+def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: int, cell_rows: int,
+               fan_bits: int = FAN_BITS, report: list | None = None) -> DataFrame:
+    """Keys, position, ``ids`` and ``dists`` of the k nearest rows, for series of ``_m`` > k rows.
+
+    ``report`` gets one (rows still searching, cells they visit) for each round.
+    """
     cell = [*keys, "_leaf", "_part"]
-    placed = _cells(rows, keys, n_series, n_cells, cell_rows)
-    boxes = placed.groupBy(*cell).agg(
-        F.array(*[F.min(f) for f in FEATURES]).alias("_low"), F.array(*[F.max(f) for f in FEATURES]).alias("_high"))
-    types = {c: placed.schema[c].dataType.simpleString() for c in [*cell, "i", *FEATURES]}
-    listed = ", ".join(f"`{c}` {types[c]}" for c in [*cell, "i", *FEATURES])
+    placed, levels = _tree(rows, keys, n_series, total, cell_rows, fan_bits)
+    types = {c: placed.schema[c].dataType.simpleString() for c in [*cell, "i"]}
+    types |= {"_node": "bigint", "_reach": "double"} | dict.fromkeys(FEATURES, "double")
+    ddl = lambda names, *more: ", ".join([*[f"`{c}` {types[c]}" for c in names], *more])
+    found_type = ["ids array<long>", "dists array<double>"]
 
     def in_cell(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("i")
@@ -122,37 +132,12 @@ def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: i
         ids, dists = nearest(x, at, x, at, k)
         return part[[*cell, "i", *FEATURES]].assign(ids=list(ids), dists=list(dists))
 
-    local = store(placed.groupBy(*cell).applyInPandas(
-        in_cell, f"{listed}, ids array<long>, dists array<double>"))
-
-    def to_visit(part: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        low, high = np.stack(others["_low"]), np.stack(others["_high"])
-        out = []
-        step = max(1, 4_000_000 // max(1, low.size))
-        for first in range(0, len(part), step):
-            piece = part.iloc[first:first + step]
-            x = piece[list(FEATURES)].to_numpy()[:, None, :]
-            gap = np.maximum(0.0, np.maximum(low[None] - x, x - high[None]))
-            near = np.sqrt((gap * gap).sum(axis=2)) < piece["_reach"].to_numpy()[:, None]
-            own = ((piece["_leaf"].to_numpy()[:, None] == others["_leaf"].to_numpy()[None, :])
-                   & (piece["_part"].to_numpy()[:, None] == others["_part"].to_numpy()[None, :]))
-            query, target = np.nonzero(near & ~own)
-            out.append(piece.iloc[query].assign(
-                _leaf=others["_leaf"].to_numpy()[target], _part=others["_part"].to_numpy()[target]))
-        return pd.concat(out)[[*cell, "i", *FEATURES, "_reach"]]
-
-    queries = local.select(*cell, "i", *FEATURES, F.col("dists")[k - 1].alias("_reach")) \
-        .withColumn("_chunk", F.expr(f"i div {QUERY_ROWS}"))
-    # each chunk of queries gets its own copy of the series' boxes
-    chunks = queries.select(*keys, "_chunk").distinct()
-    spread = boxes.join(chunks, keys)
-    visits = store(cogrouped(queries, spread, [*keys, "_chunk"], to_visit, f"{listed}, _reach double"))
-    # popular cells are searched by several groups, each with a copy of the cell
-    loads = visits.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("_groups"))
-    visits = attach(visits, loads, cell, n_cells).withColumn(
-        "_group", F.pmod(F.xxhash64("i"), F.col("_groups")))
-    points = attach(placed.select(*cell, "i", *FEATURES), loads, cell, n_cells).withColumn(
-        "_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)))
+    state = store(placed.groupBy(*cell).applyInPandas(in_cell, ddl([*cell, "i", *FEATURES], *found_type)))
+    boxes = placed.groupBy(*keys, "_leaf").agg(
+        F.array(*[F.min(f) for f in FEATURES]).alias("_low"), F.array(*[F.max(f) for f in FEATURES]).alias("_high"),
+        F.count(F.lit(1)).alias("_n"), (F.max("_part") + 1).cast("int").alias("_parts"))
+    pending = _descend(state.withColumn("_reach", F.col("dists")[k - 1]), boxes, keys, levels, k, fan_bits, ddl)
+    points = placed.select(*cell, "i", *FEATURES)
 
     def search(asked: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("i")
@@ -160,24 +145,59 @@ def neighbours(rows: DataFrame, keys: list[str], k: int, n_series: int, total: i
                              part[list(FEATURES)].to_numpy(), part["i"].to_numpy(), k)
         return asked[[*keys, "i"]].assign(ids=list(ids), dists=list(dists))
 
-    listed = ", ".join(f"`{c}` {types[c]}" for c in [*keys, "i"])
-    away = cogrouped(visits, points, [*cell, "_group"], search, f"{listed}, ids array<long>, dists array<double>")
-    both = local.select(*keys, "i", "ids", "dists").unionByName(away)
-    pairs = F.flatten(F.collect_list(F.arrays_zip("dists", "ids")))
-    merged = both.groupBy(*keys, "i").agg(F.slice(F.array_sort(pairs), 1, k).alias("_best"))
-    return store(merged.select(*keys, "i", F.col("_best.ids").alias("ids"), F.col("_best.dists").alias("dists")))
-
-
-def _cells(rows: DataFrame, keys: list[str], n_series: int, n_cells: int, cell_rows: int) -> DataFrame:
-    """Place each row in a leaf of its series' tree, and in a part of the leaf where it is large.
-
-    Rows that no split can separate, such as copies, fill one leaf; its parts keep groups bounded.
+    at = [*keys, "i"]
+    state = state.join(pending, at, "left")
+    done, visits = [], FIRST_VISITS
+    while True:
+        near = F.filter(F.coalesce("_pending", F.array().cast("array<struct<d:double,leaf:bigint,parts:int>>")),
+                        lambda c: c["d"] < F.col("dists")[k - 1])
+        state = store(state.select(*cell, "i", *FEATURES, "ids", "dists", near.alias("_pending")))
+        done.append(state.where(F.size("_pending") == 0).select(*at, "ids", "dists"))
+        state = state.where(F.size("_pending") > 0)
+        asked = state.select(*cell, "i", *FEATURES, F.explode(F.slice("_pending", 1, visits)).alias("_c"))
+        # a leaf may have several parts, of which a row has seen its own
+        asked = asked.select(*keys, "i", *FEATURES, F.col("_leaf").alias("_own"), F.col("_part").alias("_mine"),
+                             F.col("_c.leaf").alias("_leaf"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c.parts").cast("long") - 1))
+                             .alias("_part")).where((F.col("_own") != F.col("_leaf")) | (F.col("_mine") != F.col("_part")))
+        asked = store(asked.drop("_own", "_mine"))
+        sums = asked.agg(F.count(F.lit(1)).alias("visits")).first()
+        if not sums["visits"]:
+            done.append(state.select(*at, "ids", "dists"))
+            break
+        if report is not None:
+            report.append((state.count(), sums["visits"]))
+        # popular cells are searched by several groups, each with a copy of the cell
+        loads = asked.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("_groups"))
+        asked = asked.join(loads, cell).withColumn("_group", F.pmod(F.xxhash64("i"), F.col("_groups")))
+        held = points.join(loads, cell).withColumn(
+            "_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)))
+        away = cogrouped(asked.select(*cell, "_group", "i", *FEATURES), held.select(*cell, "_group", "i", *FEATURES),
+                         [*cell, "_group"], search, ddl([*keys, "i"], *found_type))
+        # at most as many lists as cells of this round
+        pairs = F.flatten(F.collect_list(F.arrays_zip("dists", "ids")))
+        merged = away.groupBy(*at).agg(F.slice(F.array_sort(pairs), 1, k).alias("_new"))
+        best = F.slice(F.array_sort(F.concat(F.arrays_zip("dists", "ids"), F.coalesce("_new", F.array().cast(
+            "array<struct<dists:double,ids:bigint>>")))), 1, k)
+        state = state.join(merged, at, "left").withColumn("_best", best).select(
+            *cell, "i", *FEATURES, F.col("_best.ids").alias("ids"), F.col("_best.dists").alias("dists"),
+            F.slice("_pending", visits + 1, 1 << 30).alias("_pending"))
+        visits = min(MOST_VISITS, visits * GROWTH)
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _tree(rows: DataFrame, keys: list[str], n_series: int, total: int, cell_rows: int,
+          fan_bits: int) -> tuple[DataFrame, int]:
+    """Each row with its leaf and, where a leaf is large, a part of it; and the number of levels.
+
+    A level cuts every node that is too large into up to 2 ** fan_bits children. Rows that no cut separates, such as
+    copies, fill one leaf; its parts keep groups bounded.
     """
-    leaves = F.ceil(F.col("_m") / cell_rows)
-    splits = F.least(F.ceil(F.log2(leaves)), F.lit(MAX_SPLITS)).cast("int")
-    sampled = rows.withColumn("_splits", splits).where(
-        F.pmod(F.xxhash64("i"), F.col("_m")) < 16 * F.pow(F.lit(2), F.col("_splits")))
     key_types = ", ".join(f"`{key}` {rows.schema[key].dataType.simpleString()}" for key in keys)
+    node, levels, largest = [*keys, "_leaf"], 0, None
+    rows = rows.select(*keys, "i", *FEATURES, F.lit(0).cast("long").alias("_leaf"), F.col("_m").alias("_n"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         x, depth = part[list(FEATURES)].to_numpy(), int(part["_splits"].iloc[0])
@@ -191,22 +211,92 @@ def _cells(rows: DataFrame, keys: list[str], n_series: int, n_cells: int, cell_r
                 cuts[node] = float(np.median(here[:, dims[node]]))
                 above = here[:, dims[node]] > cuts[node]
                 inside[2 * node + 1], inside[2 * node + 2] = members[~above], members[above]
-        return part[keys].iloc[:1].assign(_dims=[dims], _cuts=[cuts])
+        return part[[*keys, "_leaf"]].iloc[:1].assign(_dims=[dims], _cuts=[cuts])
 
-    trees = sampled.groupBy(*keys).applyInPandas(build, f"{key_types}, _dims array<int>, _cuts array<double>")
-    rows = attach(rows.withColumn("_splits", splits), trees, keys, n_series, "left", values=2 * 2 ** MAX_SPLITS)
     values = F.array(*FEATURES)
 
     def step(node, _):
-        return 2 * node + 1 + F.when(
-            F.get(values, F.get("_dims", node)) > F.get("_cuts", node), 1).otherwise(0).cast("int")
-
-    node = F.aggregate(F.sequence(F.lit(1), F.greatest("_splits", F.lit(1))), F.lit(0), step)
-    leaf = F.when((F.col("_splits") > 0) & F.col("_dims").isNotNull(), node).otherwise(0)
-    placed = rows.select(*keys, "i", *FEATURES, leaf.cast("int").alias("_leaf"))
-    sizes = placed.groupBy(*keys, "_leaf").agg(F.ceil(F.count(F.lit(1)) / cell_rows).alias("_parts"))
-    placed = attach(placed, sizes, [*keys, "_leaf"], n_cells)
-    return placed.withColumn("_part", F.pmod(F.xxhash64("i", F.lit(1)), F.col("_parts"))).drop("_parts")
+        return 2 * node + 1 + F.when(F.get(values, F.get("_dims", node)) > F.get("_cuts", node), 1).otherwise(0).cast("int")
+
+    while True:
+        most = rows.agg(F.max("_n")).first()[0] or 0
+        # a level that separates next to nothing leaves copies only
+        if levels and (most <= 4 * cell_rows or most > 0.9 * largest) or levels * fan_bits > 60 - fan_bits:
+            break
+        largest = most
+        splits = F.least(F.ceil(F.log2(F.col("_n") / cell_rows)), F.lit(fan_bits)).cast("int")
+        rows = rows.withColumn("_splits", F.greatest(splits, F.lit(0)))
+        sampled = rows.where((F.col("_splits") > 0) & (
+            F.pmod(F.xxhash64("i", F.lit(levels)), F.col("_n")) < SAMPLE_ROWS * F.pow(F.lit(2), F.col("_splits"))))
+        trees = sampled.groupBy(*node).applyInPandas(build, f"{key_types}, _leaf long, _dims array<int>, _cuts array<double>")
+        nodes = 2 * total // cell_rows + n_series
+        placed = attach(rows, trees, node, nodes, "left", values=2 << fan_bits)
+        leaf = F.aggregate(F.sequence(F.lit(1), F.greatest("_splits", F.lit(1))), F.lit(0), step)
+        # children of a node of s splits are its numbers 2 ** s - 1 and up
+        child = F.when((F.col("_splits") > 0) & F.col("_dims").isNotNull(), leaf + 1 - F.pow(F.lit(2), F.col("_splits"))).otherwise(0)
+        placed = store(placed.select(*keys, "i", *FEATURES, (F.col("_leaf") * (1 << fan_bits) + child.cast("long")).alias("_leaf")))
+        sizes = placed.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"))
+        rows = attach(placed, sizes, node, 4 * total // cell_rows + n_series)
+        levels += 1
+    parts = F.ceil(F.col("_n") / cell_rows)
+    return rows.withColumn("_part", F.pmod(F.xxhash64("i", F.lit(1)), parts)).drop("_n"), levels
+
+
+def _descend(queries: DataFrame, boxes: DataFrame, keys: list[str], levels: int, k: int, fan_bits: int, ddl) -> DataFrame:
+    """Keys, position and ``_pending``: the leaves (distance of the box, leaf, its parts) that a row's reach touches, nearest first.
+
+    A group holds some rows and the boxes of one node's children. Its own leaf is among a row's leaves only if it has more parts.
+    """
+    merged = lambda f, name: F.transform(F.sequence(F.lit(0), F.lit(len(FEATURES) - 1)), lambda j: f(
+        F.transform(F.col(name), lambda box: box[j])))
+
+    def children(level: int) -> DataFrame:
+        """One row for each node of a level: its children's boxes, row counts and parts."""
+        shift = fan_bits * (levels - level - 1)
+        at = boxes.withColumn("_child", F.shiftright("_leaf", shift))
+        if shift:
+            at = at.groupBy(*keys, "_child").agg(
+                F.collect_list("_low").alias("l"), F.collect_list("_high").alias("h"), F.sum("_n").alias("_n"),
+                F.max("_parts").alias("_parts")).select(*keys, "_child", merged(F.array_min, "l").alias("_low"),
+                                                        merged(F.array_max, "h").alias("_high"), "_n", "_parts")
+        return at.groupBy(*keys, F.shiftright("_child", fan_bits).alias("_node")).agg(F.collect_list(F.struct(
+            "_child", "_low", "_high", "_n", "_parts")).alias("_children"))
+
+    def touched(part: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
+        kids = node["_children"].iloc[0]
+        low, high = np.stack([c["_low"] for c in kids]), np.stack([c["_high"] for c in kids])
+        child, many = np.array([c["_child"] for c in kids]), np.array([c["_n"] for c in kids]) > k
+        parts = np.array([c["_parts"] for c in kids])
+        out = []
+        step = max(1, 4_000_000 // max(1, low.size))
+        for first in range(0, len(part), step):
+            piece = part.iloc[first:first + step]
+            x = piece[list(FEATURES)].to_numpy()[:, None, :]
+            gap = np.maximum(0.0, np.maximum(low[None] - x, x - high[None]))
+            gap = np.sqrt((gap * gap).sum(axis=2))
+            reach = piece["_reach"].to_numpy()
+            if many.any():  # a box with more than k rows has k neighbours no farther than its farthest corner
+                far = np.maximum(np.abs(x - low[None, many]), np.abs(x - high[None, many]))
+                reach = np.minimum(reach, np.nextafter(np.sqrt((far * far).sum(axis=2)).min(axis=1) * (1 + 1e-12), np.inf))
+            query, target = np.nonzero(gap < reach[:, None])
+            at = piece.iloc[query]
+            out.append(at[[*keys, "i", *FEATURES]].assign(
+                _reach=reach[query], _leaf=at["_leaf"].to_numpy(), _node=child[target], d=gap[query, target], parts=parts[target]))
+        return pd.concat(out)
+
+    at = [*keys, "i"]
+    asked = queries.select(*at, *FEATURES, "_reach", "_leaf").withColumn("_node", F.lit(0).cast("long"))
+    for level in range(levels):
+        chunk = F.expr(f"i div {QUERY_ROWS}")
+        asked = asked.withColumn("_chunk", chunk)
+        nodes = children(level).join(asked.select(*keys, "_node", "_chunk").distinct(), [*keys, "_node"])
+        asked = cogrouped(asked.select(*at, *FEATURES, "_reach", "_leaf", "_node", "_chunk"), nodes, [*keys, "_node", "_chunk"],
+                          touched, ddl([*at, *FEATURES, "_reach", "_leaf", "_node"], "d double", "parts int"))
+        if level + 1 < levels:
+            asked = store(asked.drop("d", "parts"))
+    own = F.col("_node") == F.col("_leaf")
+    return asked.where(~own | (F.col("parts") > 1)).groupBy(*at).agg(F.array_sort(F.collect_list(F.struct(
+        "d", F.col("_node").alias("leaf"), "parts"))).alias("_pending"))
 
 
 def outlier_factors(found: DataFrame, keys: list[str], k: int) -> DataFrame:

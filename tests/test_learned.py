@@ -7,7 +7,7 @@ from seriesguard.frame import series_frame
 from seriesguard.operators.features import FEATURES, features, scaled_features
 from seriesguard.operators.hbos import hbos_scores
 from seriesguard.operators.iforest import iforest_scores
-from seriesguard.operators.neighbors import neighbour_scores
+from seriesguard.operators.neighbors import nearest, neighbour_scores, neighbours
 from seriesguard.operators.ocsvm import boundary_distance, gram, ocsvm_scores
 from seriesguard.operators.pca import pca_scores
 from seriesguard.plans.registry import LEARNED, detect
@@ -73,6 +73,38 @@ def test_neighbours_match_brute_force(frame, series, cell_rows):
             assert np.allclose(part["lof"], lof, atol=1e-8), k
 
 
+@pytest.mark.parametrize("fan_bits, cell_rows, shape", [(10, 32, "spread"), (2, 16, "spread"), (1, 8, "tied"), (3, 20, "far"), (2, 8, "one")])
+def test_tree_descent_is_exact(spark, fan_bits, cell_rows, shape):
+    """Several levels, leaves with parts, tiny leaves, an outlier, two series of unlike size."""
+    rng = np.random.default_rng(fan_bits)
+    made = {}
+    for key, n in (("a", 400), ("b", 90)):
+        x = rng.normal(size=(n, 11)) * rng.exponential(1, 11)
+        if shape == "tied":
+            x = np.round(x)
+            x[: n // 2] = x[0]
+        elif shape == "far":
+            x[:3] += 1e6
+        elif shape == "one":
+            x[:, 1:] = 0
+        made[key] = x
+    rows = pd.DataFrame([(key, i + 10, len(x), *v) for key, x in made.items() for i, v in enumerate(x)], columns=["k", "i", "_m", *FEATURES])
+    report = []
+    found = neighbours(spark.createDataFrame(rows), ["k"], 7, 2, len(rows), cell_rows, fan_bits, report).toPandas()
+    assert len(found) == len(rows) and report
+    for key, x in made.items():
+        at = np.arange(len(x)) + 10
+        ids, dists = nearest(x, at, x, at, 7)
+        part = found[found.k == key].sort_values("i")
+        got = np.stack(part["dists"])
+        assert part["i"].tolist() == at.tolist() and np.allclose(got, dists, rtol=1e-12, atol=1e-12)
+        if shape in ("spread", "far"):
+            assert np.array_equal(np.stack(part["ids"]), ids)
+        else:  # ties may be broken either way, but the rows named are as far as stated
+            named = x[np.stack(part["ids"]) - 10]
+            assert np.allclose(np.sqrt(((named - x[:, None]) ** 2).sum(axis=2)), got, atol=1e-9)
+
+
 def test_boundary_is_optimal():
     x = np.random.default_rng(3).normal(size=(150, 11))
     value, kernel = boundary_distance(x, 0.2), gram(x, "rbf")
