@@ -25,9 +25,9 @@ import pyarrow.compute as pc
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_END = "</w>"
 
-#: Pieces kept per Python worker; with more the store is emptied, and also after pieces that are longer on average.
+#: Pieces, and ids of all of them, kept per Python worker; with more the store is emptied.
 KEPT_PIECES = 800_000
-KEPT_CHARS = 40
+KEPT_IDS = 8_000_000
 
 #: A text with so long a run of white space goes through the library: the other's pattern matcher gives up on a million.
 LONG_RUN = 1 << 16
@@ -64,15 +64,16 @@ class _Pieces(dict):
         self.left_whole.add(text)
         return self[text]
 
+    def single(self, id_: int) -> int:
+        """A piece that is one id and no text."""
+        if id_ not in self:
+            self[id_] = len(self)
+            self.add(np.array([id_], "<u4"), np.array([1]))
+        return self[id_]
+
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.r_[self.starts, len(self.pool) + np.cumsum(sizes) - sizes]
         self.sizes, self.pool = np.r_[self.sizes, sizes], np.concatenate([self.pool, ids])
-
-    def forget(self) -> None:
-        """Start anew if long pieces were among the last ones."""
-        if any(len(p) > KEPT_CHARS for p in self.new) and sum(map(len, self.new)) > KEPT_CHARS * len(self.new):
-            self.__init__()
-            self.clear()
         self.new, self.left_whole = [], set()
 
 
@@ -113,8 +114,16 @@ class Encoder:
         """Unsigned 32-bit ids of each text; none for null."""
         if not self.words:
             return [self.ids(t) for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)]
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces = _Pieces()
+        of, ends = self.pieces_of(texts)
+        size = self.pieces.sizes[of]
+        stops = np.cumsum(size)
+        places = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(self.pieces.starts[of] - stops + size, size)
+        out, cuts = self.pieces.pool[places], np.r_[0, stops][ends].tolist()
+        self.forget()
+        return [out[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def pieces_of(self, texts: list[str | None] | pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts, and where each text's end. ``pieces`` has their ids until ``forget``."""
         known = self.pieces
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         special = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in self.specials])
@@ -127,12 +136,15 @@ class Encoder:
             of[ends[i] - 1] = known.whole(texts[i].as_py())  # in place of the one empty piece
         if known.new:
             known.add(*self._encode_pieces(known.new, known.left_whole))
-        size = known.sizes[of]
-        stops = np.cumsum(size)
-        out = known.pool[np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(known.starts[of] - stops + size, size)]
-        cuts = np.r_[0, stops][ends].tolist()
-        known.forget()
-        return [out[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+        return of, ends
+
+    def full(self) -> bool:
+        return len(self.pieces) > KEPT_PIECES or len(self.pieces.pool) > KEPT_IDS
+
+    def forget(self) -> None:
+        """Drop the pieces if there are many, or long ones."""
+        if self.full():
+            self.pieces = _Pieces()
 
     def _encode_pieces(self, pieces: list[str], whole: set[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, one after the other, and how many each has."""
