@@ -1,20 +1,23 @@
 """Metric CSV files under ``<root>/<cloudbed>/metric/<category>/*.csv``.
 
-Columns are matched by name in every file. Spark's CSV reader matches by position, so one pass over the
-lines finds the header of each file, and the rows are then parsed with the positions their own file's header
-states. Paths and headers stay in a table; the driver sees counts only.
+Columns are matched by name in every file. Spark's CSV reader matches by position, so the first line of each file is
+looked up, and the rows are then parsed with the positions their own file's header states. For the first lines a
+task opens one file and stops after its first batch of lines, so the text itself is read once. Paths and headers stay in a
+table; the driver sees counts only.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesguard.frame import BROADCAST_BYTES, store
+from seriesguard.frame import BROADCAST_BYTES, shared_dir
 from seriesguard.functions.names import seconds_to_time
 
 logger = logging.getLogger(__name__)
@@ -43,7 +46,7 @@ def read_metrics(spark: SparkSession, root: str, cloudbed: str | None = None,
     ``cloudbed`` picks one directory by exact name; ``name_contains`` and ``date_pattern`` are
     substrings of the directory name; ``categories`` None means any. Files lacking a needed
     column are left out with a warning, or raise when ``strict``. ``header`` states one header
-    line all files share and saves the pass that looks for headers.
+    line all files share and saves opening every file for its own.
     """
     rows = _rows(spark, root, _wanted(cloudbed, name_contains, date_pattern, categories), strict, header)
     return rows.where("timestamp is not null").select(*NAMES)
@@ -115,8 +118,7 @@ def _wanted(cloudbed: str | None = None, name_contains: str | None = None, date_
 def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header: str | None = None) -> DataFrame:
     """Every row with the columns of SCHEMA; time and value are null where they are no numbers."""
     try:
-        lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
-                 .where(wanted & (F.trim("value") != "")).select("value", file_path().alias("path")))
+        lines = _lines(spark, path, wanted).select("value", file_path().alias("path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -126,7 +128,7 @@ def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header:
         found, width = lines.withColumn("header", F.lit(header)), len(names)
         places = {c: F.lit(names.index(c)) for c in COLUMNS}
     else:
-        headers, size, width = _headers(lines, strict)
+        headers, size, width = _headers(_first_lines(spark, path, wanted), strict)
         if not width:
             return spark.createDataFrame([], SCHEMA)
         found = lines.join(F.broadcast(headers) if size <= BROADCAST_BYTES else headers, "path")
@@ -142,12 +144,39 @@ def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header:
         cell["value"].try_cast("double").alias("value"))
 
 
+def _lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
+    """Lines that are not blank."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path) \
+        .where(wanted & (F.trim("value") != ""))
+
+
+def _first_lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
+    """(path, value): the first line of each file, stored."""
+    # settings of a session of its own: a file is one partition, and none has two files
+    session = spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(name, str(1 << 40))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    lines = _lines(session, path, wanted).select(
+        file_path().alias("path"), "value", F.col("_metadata.file_block_start").alias("start"))
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column(2)[0].as_py() == 0:  # not inside a file beyond that size
+                    yield pa.RecordBatch.from_arrays([batch.column(i).slice(0, 1) for i in (0, 1)], names=["path", "value"])
+                return  # the rest of the file is not read
+
+    target = f"{shared_dir(spark)}/seriesguard-{uuid.uuid4().hex}"
+    lines.mapInArrow(first, "path string, value string").write.parquet(target)
+    return spark.read.schema("path string, value string").parquet(target)
+
+
 def _headers(lines: DataFrame, strict: bool) -> tuple[DataFrame, int, int]:
-    """(path, header, names) of the files that have all columns, the table's bytes, and the most columns of a file."""
+    """(path, header, names) of the files whose first line has all columns, the table's bytes, and the most columns of a file."""
     names = F.transform(F.split("value", ","), lambda n: F.btrim(n, F.lit(' "\ufeff')))
     is_header = F.array_size(F.array_intersect(names, F.array(*[F.lit(c) for c in COLUMNS]))) == len(COLUMNS)
-    files = store(lines.groupBy("path").agg(F.max(F.when(is_header, F.struct(
-        F.col("value").alias("header"), names.alias("names")))).alias("h")).select("path", "h.header", "h.names"))
+    files = lines.select("path", F.when(is_header, F.col("value")).alias("header"), F.when(is_header, names).alias("names"))
     lacking = F.col("header").isNull()
     seen = files.agg(
         F.count_if(lacking).alias("without"),

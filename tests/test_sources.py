@@ -1,3 +1,4 @@
+import datetime
 import math
 
 import numpy as np
@@ -118,9 +119,52 @@ def test_store_round_trip_and_pruning(spark, root, tmp_path):
     rows = store.read_store(spark, path, "svcA", "cpu_usage", start, end)
     assert [r["value"] for r in rows.orderBy("timestamp").collect()] == SVC_A[1:4]
     assert store.read_store(spark, path, "svcA", end_ms=0).count() == 0
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(device" in plan
-    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = store.read_store(spark, path, "svcA", "cpu_usage", start, end)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(device_bucket" in plan
+    for pushed in ("EqualTo(device,svcA)", "EqualTo(measurement,cpu_usage)", "GreaterThanOrEqual(timestamp", "LessThanOrEqual(timestamp"):
+        assert pushed in plan[plan.index("PushedFilters"):]
+
+
+def test_store_is_merged(spark, tmp_path, monkeypatch):
+    """Later rows win, other rows and buckets stay, names are told apart by their raw form, many series are few files."""
+    monkeypatch.setattr(store, "BUCKET_ROWS", 200)
+    path, kind = str(tmp_path / "merged"), "cmdb_id string, kpi_name string, timestamp timestamp, value double"
+
+    def rows(values):
+        return spark.createDataFrame([(d, k, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=t), float(v))
+                                      for (d, k, t), v in values.items()], kind)
+
+    held = {(f"d{i}", f"k{j}", t): i + j + t for i in range(40) for j in range(10) for t in range(5)}
+    held |= {("a/b", "k", 1): 1, ("a_b", "k", 1): 2, (None, "k", 1): 3}
+    store.write_store(rows(held), path, mode="append")  # the first write makes the store
+    folders = sorted(p.name for p in (tmp_path / "merged" / "buckets=16").iterdir() if p.is_dir())
+    assert 10 < len(folders) <= 16
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "merged").rglob("*.parquet")}
+    assert len(before) < 100
+
+    def back(**where):
+        found = store.read_store(spark, path, **where).collect()
+        out = {(r["device_name"], r["measurement_name"], r["timestamp"].second): r["value"] for r in found}
+        assert len(out) == len(found)
+        return out
+
+    assert back() == held
+    new = {("d3", "k1", 2): -1, ("d3", "k1", 9): -2, ("a_b", "k", 1): -3, (None, "k", 1): -4}
+    store.write_store(rows(new), path, mode="append")
+    held |= new
+    assert back() == held
+    same = [p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]]
+    assert len({p.parent for p in same}) >= len(folders) - 3  # buckets without new rows were left alone
+    assert back(device="d3") == {k: v for k, v in held.items() if k[0] == "d3"}
+    assert back(device="a/b") == {k: v for k, v in held.items() if k[0] in ("a/b", "a_b")}
+    store.write_store(rows({}), path, mode="append")
+    assert back() == held
+    store.write_store(rows(new), path)
+    assert back() == new
+    with pytest.raises(ValueError):
+        store.write_store(rows(new), path, mode="ignore")
 
 
 def test_job_writes_rows_and_counts(spark, root, tmp_path):
