@@ -733,6 +733,75 @@ lo AS (SELECT nk.{key}, nk.i, avg(o.density) / any_value(de.density) AS score
   FROM nk JOIN de o ON o.{key} = nk.{key} AND o.i = nk.j JOIN de ON de.{key} = nk.{key} AND de.i = nk.i GROUP BY 1, 2)"""
 
 
+def forest_sql(key: str, trees: int = 100, sample: int = 256) -> str:
+    """The isolation forest grown level by level on all rows at once; sampled ones decide.
+
+    The same digests as the library's: of tree and span for the sample, of tree and node for feature and cut.
+    """
+    chance = lambda what, place: f"('0x' || md5('{what}:' || tree || ':' || {place})[1:8])::BIGINT / 4294967296.0"
+    varied = [f"(h{j} > l{j})::INT" for j in range(len(FEATURES))]
+    # place of a feature among those that vary
+    pick = " ".join(f"WHEN h{j} > l{j} AND {' + '.join(varied[:j]) or 0} = rk THEN {j}" for j in range(len(FEATURES)))
+    choose = lambda name: " ".join(f"WHEN {j} THEN {name.format(j=j)}" for j in range(len(FEATURES)))
+    ends = ", ".join(f"min(f{j}) FILTER (WHERE s) OVER g AS l{j}, max(f{j}) FILTER (WHERE s) OVER g AS h{j}" for j in range(len(FEATURES)))
+    cols = ", ".join(f"f{j}" for j in range(len(FEATURES)))
+    usual = "CASE WHEN {c} > 2 THEN 2.0 * (ln({c} - 1.0) + 0.5772156649015329) - 2.0 * ({c} - 1.0) / {c} WHEN {c} = 2 THEN 1.0 ELSE 0.0 END"
+    return f"""{features_sql(key)},
+fr AS MATERIALIZED (SELECT {key}, i, i - 10 AS r, {", ".join(f"{f} AS f{j}" for j, f in enumerate(FEATURES))},
+  count(*) OVER (PARTITION BY {key}) AS m FROM ft),
+tt AS (SELECT unnest(range({trees})) AS tree),
+sa AS MATERIALIZED (SELECT {key}, tree, CAST(floor((j + {chance("row", "j")}) * m / {sample}) AS BIGINT) AS r
+  FROM (SELECT {key}, max(m) AS m FROM fr GROUP BY 1 HAVING max(m) > {sample}), tt, (SELECT unnest(range({sample})) AS j)),
+st AS (SELECT fr.*, tt.tree, m <= {sample} OR sa.r IS NOT NULL AS s, least(m, {sample}) AS size
+  FROM fr CROSS JOIN tt LEFT JOIN sa ON sa.{key} = fr.{key} AND sa.tree = tt.tree AND sa.r = fr.r),
+gw({key}, i, tree, s, size, {cols}, level, node, path) AS (
+  SELECT {key}, i, tree, s, size, {cols}, 0, 0::BIGINT, NULL::DOUBLE FROM st
+  UNION ALL
+  SELECT {key}, i, tree, s, size, {cols}, level + 1,
+    2 * node + 1 + (CASE dim {choose("f{j}")} END > CASE dim {choose("l{j}")} END + {chance("cut", "node")}
+      * (CASE dim {choose("h{j}")} END - CASE dim {choose("l{j}")} END))::INT,
+    CASE WHEN coalesce(vs, 0) = 0 OR c <= 1 OR level = ceil(log2(greatest(size, 2))) THEN level + {usual.format(c="c")} END
+  FROM (SELECT *, CASE {pick} ELSE 0 END AS dim FROM (
+    SELECT *, {" + ".join(varied)} AS vs, floor({chance("feature", "node")} * coalesce({" + ".join(varied)}, 0)) AS rk FROM (
+      SELECT *, count(*) FILTER (WHERE s) OVER g AS c, {ends} FROM gw WHERE path IS NULL
+      WINDOW g AS (PARTITION BY {key}, tree, node))))),
+fo AS (SELECT {key}, i, pow(2.0, -avg(path) / nullif({usual.format(c="any_value(size)")}, 0)) AS x FROM gw WHERE path IS NOT NULL GROUP BY 1, 2),
+fs AS (SELECT {key}, i, coalesce(x, 0.5) AS score FROM fo)"""
+
+
+def pca_sql(key: str, axes: int = 3, squarings: int = 40) -> str:
+    """Reconstruction error from the leading axes: each is what the matrix of products tends to when squared again and again;
+    the matrix then goes on without it."""
+    w = len(FEATURES)
+    centred = ", ".join(f"ft.{f} - m_{f} AS x{j}" for j, f in enumerate(FEATURES))
+    products = ", ".join(f"sum(x{a} * x{b})" for a in range(w) for b in range(w))
+    trace = lambda m: f"list_sum(list_transform(range({w}), lambda k: {m}[k * {w + 1} + 1]))"
+    square = (f"list_transform(range({w * w}), lambda p: list_sum(list_transform(range({w}), "
+              f"lambda k: m[(p // {w}) * {w} + k + 1] * m[k * {w} + p % {w} + 1])))")
+    rest = f"list_transform(range({w * w}), lambda p: a[p + 1] - size * v[p // {w} + 1] * v[p % {w} + 1])"
+    size = f"list_sum(list_transform(range({w * w}), lambda p: a[p + 1] * v[p // {w} + 1] * v[p % {w} + 1]))"
+    on = lambda c: " + ".join(f"x{j} * vs[{c + 1}][{j + 1}]" for j in range(w))
+    left = lambda j: f"x{j} - " + " - ".join(f"p{c} * vs[{c + 1}][{j + 1}]" for c in range(axes))
+    return f"""{features_sql(key)},
+pm AS (SELECT {key}, {", ".join(f"avg({f}) AS m_{f}" for f in FEATURES)} FROM ft GROUP BY 1),
+cx AS MATERIALIZED (SELECT ft.{key}, i, {centred} FROM ft JOIN pm USING ({key})),
+mt AS (SELECT {key}, [{products}] AS a FROM cx GROUP BY 1),
+pw({key}, t, a, m, vs) AS (
+  SELECT {key}, 0, a, a, CAST([] AS DOUBLE[][]) FROM mt
+  UNION ALL
+  SELECT {key}, t + 1, CASE WHEN done THEN {rest} ELSE a END, CASE WHEN done THEN {rest} ELSE sq END,
+    CASE WHEN done THEN list_append(vs, v) ELSE vs END
+  FROM (SELECT *, {size} AS size FROM (
+    SELECT *, list_transform(range({w}), lambda j: coalesce(sq[j * {w} + c + 1] / nullif(sqrt(sq[c * {w + 1} + 1]), 0), 0)) AS v FROM (
+      SELECT *, list_position(dg, list_max(dg)) - 1 AS c FROM (
+        SELECT *, list_transform(range({w}), lambda k: sq[k * {w + 1} + 1]) AS dg FROM (
+          SELECT {key}, t, a, vs, done, list_transform(raw, lambda x: coalesce(x / nullif(tr, 0), 0)) AS sq FROM (
+            SELECT *, {trace("raw")} AS tr FROM (
+              SELECT {key}, t, a, vs, t % {squarings} = {squarings - 1} AS done, {square} AS raw FROM pw WHERE t < {axes * squarings})))))))),
+px AS (SELECT cx.*, vs, {", ".join(f"{on(c)} AS p{c}" for c in range(axes))} FROM cx JOIN (SELECT {key}, vs FROM pw WHERE t = {axes * squarings}) USING ({key})),
+pc AS (SELECT {key}, i, ({" + ".join(f"pow({left(j)}, 2)" for j in range(w))}) / {w} AS score FROM px)"""
+
+
 def cut_sql(key: str, scores: str, name: str, share: float = 0.1) -> str:
     return f"""{name}_c AS (SELECT {key}, quantile_cont(score, {1 - share}) AS cut FROM {scores} GROUP BY 1),
 {name} AS (SELECT src.*, coalesce(score > cut, false) AS flag FROM src LEFT JOIN {scores} USING ({key}, i) LEFT JOIN {name}_c USING ({key}))"""
@@ -743,6 +812,10 @@ def flags_sql(key: str, method: str, ctes: str) -> str:
             f"CAST(flag AS DOUBLE) AS anomaly_score FROM {method}")
 
 
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def long_sql(key: str, methods: list[str], ctes: str) -> str:
     parts = " UNION ALL ".join(
         f"SELECT {key}, {SOURCES[key][0]}, i, value, '{m}' AS method, flag AS is_anomaly FROM {m}" for m in methods)
@@ -931,6 +1004,10 @@ FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)
         "m0_features_blocks": f"WITH {src(T)},\n{features_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM ft",
         "m0_features": f"WITH {src(T)},\n{features_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM ft",
         "m0b_scaled": f"WITH {src(T)},\n{scaled_sql(T)} SELECT event_type, event_id, {rounds(FEATURES)} FROM sc",
+        "m1_isolation_forest": recursive(flags_sql(T, "fo_cut", f"{forest_sql(T)},\n{cut_sql(T, 'fs', 'fo_cut')}")),
+        "m1_scores": recursive(f"WITH {src(U)},\n{forest_sql(U)} " + scores.format(key=U, ids="event_id", name="score", table="fs")),
+        "m6_autoencoder": recursive(flags_sql(T, "pc_cut", f"{pca_sql(T)},\n{cut_sql(T, 'pc', 'pc_cut', 0.05)}")),
+        "m6_scores": recursive(f"WITH {src(T)},\n{pca_sql(T)} " + scores.format(key=T, ids="event_id", name="score", table="pc")),
         "m2_lof": flags_sql(U, "lof", f"{lof_sql(U)},\n{cut_sql(U, 'lo', 'lof')}"),
         "m2_scores": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),
         "m2_lof_cells": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),

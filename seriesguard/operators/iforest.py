@@ -1,14 +1,16 @@
 """Isolation forest (M1; Liu, Ting & Zhou 2008): each tree sees at most 256 sampled rows.
 
-Which rows a tree samples depends only on the tree and the number of rows, so a series gives the
-same forest whether it is handled in one group or, when long, by sampling, growing and scoring
-in separate distributed steps.
+All random choices are digests of numbers: of (tree, j) for the j-th sampled row, drawn from the j-th of 256 equal spans of
+the series, and of (tree, node) for a node's feature and cut. A series therefore gives the same forest on any engine, whether
+it is handled in one group or, when long, by sampling, growing and scoring in separate distributed steps.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,15 +21,22 @@ from seriesguard.frame import SeriesFrame, attach, cogrouped
 from seriesguard.operators.features import FEATURES, stored_features
 
 SAMPLE = 256
-SEED = 42
 LOCAL_ROWS = 20_000
 CHUNK_ROWS = 100_000
 
 
+@lru_cache(maxsize=4096)
+def chances(what: str, tree: int, n: int) -> np.ndarray:
+    """Numbers in [0, 1) for the places 0 to n - 1 of a tree: 32 bits of the MD5 digest of 'what:tree:place'."""
+    digests = (hashlib.md5(f"{what}:{tree}:{j}".encode()).hexdigest()[:8] for j in range(n))
+    return np.fromiter((int(d, 16) / 2.0 ** 32 for d in digests), float, n)
+
+
 def draw(rows: int, tree: int) -> np.ndarray:
-    """Row numbers a tree is grown on, without repetition."""
-    size = min(SAMPLE, rows)
-    return np.random.default_rng([SEED, tree]).choice(rows, size, replace=False)
+    """Row numbers a tree is grown on, without repetition, ascending: all rows, or one from each of SAMPLE spans."""
+    if rows <= SAMPLE:
+        return np.arange(rows)
+    return np.floor((np.arange(SAMPLE) + chances("row", tree, SAMPLE)) * rows / SAMPLE).astype(np.int64)
 
 
 def usual_depth(rows: np.ndarray | float) -> np.ndarray:
@@ -47,8 +56,10 @@ def grow(samples: np.ndarray) -> dict[str, np.ndarray]:
     n_trees, size, width = samples.shape
     depth = math.ceil(math.log2(max(size, 2)))
     shape = (n_trees, 2 ** (depth + 1) - 1)
-    split, cut, length = np.zeros(shape, np.int32), np.zeros(shape), np.full(shape, -1.0)
-    rng = np.random.default_rng([SEED, size, n_trees])
+    split, cut = np.zeros(shape, np.int32), np.zeros(shape)
+    # a node without sampled rows, which rounding of a cut can leave, is a leaf
+    length = np.tile(np.floor(np.log2(np.arange(shape[1]) + 1)), (n_trees, 1))
+    of_feature, of_cut = (np.stack([chances(what, t, shape[1]) for t in range(n_trees)]) for what in ("feature", "cut"))
     tree = np.repeat(np.arange(n_trees), size)
     node, rows = np.zeros(n_trees * size, np.int64), samples.reshape(-1, width)
     for level in range(depth + 1):
@@ -57,14 +68,15 @@ def grow(samples: np.ndarray) -> dict[str, np.ndarray]:
         start = np.flatnonzero(np.r_[True, (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])])
         count = np.diff(np.r_[start, len(tree)])
         low, high = np.minimum.reduceat(rows, start), np.maximum.reduceat(rows, start)
+        t, c, every = tree[start], node[start], np.arange(len(start))
         # a random feature among those that still vary, and a random cut inside its range
-        ticket = np.where(high > low, rng.random(low.shape), -1.0)
-        feature, every = ticket.argmax(axis=1), np.arange(len(start))
-        leaf = (ticket.max(axis=1) < 0) | (count <= 1) | (level == depth)
-        at = low[every, feature] + rng.random(len(start)) * (high - low)[every, feature]
-        t, c = tree[start], node[start]
+        varies = high > low
+        rank = np.floor(of_feature[t, c] * varies.sum(axis=1)).astype(np.int64)
+        feature = (np.cumsum(varies, axis=1) > rank[:, None]).argmax(axis=1)
+        leaf = ~varies.any(axis=1) | (count <= 1) | (level == depth)
+        at = low[every, feature] + of_cut[t, c] * (high - low)[every, feature]
         split[t, c], cut[t, c] = feature, at
-        length[t[leaf], c[leaf]] = level + usual_depth(count[leaf])
+        length[t, c] = np.where(leaf, level + usual_depth(count), -1.0)
         group = np.repeat(every, count)
         above = rows[np.arange(len(rows)), feature[group]] > at[group]
         stays = ~leaf[group]

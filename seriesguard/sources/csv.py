@@ -1,23 +1,21 @@
 """Metric CSV files under ``<root>/<cloudbed>/metric/<category>/*.csv``.
 
 Columns are matched by name in every file. Spark's CSV reader matches by position, so the first line of each file is
-looked up, and the rows are then parsed with the positions their own file's header states. For the first lines a
-task opens one file and stops after its first batch of lines, so the text itself is read once. Paths and headers stay in a
-table; the driver sees counts only.
+looked up in a pass of its own, and the rows are then parsed with the positions their own file's header states. That pass
+aggregates only lines of each file's first input split; Spark has no way to stop reading a split early for every file at
+once. Paths and headers stay in a table; the driver sees counts only.
 """
 
 from __future__ import annotations
 
 import logging
-import uuid
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesguard.frame import BROADCAST_BYTES, shared_dir
+from seriesguard.frame import BROADCAST_BYTES, store
 from seriesguard.functions.names import seconds_to_time
 
 logger = logging.getLogger(__name__)
@@ -46,7 +44,7 @@ def read_metrics(spark: SparkSession, root: str, cloudbed: str | None = None,
     ``cloudbed`` picks one directory by exact name; ``name_contains`` and ``date_pattern`` are
     substrings of the directory name; ``categories`` None means any. Files lacking a needed
     column are left out with a warning, or raise when ``strict``. ``header`` states one header
-    line all files share and saves opening every file for its own.
+    line all files share and saves the pass that looks for headers.
     """
     rows = _rows(spark, root, _wanted(cloudbed, name_contains, date_pattern, categories), strict, header)
     return rows.where("timestamp is not null").select(*NAMES)
@@ -152,24 +150,9 @@ def _lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
 
 def _first_lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
     """(path, value): the first line of each file, stored."""
-    # settings of a session of its own: a file is one partition, and none has two files
-    session = spark.newSession()
-    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        session.conf.set(name, str(1 << 40))
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    lines = _lines(session, path, wanted).select(
-        file_path().alias("path"), "value", F.col("_metadata.file_block_start").alias("start"))
-
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                if batch.column(2)[0].as_py() == 0:  # not inside a file beyond that size
-                    yield pa.RecordBatch.from_arrays([batch.column(i).slice(0, 1) for i in (0, 1)], names=["path", "value"])
-                return  # the rest of the file is not read
-
-    target = f"{shared_dir(spark)}/seriesguard-{uuid.uuid4().hex}"
-    lines.mapInArrow(first, "path string, value string").write.parquet(target)
-    return spark.read.schema("path string, value string").parquet(target)
+    lines = _lines(spark, path, wanted).where("_metadata.file_block_start = 0")
+    return store(lines.groupBy(file_path().alias("path")).agg(
+        F.min_by("value", F.monotonically_increasing_id()).alias("value")))
 
 
 def _headers(lines: DataFrame, strict: bool) -> tuple[DataFrame, int, int]:
