@@ -802,11 +802,60 @@ px AS (SELECT cx.*, vs, {", ".join(f"{on(c)} AS p{c}" for c in range(axes))} FRO
 pc AS (SELECT {key}, i, ({" + ".join(f"pow({left(j)}, 2)" for j in range(w))}) / {w} AS score FROM px)"""
 
 
+def boundary_sql(key: str, nu: float = 0.1, tolerance: float = 1e-13, zero: float = 2e-6) -> str:
+    """The one-class boundary: weight moves between the pair of rows that violates optimality most, one pair a round."""
+    apart = " + ".join(f"pow(a.{f} - b.{f}, 2)" for f in FEATURES)
+    bend = "greatest(2.0 - 2.0 * ki[k + 1], 1e-12)"
+    return f"""{scaled_sql(key)},
+kp AS (SELECT a.{key}, list(exp(-({apart}) / {len(FEATURES)}) ORDER BY a.i, b.i) AS kk FROM sc a JOIN sc b USING ({key}) GROUP BY 1),
+km AS MATERIALIZED (SELECT {key}, kk, CAST(sqrt(len(kk)) AS BIGINT) AS m FROM kp),
+s0 AS (SELECT *, list_transform(range(m), lambda k: least(1::DOUBLE, greatest(0::DOUBLE, {nu}::DOUBLE * m - k))) AS w FROM km),
+sm({key}, t, w, f) AS (
+  SELECT {key}, 0, w, list_transform(range(m), lambda r: list_sum(list_transform(range(m), lambda k: kk[r * m + k + 1] * w[k + 1]))) FROM s0
+  UNION ALL
+  SELECT {key}, t + 1, list_transform(range(m), lambda k: CASE k + 1 WHEN i THEN CASE WHEN d = 1 - w[i] THEN 1::DOUBLE ELSE w[i] + d END
+      WHEN j THEN CASE WHEN d = w[j] THEN 0::DOUBLE ELSE w[j] - d END ELSE w[k + 1] END),
+    list_transform(range(m), lambda k: f[k + 1] + d * (ki[k + 1] - kk[(j - 1) * m + k + 1]))
+  FROM (SELECT *, least(gap[j] / greatest(2.0 - 2.0 * ki[j], 1e-12), 1 - w[i], w[j]) AS d FROM (
+    SELECT *, list_position(gain, list_max(gain)) AS j FROM (
+      SELECT *, list_transform(range(m), lambda k: CASE WHEN gap[k + 1] > 0 THEN gap[k + 1] * gap[k + 1] / {bend} ELSE -1 END) AS gain FROM (
+        SELECT *, list_transform(range(m), lambda k: CASE WHEN w[k + 1] > 0 THEN f[k + 1] - f[i] ELSE -1e300 END) AS gap,
+          list_slice(kk, (i - 1) * m + 1, i * m) AS ki FROM (
+          SELECT *, list_position(low, list_min(low)) AS i FROM (
+            SELECT sm.*, kk, m, list_transform(range(m), lambda k: CASE WHEN w[k + 1] < 1 THEN f[k + 1] ELSE 1e300 END) AS low
+            FROM sm JOIN km USING ({key})))))
+    WHERE list_max(gap) > {tolerance} AND w[i] < 1))),
+sf AS (SELECT {key}, arg_max(w, t) AS w, arg_max(f, t) AS f FROM sm GROUP BY 1),
+so AS (SELECT *, coalesce(list_avg(between), (list_max(capped) + coalesce(list_min(bare), list_max(capped))) / 2.0) AS cut FROM (
+  SELECT *, list_transform(list_filter(range(len(w)), lambda k: w[k + 1] > 0 AND w[k + 1] < 1), lambda k: f[k + 1]) AS between,
+    list_transform(list_filter(range(len(w)), lambda k: w[k + 1] >= 1), lambda k: f[k + 1]) AS capped,
+    list_transform(list_filter(range(len(w)), lambda k: w[k + 1] <= 0), lambda k: f[k + 1]) AS bare FROM sf)),
+ob AS (SELECT {key}, i, CASE WHEN abs(cut - x) <= {zero} THEN 0.0 ELSE cut - x END AS score
+  FROM (SELECT {key}, cut, unnest(f) AS x, unnest(range(len(f))) + 10 AS i FROM so))"""
+
+
+#: Rows beyond the boundary.
+OUTSIDE_SQL = "ocsvm AS (SELECT src.*, coalesce(score > 0, false) AS flag FROM src LEFT JOIN ob USING (user_id, i))"
+
+
 def cut_sql(key: str, scores: str, name: str, share: float = 0.1) -> str:
     return f"""{name}_c AS (SELECT {key}, quantile_cont(score, {1 - share}) AS cut FROM {scores} GROUP BY 1),
 {name} AS (SELECT src.*, coalesce(score > cut, false) AS flag FROM src LEFT JOIN {scores} USING ({key}, i) LEFT JOIN {name}_c USING ({key}))"""
 
 
+def learned_sql(key: str, every: bool = False) -> str:
+    """Flags of the three voting learned methods and their vote; of all six with ``every``."""
+    after = lambda sql, shared: sql.replace(shared + ",\n", "", 1)
+    parts = [lof_sql(key), after(knn_sql(key), pairs_sql(key)), after(forest_sql(key), features_sql(key)),
+             cut_sql(key, "lo", "lof"), cut_sql(key, "kn", "knn"), cut_sql(key, "fs", "isolation_forest")]
+    if every:
+        parts += [after(hbos_sql(key), features_sql(key)), after(pca_sql(key), features_sql(key)), after(boundary_sql(key), scaled_sql(key)),
+                  cut_sql(key, "hs", "hbos"), cut_sql(key, "pc", "autoencoder", 0.05), OUTSIDE_SQL]
+    vote = f"""ensemble_ml AS (SELECT l.*, k.flag::INT + f.flag::INT + l.vote >= 1.5 AS flag
+  FROM (SELECT * EXCLUDE (flag), flag::INT AS vote FROM lof) l JOIN knn k USING ({key}, i) JOIN isolation_forest f USING ({key}, i))"""
+    return ",\n".join([*parts, vote])
+
+
 def flags_sql(key: str, method: str, ctes: str) -> str:
     return (f"WITH {src(key)},\n{ctes}\nSELECT {key}, {SOURCES[key][0]}, value, flag AS is_anomaly, "
             f"CAST(flag AS DOUBLE) AS anomaly_score FROM {method}")
@@ -1008,6 +1057,12 @@ FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)
         "m1_scores": recursive(f"WITH {src(U)},\n{forest_sql(U)} " + scores.format(key=U, ids="event_id", name="score", table="fs")),
         "m6_autoencoder": recursive(flags_sql(T, "pc_cut", f"{pca_sql(T)},\n{cut_sql(T, 'pc', 'pc_cut', 0.05)}")),
         "m6_scores": recursive(f"WITH {src(T)},\n{pca_sql(T)} " + scores.format(key=T, ids="event_id", name="score", table="pc")),
+        "m4_scores": recursive(f"WITH {src(U)},\n{boundary_sql(U)} " + scores.format(key=U, ids="event_id", name="score", table="ob")),
+        "m4_ocsvm": recursive(flags_sql(U, "ocsvm", f"{boundary_sql(U)},\n{OUTSIDE_SQL}")),
+        "m7_ensemble_ml": recursive(flags_sql(U, "ensemble_ml", learned_sql(U))),
+        "m_all_counts": recursive(long_sql(U, ["isolation_forest", "lof", "knn", "ocsvm", "hbos", "autoencoder", "ensemble_ml"],
+                                           learned_sql(U, True)))
+        + " SELECT user_id, method, count(*) FILTER (WHERE is_anomaly) AS anomaly_count, count(*) AS total FROM lo_all GROUP BY 1, 2",
         "m2_lof": flags_sql(U, "lof", f"{lof_sql(U)},\n{cut_sql(U, 'lo', 'lof')}"),
         "m2_scores": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),
         "m2_lof_cells": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),

@@ -50,13 +50,53 @@ def gram(x: np.ndarray, kernel: str, gamma: float = GAMMA, other: np.ndarray | N
 def solve(kernel: np.ndarray, caps: np.ndarray, nu: float, kind: str) -> tuple[np.ndarray, float, float]:
     """Weights up to ``caps`` that add up to the share ``nu`` of them, the boundary's offset, and the tolerance.
 
-    Moves weight between the pair of rows that violates optimality most until none does.
+    Moves weight between the pair of rows that violates optimality most until none does. For the Gaussian kernel the rows
+    between the bounds then get their weights from the equations that hold at the optimum, which gives it to rounding; if
+    that leads out of the bounds, the moves go on to a smaller tolerance.
     """
     own = np.diag(kernel)
     # the Gaussian kernel is 1 on the diagonal; others are solved relative to their size
     tolerance = TOLERANCE if kind == "rbf" else 1e-3 * own.mean()
     weight = np.clip(nu * caps.sum() - (np.cumsum(caps) - caps), 0.0, caps)
     field = kernel @ weight
+    wanted = tolerance
+    while kind == "rbf":
+        _move(kernel, own, caps, weight, field, wanted)
+        exact = _exact(kernel, caps, weight, nu)
+        if exact is not None or wanted < 1e-12:
+            break
+        wanted /= 100.0
+    if kind == "rbf" and exact is not None:
+        return *exact, tolerance
+    if kind != "rbf":
+        _move(kernel, own, caps, weight, field, tolerance)
+    free = (weight > 0.0) & (weight < caps)
+    if free.any():
+        offset = field[free].mean()
+    else:
+        offset = (field[weight >= caps].max() + field[weight <= 0.0].min(initial=field.max())) / 2.0
+    return weight, float(offset), float(tolerance)
+
+
+def _exact(kernel: np.ndarray, caps: np.ndarray, weight: np.ndarray, nu: float) -> tuple[np.ndarray, float] | None:
+    """Weights and offset that solve the equations of the rows between the bounds, None if they are not optimal."""
+    free, full = (weight > 0.0) & (weight < caps), weight >= caps
+    n = int(free.sum())
+    if not n:
+        return None
+    left = np.block([[kernel[np.ix_(free, free)], -np.ones((n, 1))], [np.ones((1, n)), np.zeros((1, 1))]])
+    right = np.r_[-kernel[np.ix_(free, full)] @ caps[full], nu * caps.sum() - caps[full].sum()]
+    found = np.linalg.lstsq(left, right, rcond=None)[0]
+    out, offset = np.where(full, caps, 0.0), float(found[-1])
+    out[free] = found[:-1]
+    field = kernel @ out
+    slack = 1e-10
+    fits = (out[free] > -slack).all() and (out[free] < caps[free] + slack).all() and np.abs(left @ found - right).max() < slack \
+        and (field[full] < offset + slack).all() and (field[~full & ~free] > offset - slack).all()
+    return (out, offset) if fits else None
+
+
+def _move(kernel: np.ndarray, own: np.ndarray, caps: np.ndarray, weight: np.ndarray, field: np.ndarray, tolerance: float) -> None:
     while True:
         can_grow, can_shrink = weight < caps, weight > 0.0
         i = int(np.argmin(np.where(can_grow, field, np.inf)))
@@ -69,12 +109,6 @@ def solve(kernel: np.ndarray, caps: np.ndarray, nu: float, kind: str) -> tuple[n
         weight[i] = caps[i] if step == caps[i] - weight[i] else weight[i] + step
         weight[j] = 0.0 if step == weight[j] else weight[j] - step
         field += step * (kernel[i] - kernel[j])
-    free = (weight > 0.0) & (weight < caps)
-    if free.any():
-        offset = field[free].mean()
-    else:
-        offset = (field[weight >= caps].max() + field[weight <= 0.0].min(initial=field.max())) / 2.0
-    return weight, float(offset), float(tolerance)
 
 
 def boundary_distance(x: np.ndarray, nu: float, kind: str = "rbf") -> np.ndarray:
