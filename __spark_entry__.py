@@ -178,10 +178,11 @@ def q_s7(spark, sf):
 
 def q_k1(spark, sf):
     frame, path = by_type(spark, sf), fresh_dir(spark, "detections")
-    found = detect(frame, ["zscore", "iqr"]).drop("ts")
+    found = detect(frame, ["zscore", "iqr"])
     sinks.write_detections(found, path, "csv")
     back = spark.read.schema(found.schema).option("header", True).csv(path)
-    return back.select("event_type", "event_id", "value", "method", "is_anomaly", "anomaly_score")
+    return back.select("event_type", "event_id", time_to_micros(F.col("ts")).alias("us"), "value", "method", "is_anomaly",
+                       "anomaly_score")
 
 
 def q_k2(spark, sf):
@@ -193,10 +194,10 @@ def q_k2(spark, sf):
 
 def q_k3(spark, sf):
     frame, path = by_type(spark, sf), fresh_dir(spark, "anomalies")
-    found = detect(frame, ["zscore"]).drop("ts")
+    found = detect(frame, ["zscore"])
     sinks.write_anomalies(found, path)
     back = spark.read.schema(found.schema).option("header", True).csv(path)
-    return back.select("event_type", "event_id", "value")
+    return back.select("event_type", "event_id", time_to_micros(F.col("ts")).alias("us"), "value")
 
 
 def q_k4(spark, sf):
@@ -213,20 +214,32 @@ def q_k5(spark, sf):
     return spark.read.schema("event_type string, report string, method string").json(path)
 
 
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Everything in a store."""
+    return store.read_store(spark, path).select(
+        "device", "measurement", time_to_millis(F.col("timestamp")).alias("ms"), "value")
+
+
 def q_k6(spark, sf):
     path = fresh_dir(spark, "store")
     store.write_store(metrics(spark, sf), path, "event_type", "event_type", "timestamp")
-    back = store.read_store(spark, path, "click", "click", start_ms=1_704_844_800_000)
-    return back.select("device", "measurement", time_to_millis(F.col("timestamp")).alias("ms"), "value")
+    return stored_rows(spark, path)
 
 
 def q_k7(spark, sf):
     path = fresh_dir(spark, "ingested")
     store.ingest_cloudbed(spark, metric_files(spark, sf), BEDS[0], path)
-    back = store.read_store(spark, path)
-    return back.groupBy("device", "measurement").agg(
-        F.count(F.lit(1)).alias("points"), F.min(time_to_millis(F.col("timestamp"))).alias("first_ms"),
-        F.max(time_to_millis(F.col("timestamp"))).alias("last_ms"))
+    return stored_rows(spark, path)
+
+
+def q_k7_again(spark, sf):
+    """Both cloudbeds into one store, then every third event once more with another value."""
+    path, root = fresh_dir(spark, "merged"), metric_files(spark, sf)
+    for bed in BEDS:
+        store.ingest_cloudbed(spark, root, bed, path, mode="append")
+    again = metrics(spark, sf).where(F.col("event_id") % 3 == 0).withColumn("value", -F.col("value"))
+    store.write_store(again, path, mode="append")
+    return stored_rows(spark, path)
 
 
 def q_p1(spark, sf):
@@ -362,9 +375,8 @@ def q_o1(spark, sf):
 
 def q_u1(spark, sf):
     root = metric_files(spark, sf)
-    parts = csv.load_metric_category(spark, f"{root}/{BEDS[0]}", "service").unionByName(
-        csv.load_metric_category(spark, f"{root}/{BEDS[1]}", "node"), allowMissingColumns=True)
-    return metric_output(parts)
+    parts = [csv.load_metric_category(spark, f"{root}/{bed}", category) for bed in BEDS for category in CATEGORY.values()]
+    return metric_output(functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
 def q_d6_parts(spark, sf):
@@ -461,6 +473,28 @@ def q_r8_ties(spark, sf):
     return found.select(time_to_micros(F.col("ts")).alias("us"), "value", "zscore")
 
 
+def q_r8_small(spark, sf):
+    found = detect(by_type(spark, sf), ["zscore", "iqr"])
+    rows = report.overlay_points(found, TYPE_KEY, "ts", "value", pixels=60)
+    return rows.select("event_type", "method", time_to_micros(F.col("ts")).alias("us"), "value", "is_anomaly")
+
+
+def q_e2_plots(spark, sf):
+    """What the analysis writes for plots, read back and counted."""
+    out = fresh_dir(spark, "plots")
+    run_analysis(spark, metric_files(spark, sf), out, ["zscore", "iqr"], compare=True, pixels=8)
+    keys = ["cloudbed", "cmdb_id", "kpi_name", "method"]
+    read = lambda name: spark.read.option("header", True).csv(f"{out}/{name}")
+    bars = read("histogram").groupBy(*keys).agg(F.sum(F.col("points").cast("long")).alias("in_bars"))
+    boxes = read("box_plot").groupBy(*keys).agg(F.min(F.col("whisker_low").cast("double")).alias("low"),
+                                                F.max(F.col("whisker_high").cast("double")).alias("high"))
+    dots = read("overlay").groupBy(*keys).agg(F.count_if(F.col("is_anomaly") == "true").alias("flagged"))
+    hours = read("matrix").select(*keys[:3], F.explode(F.create_map(
+        F.lit("zscore"), F.col("zscore").cast("int"), F.lit("iqr"), F.col("iqr").cast("int"))).alias("method", "hit")) \
+        .groupBy(*keys).agg(F.sum("hit").cast("long").alias("hours"))
+    return bars.join(boxes, keys).join(dots, keys).join(hours, keys)
+
+
 def q_e2_outputs(spark, sf):
     """What the analysis writes, read back: figures in the reports beside the anomalies in the files."""
     out = fresh_dir(spark, "analysis")
@@ -513,7 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_metric_csv": q_s1, "s1_csv_file": q_s1_file, "s1_bad_rows": q_s1_bad_rows, "s2_category": q_s2, "s3_cloudbed": q_s3,
     "s4_all_cloudbeds": q_s4, "s5_job_input": q_s5, "s6_range_read": q_s6, "s7_series_rows": q_s7,
     "k1_detections_csv": q_k1, "k2_counts_csv": q_k2, "k3_anomalies_csv": q_k3, "k4_comparison_csv": q_k4,
-    "k5_summary_text": q_k5, "k6_store_write": q_k6, "k7_store_ingest": q_k7,
+    "k5_summary_text": q_k5, "k6_store_write": q_k6, "k7_store_ingest": q_k7, "k7_store_merge": q_k7_again,
     "p1_one_series": q_p1, "p2_services": q_p2, "p3_kpis": q_p3, "p4_row_filters": q_p4,
     "p5_clean_names": q_p5, "p7_labels": q_p7, "p8_epochs": q_p8, "p9_first_series": q_p9,
     "a1_moments": q_a1, "a2_median_mad": q_a2, "a3_fences": q_a3, "a4_resample": q_a4,
@@ -549,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m7_ensemble_ml": flag_query("ensemble_ml", by_user), "m_all_counts": q_all_learned,
     "r2_summary": q_r2, "r3_comparison": q_r3, "r3_comparison_wide": q_r3_wide, "r4_histogram": q_r4,
     "r5_box_plot": q_r5, "r6_matrix": q_r6, "r8_overlay": q_r8, "r8_overlay_ties": q_r8_ties,
+    "r8_overlay_small": q_r8_small, "e2_plot_files": q_e2_plots,
     "e1_detection_job": q_e1, "e2_analysis": q_e2, "e2_first_series": q_e2_first, "e2_outputs": q_e2_outputs,
     "e3_many_methods": q_e3, "e5_dispatch": q_e5,
 }
@@ -558,9 +593,7 @@ def pipeline_module() -> ModuleType | None:
     """Queries of the training-data operators, where that subpackage is there."""
     try:
         from seriesguard.llm import queries as found
-    except ModuleNotFoundError as error:
-        if not (error.name or "").startswith("seriesguard.llm"):
-            raise
+    except ImportError:  # the subpackage, or a library that only it needs, is not there
         return None
     return found
 
@@ -930,7 +963,7 @@ def grubbs_critical(n: int, alpha: float = 0.05) -> float:
 
 @functools.cache
 def grubbs_sql(key: str, most: int = 2600) -> str:
-    """The removal loop with critical values of their own making, for series of up to ``most`` rows."""
+    """The removal loop with critical values of their own making, for series of up to ``most`` rows; an error beyond."""
     ids = SOURCES[key][0]
     values = ", ".join(f"({n}, {grubbs_critical(n)!r}::DOUBLE)" for n in range(3, most + 1))
     return f"""WITH RECURSIVE {src(key)},
@@ -944,7 +977,8 @@ re AS (SELECT {key}, list(value ORDER BY i) AS vs, list(i ORDER BY i) AS ps, CAS
       SELECT {key}, vs, ps, list_avg(vs) AS m, list_stddev_pop(vs) AS sd FROM re WHERE len(vs) > 2)))
   JOIN cr ON cr.n = len(vs) WHERE sd > 0 AND list_max(ds) / sd > g)
 SELECT src.{key}, {ids}, value, gone IS NOT NULL AS is_anomaly, CAST(gone IS NOT NULL AS DOUBLE) AS anomaly_score
-FROM src LEFT JOIN (SELECT {key}, gone FROM re WHERE gone IS NOT NULL) re ON src.{key} = re.{key} AND src.i = re.gone"""
+FROM src LEFT JOIN (SELECT {key}, gone FROM re WHERE gone IS NOT NULL) re ON src.{key} = re.{key} AND src.i = re.gone
+WHERE CASE WHEN n > {most} THEN error('a series is too long for these critical values') ELSE true END"""
 
 
 RATE_LINES = """'Anomaly Detection Summary Report' || chr(10) || repeat('=', 50) || chr(10) || chr(10)
@@ -975,21 +1009,27 @@ FROM (SELECT event_id, CASE user_id % 2 WHEN 0 THEN '{BEDS[0]}' ELSE '{BEDS[1]}'
 AND epoch_us(ts) BETWEEN 1704844800000000 AND 1705708800000000""",
         "s7_series_rows": """SELECT l_suppkey, CAST(floor(epoch(l_shipdate)) AS BIGINT) AS epoch, l_orderkey, l_linenumber,
 l_extendedprice AS value FROM lineitem""",
-        "k1_detections_csv": f"{long_sql(T, ['zscore', 'iqr'], zi)} SELECT event_type, event_id, value, method, is_anomaly, "
-                             "CAST(is_anomaly AS DOUBLE) AS anomaly_score FROM lo_all",
+        "k1_detections_csv": f"{long_sql(T, ['zscore', 'iqr'], zi)} SELECT event_type, event_id, epoch_us(ts) AS us, value, method, "
+                             "is_anomaly, CAST(is_anomaly AS DOUBLE) AS anomaly_score FROM lo_all JOIN (SELECT event_id, ts FROM events) USING (event_id)",
         "k2_counts_csv": f"WITH {src(T)},\n{iqr_sql(T)} SELECT event_type, CAST(sum(CAST(flag AS INT)) AS BIGINT) AS anomaly_count, "
                          "count(*) AS total FROM iqr GROUP BY 1",
-        "k3_anomalies_csv": f"WITH {src(T)},\n{zscore_sql(T)} SELECT event_type, event_id, value FROM zscore WHERE flag",
+        "k3_anomalies_csv": f"WITH {src(T)},\n{zscore_sql(T)} SELECT event_type, event_id, epoch_us(ts) AS us, value "
+                             "FROM zscore JOIN (SELECT event_id, ts FROM events) USING (event_id) WHERE flag",
         "k4_comparison_csv": summary_sql(T, ["zscore", "modified_zscore", "iqr"], f"{zi},\n{modified_zscore_sql(T)}"),
         "k5_summary_text": f"""{long_sql(T, ['zscore', 'iqr'], zi)},
 su AS (SELECT event_type, method, count(*) AS total, count(*) FILTER (WHERE is_anomaly) AS hits,
   avg(value) FILTER (WHERE NOT is_anomaly) AS nm, stddev_samp(value) FILTER (WHERE NOT is_anomaly) AS ns,
   avg(value) FILTER (WHERE is_anomaly) AS am, stddev_samp(value) FILTER (WHERE is_anomaly) AS asd FROM lo_all GROUP BY 1, 2)
 SELECT event_type, method, {RATE_LINES} AS report FROM su""",
-        "k6_store_write": """SELECT 'click' AS device, 'click' AS measurement, epoch_us(ts) // 1000 AS ms,
-arg_max(value, row(ts, value)) AS value FROM events WHERE event_type = 'click' AND epoch_us(ts) // 1000 >= 1704844800000 GROUP BY 3""",
-        "k7_store_ingest": f"""SELECT cmdb_id AS device, replace(kpi_name, '.', '_') AS measurement, count(DISTINCT epoch) AS points,
-min(epoch) * 1000 AS first_ms, max(epoch) * 1000 AS last_ms FROM ({METRICS_SQL}) WHERE cloudbed = '{BEDS[0]}' AND category IN ({beds}) GROUP BY 1, 2""",
+        "k6_store_write": """SELECT event_type AS device, event_type AS measurement, epoch_us(ts) // 1000 AS ms,
+arg_max(value, row(ts, value)) AS value FROM events GROUP BY ALL""",
+        "k7_store_ingest": f"""SELECT cmdb_id AS device, replace(kpi_name, '.', '_') AS measurement, epoch * 1000 AS ms, max(value) AS value
+FROM ({METRICS_SQL}) WHERE cloudbed = '{BEDS[0]}' AND category IN ({beds}) GROUP BY ALL""",
+        "k7_store_merge": f"""WITH fi AS (SELECT cmdb_id AS device, replace(kpi_name, '.', '_') AS measurement, epoch * 1000 AS ms,
+  max(value) AS value FROM ({METRICS_SQL}) WHERE category IN ({beds}) GROUP BY ALL),
+se AS (SELECT 'user_' || user_id AS device, event_type || '_value' AS measurement, epoch_us(ts) // 1000 AS ms,
+  arg_max(-value, row(ts, -value)) AS value FROM events WHERE event_id % 3 = 0 GROUP BY ALL)
+SELECT * FROM se UNION ALL SELECT * FROM fi ANTI JOIN se USING (device, measurement, ms)""",
         "p1_one_series": "SELECT event_id, epoch_us(ts) AS us, value FROM events WHERE event_type = 'view' ORDER BY ts, event_id",
         "p2_services": "SELECT DISTINCT 'user_' || user_id AS cmdb_id FROM events",
         "p3_kpis": "SELECT DISTINCT event_type || '.value' AS kpi_name FROM events WHERE user_id = 7",
@@ -1031,7 +1071,7 @@ SELECT z.event_type, z.event_id, z.flag AS zscore, q.flag AS iqr, h.flag AS hbos
 FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)""",
         "j3_neighbour_distance": f"WITH {src(U)},\n{knn_sql(U)} " + scores.format(key=U, ids="event_id", name="knn", table="kn"),
         "o1_sorted": "SELECT event_type, event_id, value FROM events ORDER BY event_type, ts, event_id",
-        "u1_union": metric_sql(f"(cloudbed = '{BEDS[0]}' AND category = 'service') OR (cloudbed = '{BEDS[1]}' AND category = 'node')"),
+        "u1_union": metric_sql(),
         "d1_zscore": flags_sql(T, "zscore", zscore_sql(T)),
         "d1_counts": f"WITH {src(T)},\n{zscore_sql(T)} SELECT event_type, count(*) FILTER (WHERE flag) AS anomaly_count, count(*) AS total FROM zscore GROUP BY 1",
         "d1_zscore_supplier": flags_sql(L, "zscore", zscore_sql(L)),
@@ -1100,6 +1140,25 @@ FROM zscore z JOIN iqr q USING (event_type, event_id) WHERE event_type = 'click'
         "r8_overlay_ties": """WITH st AS (SELECT avg(value) AS m, stddev_pop(value) AS sd FROM events WHERE event_type = 'view')
 SELECT epoch_us(ts) AS us, value, sd > 0 AND abs((value - m) / sd) > 3.0 AS zscore
 FROM (SELECT * FROM events UNION ALL SELECT * FROM events), st WHERE event_type = 'view'""",
+        "r8_overlay_small": f"""{long_sql(T, ['zscore', 'iqr'], zi)},
+ti AS (SELECT lo_all.*, epoch_us(ts) AS us, min(epoch_us(ts)) OVER s AS t0, max(epoch_us(ts)) OVER s AS t1
+  FROM lo_all JOIN (SELECT event_id, ts FROM events) USING (event_id) WINDOW s AS (PARTITION BY lo_all.event_type)),
+px AS (SELECT *, floor((us - t0)::DOUBLE / ((t1 - t0)::DOUBLE + 1) * 60) AS pixel FROM ti),
+rk AS (SELECT *, row_number() OVER (b ORDER BY us, value, is_anomaly) AS a1, row_number() OVER (b ORDER BY us DESC, value DESC, is_anomaly DESC) AS a2,
+  row_number() OVER (b ORDER BY value, us, is_anomaly) AS a3, row_number() OVER (b ORDER BY value DESC, us DESC, is_anomaly DESC) AS a4
+  FROM px WINDOW b AS (PARTITION BY event_type, method, pixel))
+SELECT DISTINCT event_type, method, us, value, is_anomaly FROM rk WHERE is_anomaly OR 1 IN (a1, a2, a3, a4)""",
+        "e2_plot_files": f"""WITH me AS ({METRICS_SQL}),
+st AS (SELECT cloudbed, cmdb_id, kpi_name, avg(value) AS m, stddev_pop(value) AS sd, quantile_cont(value, 0.25) AS q1,
+  quantile_cont(value, 0.75) AS q3 FROM me GROUP BY 1, 2, 3),
+lo AS (SELECT me.*, unnest(['zscore', 'iqr']) AS method, unnest([sd > 0 AND abs((value - m) / sd) > 3.0,
+  value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)]) AS flag FROM me JOIN st USING (cloudbed, cmdb_id, kpi_name)),
+bx AS (SELECT cloudbed, cmdb_id, kpi_name, method, flag, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM lo GROUP BY ALL),
+wh AS (SELECT cloudbed, cmdb_id, kpi_name, method, min(value) AS low, max(value) AS high FROM lo JOIN bx USING (cloudbed, cmdb_id, kpi_name, method, flag)
+  WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY ALL)
+SELECT cloudbed, cmdb_id, kpi_name, method, count(*) AS in_bars, any_value(low) AS low, any_value(high) AS high,
+  count(DISTINCT (epoch, value)) FILTER (WHERE flag) AS flagged, count(DISTINCT epoch // 3600) FILTER (WHERE flag) AS hours
+FROM lo JOIN wh USING (cloudbed, cmdb_id, kpi_name, method) GROUP BY 1, 2, 3, 4""",
         "e2_outputs": f"""WITH me AS ({METRICS_SQL}),
 st AS (SELECT cloudbed, cmdb_id, kpi_name, avg(value) AS m, stddev_pop(value) AS sd, quantile_cont(value, 0.25) AS q1,
   quantile_cont(value, 0.75) AS q3 FROM me GROUP BY 1, 2, 3),

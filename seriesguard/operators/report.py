@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesguard.frame import attach
-from seriesguard.functions.names import time_to_seconds
+from seriesguard.functions.names import time_to_micros, time_to_seconds
 from seriesguard.operators.stats import quantiles
 
 # Histogram bins for normal and anomalous values.
@@ -120,3 +120,28 @@ def overlay(wide: DataFrame, keys: Sequence[str], time: str, value: str, key: di
         wide = wide.where(F.col(name) == wanted)
     order = [c for c in wide.columns if c not in (*keys, value, *methods)]
     return wide.select(*keys, *order, value, *methods).orderBy(*order)
+
+
+def overlay_points(detections: DataFrame, keys: Sequence[str], time: str, value: str = "value", pixels: int = 1000,
+                   n_series: int | None = None) -> DataFrame:
+    """Plot data of every series and method in bounded size (R8): rows of ``pixels`` equal time spans.
+
+    Of each span the first, the last, the smallest and the largest value stay, and every flagged row. Rows alike in
+    time, value and flag are one point. Rows without a value are left out.
+    """
+    rows = detections.where(F.col(value).isNotNull() & ~F.isnan(value))
+    at = F.col(time)
+    if dict(rows.dtypes)[time].startswith("timestamp"):
+        at = time_to_micros(at)
+    rows = rows.select(*keys, "method", time, F.col(value).alias("value"), "is_anomaly", at.cast("double").alias("_t"))
+    spans = rows.groupBy(*keys).agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"))
+    share = (F.col("_t") - F.col("_from")) / (F.col("_to") - F.col("_from") + 1)
+    placed = attach(rows, spans, keys, n_series).withColumn("_pixel", F.floor(share * pixels))
+    by_time, by_value = F.struct(time, "value", "is_anomaly"), F.struct("value", time, "is_anomaly")
+    ends = placed.groupBy(*keys, "method", "_pixel").agg(
+        F.min(by_time).alias("a"), F.max(by_time).alias("b"), F.min(by_value).alias("c"), F.max(by_value).alias("d"))
+    same = lambda c: F.struct(F.col(c)[time].alias(time), F.col(c)["value"].alias("value"),
+                              F.col(c)["is_anomaly"].alias("is_anomaly"))
+    points = ends.select(*keys, "method", F.explode(F.array(*[same(c) for c in "abcd"])).alias("p")).select(*keys, "method", "p.*")
+    flagged = placed.where("is_anomaly").select(*keys, "method", time, "value", "is_anomaly")
+    return points.unionByName(flagged).distinct()

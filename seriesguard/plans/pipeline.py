@@ -47,7 +47,7 @@ def run_detection(spark: SparkSession, data_dir: str, output_dir: str,
 
 def analyze(frame: SeriesFrame, methods: Sequence[str] = DEFAULT_METHODS, key: Mapping[str, object] | str | None = None,
             compare: bool = False, params: Mapping[str, Mapping] | None = None, window: int = 10,
-            contamination: float = CONTAMINATION, stored: bool = False) -> dict[str, DataFrame]:
+            contamination: float = CONTAMINATION, stored: bool = False, pixels: int = 1000) -> dict[str, DataFrame]:
     """Detections and every report on them (E2), lazily.
 
     ``key`` restricts the analysis to matching series, "first" to the first by name. With
@@ -71,6 +71,7 @@ def analyze(frame: SeriesFrame, methods: Sequence[str] = DEFAULT_METHODS, key: M
         "summary_text": report.summary_text(summaries, keys),
         "histogram": report.histogram(found, keys, frame.value, n_groups),
         "box_plot": report.box_plot(found, keys, frame.value, frame.profile.longest, n_groups),
+        "overlay": report.overlay_points(found, keys, frame.time, frame.value, pixels, frame.profile.n_series),
     }
     if compare and len(methods) > 1:
         results["comparison"] = report.comparison(found, keys, frame.value)
@@ -81,7 +82,8 @@ def analyze(frame: SeriesFrame, methods: Sequence[str] = DEFAULT_METHODS, key: M
 def run_analysis(spark: SparkSession, data_dir: str, output_dir: str, methods: Sequence[str] = DEFAULT_METHODS,
                  service: str | None = None, kpi: str | None = None, cloudbed: str | None = None, compare: bool = False,
                  fmt: str = "csv", **options) -> None:
-    """The analysis with its files (E2): anomalies, summary, text reports and, with ``compare``, the comparison."""
+    """The analysis with its files (E2): anomalies, summary, text reports, and as plot data histograms, box plots and the
+    overlay of values and flags; with ``compare``, the comparison and the matrix of methods over time."""
     rows = store(load_cloudbed(spark, data_dir, cloudbed) if cloudbed else load_job_input(spark, data_dir))
     named = {name: wanted for name, wanted in (("cmdb_id", service), ("kpi_name", kpi)) if wanted is not None}
     frame = metric_frame(rows)
@@ -89,6 +91,9 @@ def run_analysis(spark: SparkSession, data_dir: str, output_dir: str, methods: S
     write_anomalies(found["detections"], f"{output_dir}/anomalies", fmt)
     write_table(found["summary"], f"{output_dir}/summary", fmt)
     write_summary_text(found["summary_text"], f"{output_dir}/reports", frame.keys)
+    for name in ("histogram", "box_plot", "overlay", "matrix"):
+        if name in found:
+            write_table(found[name], f"{output_dir}/{name}", fmt)
     if "comparison" in found:
         write_comparison(found["comparison"], f"{output_dir}/comparison", fmt)
 

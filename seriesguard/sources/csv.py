@@ -150,9 +150,9 @@ def _lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
 
 def _first_lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
     """(path, value): the first line of each file, stored."""
-    lines = _lines(spark, path, wanted).where("_metadata.file_block_start = 0")
-    return store(lines.groupBy(file_path().alias("path")).agg(
-        F.min_by("value", F.monotonically_increasing_id()).alias("value")))
+    lines = _lines(spark, path, wanted).where("_metadata.file_block_start = 0").select(
+        file_path().alias("path"), "value", F.monotonically_increasing_id().alias("place"))
+    return store(lines.groupBy("path").agg(F.min_by("value", "place").alias("value")))
 
 
 def _headers(lines: DataFrame, strict: bool) -> tuple[DataFrame, int, int]:

@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+#: Times in CSV files keep their microseconds, which the default format drops.
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def write_table(rows: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
     writer = rows.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("timestampFormat", CSV_TIME + "XXX").option("timestampNTZFormat", CSV_TIME)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
