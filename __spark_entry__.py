@@ -23,7 +23,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 from seriesguard.frame import SeriesFrame, attach, series_frame, shared_dir  # noqa: E402
 from seriesguard.functions.names import (  # noqa: E402
     clean_name, millis_to_time, seconds_to_time, time_to_micros, time_to_millis, time_to_seconds)
-from seriesguard.operators import report, select, stats, windows  # noqa: E402
+from seriesguard.operators import report, select, sketches, stats, windows  # noqa: E402
 from seriesguard.operators.features import FEATURES, features, scaled_features  # noqa: E402
 from seriesguard.operators.hbos import hbos_scores  # noqa: E402
 from seriesguard.operators.iforest import iforest_scores  # noqa: E402
@@ -35,6 +35,7 @@ from seriesguard.operators.statistical import seasonal_parts  # noqa: E402
 from seriesguard.plans.pipeline import analyze, run_analysis, run_detection  # noqa: E402
 from seriesguard.plans.registry import detect, detect_wide, learned_flags  # noqa: E402
 from seriesguard.sources import csv, sinks, store  # noqa: E402
+from seriesguard.streaming import scores as streams  # noqa: E402
 
 STAT_VOTERS = ("zscore", "modified_zscore", "iqr", "moving_average", "ema")
 TYPE_KEY = ["event_type"]
@@ -319,6 +320,45 @@ def q_a6(spark, sf):
     return cut.select("l_suppkey", "l_orderkey", "l_linenumber")
 
 
+def q_a2_approx(spark, sf):
+    """Summaries by year of shipment, stored and merged; whether each quantile's rank is off by at most one per cent."""
+    frame, path, wanted = by_supplier(spark, sf), fresh_dir(spark, "summaries"), {"q1": 0.25, "med": 0.5, "q3": 0.75}
+    parts = frame.rows.withColumn("year", F.year("l_shipdate"))
+    sketches.summarize(parts, frame.keys, "value", ["year"]).write.parquet(path)
+    found = sketches.approximate(sketches.merge(spark.read.parquet(path), frame.keys), wanted)
+    ranked = frame.rows.join(found, list(frame.keys)).groupBy("l_suppkey", "n", "mean", "sd", "low", "high").agg(*[
+        ((F.avg((F.col("value") < F.col(q)).cast("double")) <= p + 0.01)
+         & (F.avg((F.col("value") <= F.col(q)).cast("double")) >= p - 0.01)).alias(f"{q}_holds") for q, p in wanted.items()])
+    return rounded(ranked, "mean", "sd")
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files."""
+    rows, path = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), fresh_dir(spark, "arriving")
+    rows.repartition(6).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def flagged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame, path = by_type(spark, sf_dir), fresh_dir(spark, "statistics")
+    stats.moments(frame).join(stats.fences(frame), TYPE_KEY).write.parquet(path)
+    return streams.flag_stream(event_stream(spark, sf_dir), spark.read.parquet(path), TYPE_KEY)
+
+
+def q_st_flags(spark, sf):
+    path = fresh_dir(spark, "stream-flags")
+    streams.write_rows(flagged_stream(spark, sf), path, fresh_dir(spark, "stream-state")).awaitTermination()
+    return spark.read.parquet(path).select("event_type", "event_id", "value", "method", "is_anomaly", "anomaly_score")
+
+
+def q_st_counts(spark, sf):
+    path = fresh_dir(spark, "stream-counts")
+    counts = streams.count_stream(flagged_stream(spark, sf), TYPE_KEY, "ts", "6 hours", "400 days")
+    streams.write_counts(counts, path, fresh_dir(spark, "stream-state")).awaitTermination()
+    found = streams.latest_counts(spark.read.parquet(path), TYPE_KEY)
+    return found.select("event_type", "method", time_to_seconds(F.col("span_start")).alias("span"), "anomaly_count", "total")
+
+
 def q_w0(spark, sf):
     return by_supplier(spark, sf).indexed.select("l_suppkey", "l_orderkey", "l_linenumber", "i")
 
@@ -552,6 +592,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_clean_names": q_p5, "p7_labels": q_p7, "p8_epochs": q_p8, "p9_first_series": q_p9,
     "a1_moments": q_a1, "a2_median_mad": q_a2, "a3_fences": q_a3, "a4_resample": q_a4,
     "a4_resample_7min": q_a4_odd, "a5_counts": q_a5, "a6_cut": q_a6,
+    "a2_quantiles_approx": q_a2_approx, "st_stream_flags": q_st_flags, "st_stream_counts": q_st_counts,
     "w0_index": q_w0, "w1_rolling": q_w1, "w2_ema": q_w2, "w3_lags": q_w3, "w4_trailing": q_w4, "w5_trend": q_w5,
     "w0_index_blocks": q_w0_blocks,
     "j1_series_statistic": q_j1, "j2_side_by_side": q_j2, "j3_neighbour_distance": q_j3,
@@ -1046,6 +1087,12 @@ CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events""",
                       "FROM lineitem GROUP BY 1",
         "a2_median_mad": f"WITH {src(L)},\n{modified_zscore_sql(L)} SELECT l_suppkey, round(med, 6) AS med, round(mad, 6) AS mad "
                          "FROM mz_med JOIN mz_mad USING (l_suppkey)",
+        "a2_quantiles_approx": """SELECT l_suppkey, count(*) AS n, round(avg(l_extendedprice), 6) AS mean, round(stddev_pop(l_extendedprice), 6) AS sd,
+min(l_extendedprice) AS low, max(l_extendedprice) AS high, true AS q1_holds, true AS med_holds, true AS q3_holds FROM lineitem GROUP BY 1""",
+        "st_stream_flags": f"{long_sql(T, ['zscore', 'iqr'], zi)} SELECT event_type, event_id, value, method, is_anomaly, "
+                           "CAST(is_anomaly AS DOUBLE) AS anomaly_score FROM lo_all",
+        "st_stream_counts": f"""{long_sql(T, ['zscore', 'iqr'], zi)} SELECT event_type, method, CAST(floor(epoch(ts) / 21600) AS BIGINT) * 21600 AS span,
+count(*) FILTER (WHERE is_anomaly) AS anomaly_count, count(*) AS total FROM lo_all JOIN (SELECT event_id, ts FROM events) USING (event_id) GROUP BY 1, 2, 3""",
         "a3_fences": f"WITH {src(L)},\n{iqr_sql(L)} SELECT l_suppkey, round(q1, 6) AS q1, round(q3, 6) AS q3, "
                      "round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper FROM iqr_q",
         "a4_resample": resample_sql(300),
