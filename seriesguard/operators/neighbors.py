@@ -27,6 +27,9 @@ FIRST_VISITS = 2
 GROWTH = 4
 MOST_VISITS = 64
 QUERY_ROWS = 20_000
+#: Pairs of rows that are compared at once, and a bound on the relative error of a distance's square by products.
+PAIRS = 1 << 20
+ROUNDING = 1e-13
 TINY = 1e-10
 
 
@@ -38,16 +41,27 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, poin
     """
     ids = np.full((len(queries), k), -1, np.int64)
     dists = np.full((len(queries), k), np.inf)
-    step = max(1, 4_000_000 // max(1, points.size))
+    if not len(points):
+        return ids, dists
+    square = (points * points).sum(axis=1)
+    step = max(1, PAIRS // len(points))
     for first in range(0, len(queries), step):
-        here = slice(first, first + step)
-        gap = queries[here, None, :] - points[None, :, :]
-        dist = np.sqrt((gap * gap).sum(axis=2))
-        dist[query_ids[here, None] == point_ids[None, :]] = np.inf
-        order = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        found = np.take_along_axis(dist, order, axis=1)
-        dists[here, :found.shape[1]] = found
-        ids[here, :found.shape[1]] = np.where(np.isinf(found), -1, point_ids[order])
+        x, own = queries[first:first + step], query_ids[first:first + step]
+        # distances by a matrix product, and how far rounding may have moved them, leave out nearly all points
+        size = (x * x).sum(axis=1)[:, None] + square[None, :]
+        rough, error = size - 2.0 * (x @ points.T), ROUNDING * size
+        rough[own[:, None] == point_ids[None, :]] = np.inf
+        worst = rough + error
+        bound = np.partition(worst, k - 1, axis=1)[:, k - 1:k] if len(points) > k else np.full((len(x), 1), np.inf)
+        row, col = np.nonzero((rough - error <= bound) & (rough < np.inf))
+        gap = x[row] - points[col]
+        exact = np.sqrt((gap * gap).sum(axis=1))
+        order = np.lexsort((col, exact, row))  # points come by id
+        row, col, exact = row[order], col[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        some = place < k
+        ids[first + row[some], place[some]] = point_ids[col[some]]
+        dists[first + row[some], place[some]] = exact[some]
     return ids, dists
 
 
