@@ -32,7 +32,9 @@ MAX_SLOTS = 1 << 22
 #: Without given weights, a source's weight is its row count to this power.
 TEMPER = 0.7
 #: Rows of one source that one window group numbers.
-BUCKET_ROWS = 1 << 11
+BUCKET_ROWS = 1 << 9
+#: Buckets are summed in two levels: as a power of two, how many runs of them a source has at most.
+RUN_BITS = 16
 
 SLOTS = "src string, block long, slot long, release long, deadline long"
 
@@ -112,9 +114,13 @@ def _mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, s
     # index of a row in its source: buckets of a stable hash, numbered within, offset by the buckets before
     bits = max(0, math.ceil(math.log2(max(1, (sums.most or 0) / BUCKET_ROWS))))
     ids = ids.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
-    before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ids.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("n"))
-               .select("src", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    counted = ids.groupBy("src", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "run", F.shiftright("bucket", max(0, bits - RUN_BITS)))
+    upto = lambda by, at: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = counted.groupBy("src", "run").agg(F.sum("n").alias("n")).select("src", "run", upto(["src"], "run").alias("before"))
+    offsets = counted.withColumn("inner", upto(["src", "run"], "bucket")).join(runs, ["src", "run"]) \
+        .select("src", "bucket", (F.col("before") + F.col("inner")).alias("offset"))
     inside = Window.partitionBy("src", "bucket").orderBy("h", "uid")
     placed = (ids.withColumn("at", F.row_number().over(inside) - 1).join(offsets, ["src", "bucket"])
               .withColumn("k", F.col("at") + F.col("offset")).withColumn("block", F.expr(f"k div {size}"))
