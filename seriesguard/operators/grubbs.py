@@ -3,7 +3,8 @@
 The removed value is always the current minimum or maximum, so what remains stays a contiguous
 run in sorted order and the whole loop needs only the two tails, the count and the two sums. One
 round replays the loop on a bounded number of rows from each tail. Where a series uses up its
-rows, the next round goes on from the saved state with the rows further in.
+rows, its rows are sorted by value once and stored with their ranks from either end; every further
+round goes on from the saved state and reads only the next slice of ranks.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from seriesguard.functions.student_t import upper_tail
 FIRST_TAIL = 1_000
 MAX_TAIL = 50_000
 
-# the innermost value removed from either end, and its position
-EDGES = {"_low": "double", "_low_i": "long", "_high": "double", "_high_i": "long"}
+# the innermost value removed from either end, and how many rows went from there
+EDGES = {"_low": "double", "_high": "double"}
+GONE = ["_gone_low", "_gone_high"]
 
 
 def is_extreme(g: float, n: int, alpha: float) -> bool:
@@ -83,6 +85,24 @@ def _top(rows: DataFrame, keys: list[str], by: Column, size: int) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
 
 
+RANKS = ["_low_rank", "_high_rank"]
+
+
+def _ranked(rows: DataFrame, frame: SeriesFrame) -> DataFrame:
+    """Rows (keys, i, _v) with their ranks from the smallest and from the largest value, earlier rows first among equals;
+    stored in the order of ranks."""
+    keys = list(frame.keys)
+    values = SeriesFrame(rows.select(*keys, "_v", F.col("i").alias("_at"), F.col("_v").alias("_x")), frame.keys, ("_v", "_at"),
+                         "_x", frame.block_rows)
+    placed = store(values.indexed.select(*keys, "_v", F.col("_at").alias("i"), F.col("i").alias("_low_rank")))
+    sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    equal = placed.groupBy(*keys, "_v").agg(F.min("_low_rank").alias("_first"), F.max("_low_rank").alias("_last"))
+    both = attach(placed.join(equal, [*keys, "_v"]), sizes, keys, values.profile.n_series)
+    high = F.col("_size") - 1 - F.col("_last") + F.col("_low_rank") - F.col("_first")
+    laid = both.select(*keys, "i", "_v", "_low_rank", high.alias("_high_rank"))
+    return store(laid.repartitionByRange(*keys, "_low_rank").sortWithinPartitions(*keys, "_low_rank"))
+
+
 def grubbs_flags(frame: SeriesFrame, alpha: float = 0.05, first_tail: int = FIRST_TAIL) -> DataFrame:
     """Keys and positions of the flagged rows.
 
@@ -93,10 +113,10 @@ def grubbs_flags(frame: SeriesFrame, alpha: float = 0.05, first_tail: int = FIRS
     state = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.avg("_v").alias("_centre"), F.lit(0.0).alias("_total"),
         (F.var_pop("_v") * F.count(F.lit(1))).alias("_square"),
-        *[F.lit(None).cast(kind).alias(name) for name, kind in EDGES.items()])
+        *[F.lit(None).cast(kind).alias(name) for name, kind in EDGES.items()], *[F.lit(0).cast("long").alias(g) for g in GONE])
     names = state.columns
     schema = state.withColumn("_more", F.lit(False)).schema
-    near, size, ended = tails(rows, keys, "_v", first_tail, profile.longest), first_tail, []
+    near, size, ended, ranked = tails(rows, keys, "_v", first_tail, profile.longest), first_tail, [], None
     while True:
         result = (attach(near, state, keys, profile.n_series)
                   .groupBy(*keys).applyInPandas(_round(keys, alpha), schema))
@@ -107,16 +127,19 @@ def grubbs_flags(frame: SeriesFrame, alpha: float = 0.05, first_tail: int = FIRS
         result = store(result)
         ended.append(result.where(~F.col("_more")))
         state = result.where("_more").select(*names)
-        left = state.count()
-        if left == 0:
+        left = state.agg(F.count(F.lit(1)).alias("n"), *[f(g).alias(f"{f.__name__}{g}") for f in (F.min, F.max) for g in GONE]).first()
+        if left["n"] == 0:
             break
-        inner = attach(rows, state, keys, left).where(
-            (F.col("_low").isNull() | (F.col("_v") > F.col("_low"))
-             | ((F.col("_v") == F.col("_low")) & (F.col("i") > F.col("_low_i"))))
-            & (F.col("_high").isNull() | (F.col("_v") < F.col("_high"))
-               | ((F.col("_v") == F.col("_high")) & (F.col("i") > F.col("_high_i")))))
+        if ranked is None:
+            ranked = _ranked(attach(rows, state.select(*keys), keys, left["n"]), frame)
         size = min(MAX_TAIL, 4 * size)
-        near = tails(inner.select(*keys, "i", "_v"), keys, "_v", size, profile.longest)
+        # the outer bounds of all slices let the scan skip row groups
+        reach = [F.col(rank).between(left[f"min{g}"], left[f"max{g}"] + size - 1) for rank, g in zip(RANKS, GONE)]
+        slices = attach(ranked.where(reach[0] | reach[1]), state.select(*keys, *GONE), keys, left["n"]).where(
+            (F.col("_low_rank") >= F.col("_gone_low")) & (F.col("_high_rank") >= F.col("_gone_high")))
+        ends = [slices.where(F.col(rank) < F.col(g) + size).select(*keys, "i", "_v", F.lit(end).alias("_end"))
+                for rank, g, end in zip(RANKS, GONE, ("low", "high"))]
+        near = ends[0].unionByName(ends[1])
     edges = ended[0]
     for more in ended[1:]:
         edges = edges.unionByName(more)
@@ -143,8 +166,8 @@ def _round(keys: list[str], alpha: float):
         state = state.assign(_n=n, _total=total, _square=square, _more=more)
         for end, taken in (("low", from_low), ("high", from_high)):
             if taken:
-                values, at = sides[end]
-                state[f"_{end}"], state[f"_{end}_i"] = values[taken - 1], at[taken - 1]
-        return state[[*keys, "_n", "_centre", "_total", "_square", *EDGES, "_more"]]
+                state[f"_{end}"] = sides[end][0][taken - 1]
+                state[f"_gone_{end}"] += taken
+        return state[[*keys, "_n", "_centre", "_total", "_square", *EDGES, *GONE, "_more"]]
 
     return run

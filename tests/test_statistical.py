@@ -68,6 +68,29 @@ def test_grubbs_matches_the_direct_loop(table, series, block_rows, tail):
     assert len([g for g in got if g[0] == "twins"]) == 2
 
 
+def test_grubbs_with_many_outliers_sorts_once(spark, monkeypatch):
+    """Dozens of removals from either end, equal outliers, slices of a few ranks: the rows are ranked in one go."""
+    from seriesguard.operators import grubbs
+
+    rng, made = np.random.default_rng(6), {}
+    for key, far in (("both", 40), ("up", 25), ("none", 0)):
+        v = rng.normal(size=900)
+        v[rng.choice(900, far, replace=False)] = rng.choice([-1, 1] if key == "both" else [1], far) * np.exp(rng.uniform(3, 9, far))
+        made[key] = v
+    at = rng.choice(900, 12, replace=False)
+    made["equal"] = rng.normal(size=900)
+    made["equal"][at] = np.repeat([1e4, -300.0, 50.0], 4)
+    table = spark.createDataFrame([(k, t, float(x)) for k, v in made.items() for t, x in enumerate(v)], "k string, t long, x double")
+    calls, ranked = [], grubbs._ranked
+    monkeypatch.setattr(grubbs, "_ranked", lambda *a: calls.append(1) or ranked(*a))
+    monkeypatch.setattr(grubbs, "MAX_TAIL", 12)
+    for block_rows in (None, 64):
+        frame = series_frame(table, ["k"], ["t"], "x", block_rows)
+        got = {(r["k"], r["i"]) for r in grubbs_flags(frame, first_tail=3).collect()}
+        assert got == {(k, int(i)) for k, v in made.items() for i in np.flatnonzero(doubles.grubbs(v))}
+    assert len(calls) == 2
+
+
 def test_times_bunched_in_one_bucket_are_still_ordered(spark):
     n = 40 * HOT_BUCKET_BLOCKS
     rows = pd.DataFrame({"k": "a", "t": np.r_[np.zeros(n), 1e6].astype(int), "tie": np.arange(n + 1), "x": 1.0})
