@@ -112,8 +112,13 @@ def classes(vectors: DataFrame, k: int, *, key: str, vector: str) -> tuple[DataF
 
 
 def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20,
-           curves: int = CURVES, segment_rows: int = SEGMENT_ROWS, recall: float = RECALL, seed: int = 11) -> DataFrame:
-    """(query_id, rank, id, score): the k nearest found for each row whose key is divisible by ``every``."""
+           curves: int = CURVES, segment_rows: int = SEGMENT_ROWS, recall: float = RECALL, seed: int = 11,
+           report: dict | None = None) -> DataFrame:
+    """(query_id, rank, id, score): the k nearest found for each row whose key is divisible by ``every``.
+
+    ``report`` gets the window: ``segments`` of a curve, ``reach`` on each side, and the ``share`` of a curve's vectors that a
+    query meets.
+    """
     spark = vectors.sparkSession
     found, members = classes(vectors, k, key=key, vector=vector)
     index = store(found, "vectors")
@@ -171,9 +176,12 @@ def search(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
     asks = own.join(F.broadcast(last), "curve").select(
         "cid", "query", "curve", F.explode(F.sequence(F.greatest(F.lit(0), F.col("segment") - reach), F.least(
             F.col("last"), F.col("segment") + reach))).alias("segment"))
-    # many queries at a segment: its vectors are copied to blocks of queries
-    n_queries = queries.count()
-    blocks = max(1, -(-n_queries // QUERY_ROWS))
+    # many queries at a segment: its vectors are copied to blocks of queries, as many as the fullest segment needs
+    loads = asks.groupBy("curve", "segment").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.avg("n")).first()
+    blocks = max(1, -(-(loads[0] or 0) // QUERY_ROWS))
+    if report is not None:
+        segments, n_queries = last.agg(F.max("last")).first()[0] + 1, queries.count()
+        report.update(segments=segments, reach=reach, share=min(1.0, (loads[1] or 0) / max(1, n_queries)))
     asks = asks.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int"))
     held = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     near = cogrouped(asks.select("curve", "segment", "block", "cid", "query"), held, ["curve", "segment", "block"],

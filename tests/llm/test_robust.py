@@ -80,6 +80,25 @@ def test_search_keeps_rows_of_a_repeated_id(spark):
     assert of == want
 
 
+def test_windows_select_where_there_is_structure(spark):
+    """Over 20 segments a curve: of clustered vectors a query meets a small part on each, of directions without structure most."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 6)) * 8
+    shares = {}
+    for name, x in (("clustered", centres[np.arange(6000) % 60] + rng.normal(size=(6000, 6))), ("uniform", rng.normal(size=(3000, 64)))):
+        report = {}
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        found = ann.search(rows, segment_rows=len(x) // 30, report=report).collect()
+        assert report["segments"] >= 21
+        scores = x[::20] @ x.T
+        scores[np.arange(len(scores)), np.arange(0, len(x), 20)] = -np.inf
+        best = np.argsort(-scores, axis=1)[:, :20]
+        truth = {(20 * q, int(i)) for q, row in enumerate(best) for i in row}
+        assert len(truth & {(r.query_id, r.id) for r in found}) >= 0.9 * len(truth)
+        shares[name] = report["share"]
+    assert shares["clustered"] < 0.4
+
+
 def test_secret_patterns_are_linear():
     """Every rule on long runs of what it begins with: four times the text may take no more than about four times as long."""
     import re
