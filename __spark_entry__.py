@@ -617,7 +617,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m1_isolation_forest": flag_query("isolation_forest", by_type),
     "m1_scores": score_query(iforest_scores, by_user),
     "m2_lof": flag_query("lof", by_user), "m2_scores": q_m2_scores,
-    "m3_knn": flag_query("knn", by_user), "m2_lof_cells": q_m2_cells, "m3_knn_cells": q_m3_cells,
+    "m3_knn": flag_query("knn", by_user), "m3_knn_type": flag_query("knn", by_type), "m2_lof_cells": q_m2_cells, "m3_knn_cells": q_m3_cells,
     "m4_ocsvm": flag_query("ocsvm", by_user), "m4_scores": score_query(ocsvm_scores, by_user),
     "m5_hbos": flag_query("hbos", by_type), "m5_scores": score_query(hbos_scores, by_supplier),
     "m6_autoencoder": flag_query("autoencoder", by_type), "m6_scores": score_query(pca_scores, by_type),
@@ -1154,6 +1154,7 @@ FROM zscore z JOIN iqr q USING (event_type, i) JOIN hbos h USING (event_type, i)
         "m2_scores": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),
         "m2_lof_cells": f"WITH {src(U)},\n{lof_sql(U)} " + scores.format(key=U, ids="event_id", name="lof", table="lo"),
         "m3_knn_cells": f"WITH {src(U)},\n{knn_sql(U)} " + scores.format(key=U, ids="event_id", name="knn", table="kn"),
+        "m3_knn_type": flags_sql(T, "knn", f"{knn_sql(T)},\n{cut_sql(T, 'kn', 'knn')}"),
         "m3_knn": flags_sql(U, "knn", f"{knn_sql(U)},\n{cut_sql(U, 'kn', 'knn')}"),
         "m5_hbos": flags_sql(T, "hbos", f"{hbos_sql(T)},\n{cut_sql(T, 'hs', 'hbos')}"),
         "d7_grubbs": grubbs_sql(T),
