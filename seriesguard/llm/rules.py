@@ -4,8 +4,7 @@ Sequential covering: rules that reject are grown one after the other as conjunct
 gain on two thirds of the labelled rows that no earlier rule covers, pruned on the other third, and kept while they are
 precise there. The list becomes one ordered conditional expression that Spark evaluates on every row.
 
-The statistics of all whole texts are computed once and stored; only a bounded sample of labelled rows comes to the
-driver.
+Statistics cover whole texts; only a bounded sample of labelled rows comes to the driver.
 
 Defined results: null text has no words and fails the base rule; labels that contradict each other count as the lower
 quality; without labels of both kinds the list is empty and keeps everything the base rule keeps.
@@ -186,14 +185,17 @@ def verdict(rules: list[Rule]) -> Column:
     return out.otherwise(True)
 
 
-def fit(stats: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, **options) -> list[Rule]:
-    """Learn the list from at most ``fit_rows`` labelled rows, chosen by a hash of their key."""
+def _marks(labels: DataFrame, fit_rows: int) -> DataFrame:
+    """(key, quality) of at most ``fit_rows`` labelled keys, the first by a hash."""
     marks = labels.select(F.col("doc_id").alias("key"), F.col("quality").alias("quality")) \
         .where("key is not null and quality is not null").groupBy("key").agg(F.min("quality").alias("quality"))
-    n = marks.count()
-    if n > fit_rows:
-        marks = marks.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int((1 << 20) * fit_rows / n))
-    rows = stats.where(~base_failed()).join(marks.hint("shuffle_hash"), "key") \
+    return marks.orderBy(F.xxhash64("key"), "key").limit(fit_rows)
+
+
+def fit(stats: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, **options) -> list[Rule]:
+    """Learn the list from at most ``fit_rows`` labelled rows, chosen by a hash of their key."""
+    # a bounded table
+    rows = stats.where(~base_failed()).join(F.broadcast(_marks(labels, fit_rows)), "key") \
         .select(*[c.alias(k) for k, c in ratios().items()], "quality", "key").orderBy(F.xxhash64("key")) \
         .limit(fit_rows).toPandas()
     x = rows[list(RATIOS)].to_numpy(float)
@@ -209,7 +211,10 @@ def judged(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows that the base rule and the list keep."""
-    rules = fit(store(document_statistics(docs, key=key, text=text), "statistics"), labels, **options)
+    # for learning only labelled texts are counted
+    some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
+        F.broadcast(_marks(labels, options.get("fit_rows", FIT_ROWS)).select("key")), "key", "left_semi")
+    rules = fit(store(document_statistics(some, key="key"), "statistics"), labels, **options)
     whole = packed(docs).withColumn("text", F.col("row").getField(text).cast("string"))
     counted = map_texts(whole, lambda texts: list(zip(*map(statistics, texts))), COUNTS, keep=["row"])
     return unpacked(counted.where(~base_failed() & verdict(rules)), docs.columns, {})
