@@ -154,3 +154,40 @@ def test_detection_by_learned_methods(frame, series):
     wide = found.pivot(index=["k", "t"], columns="method", values="is_anomaly")
     votes = wide[["isolation_forest", "lof", "knn"]].sum(axis=1)
     assert (wide["ensemble_ml"] == (votes >= 1.5)).all()
+
+
+def test_many_small_series_share_a_call(spark):
+    from seriesguard.operators.bundles import per_series
+
+    rng = np.random.default_rng(3)
+    made = pd.DataFrame([(None if key == 7 else key, i, *rng.normal(size=len(FEATURES))) for key in range(300) for i in range(3)],
+                        columns=["k", "i", *FEATURES]).astype({"k": "Int64"})
+    rows = spark.createDataFrame([tuple(None if pd.isna(v) else v for v in r) for r in made.astype(object).to_numpy().tolist()],
+                                 "k long, i long, " + ", ".join(f"{f} double" for f in FEATURES))
+
+    def run(x):
+        return {"score": np.full(len(x), x.sum())}
+
+    scored = per_series(rows, ["k"], len(made), run, "k long, i long, score double")
+    assert "FlatMapGroupsInArrow" in scored._jdf.queryExecution().toString()
+    bundles = scored.sparkSession.sparkContext.defaultParallelism * 8
+    assert scored.count() == len(made) and bundles < 300
+    got = {(r["k"], r["i"]): r["score"] for r in scored.collect()}
+    for key, part in made.groupby("k", dropna=False):
+        key = None if pd.isna(key) else key
+        assert all(np.isclose(got[key, i], part[list(FEATURES)].to_numpy().sum()) for i in range(3))
+
+
+def test_boxes_inside_a_cell_are_exact():
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=(700, 3)).round(1), np.repeat(rng.normal(size=(2, 3)), 200, axis=0)])
+    at = rng.permutation(5000)[:len(x)]
+    x, at = x[np.argsort(at)], np.sort(at)
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(far, np.inf)
+    ids, dists = nearest(x, at, x, at, 6)
+    for row, apart in enumerate(far):
+        order = np.lexsort((at, apart))[:6]
+        assert (ids[row] == at[order]).all() and np.array_equal(dists[row], apart[order])
+    near, within = nearest(x[:50], at[:50], x, at, 6, reach=dists[:50, 2])
+    assert (near[:, :3] == ids[:50, :3]).all() and np.array_equal(within[:, :3], dists[:50, :3])
