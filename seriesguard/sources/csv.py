@@ -46,7 +46,8 @@ def read_metrics(spark: SparkSession, root: str, cloudbed: str | None = None,
     column are left out with a warning, or raise when ``strict``. ``header`` states one header
     line all files share and saves the pass that looks for headers.
     """
-    rows = _rows(spark, root, _wanted(cloudbed, name_contains, date_pattern, categories), strict, header)
+    some = bool(cloudbed is not None or name_contains or date_pattern or categories is not None)
+    rows = _rows(spark, root, _wanted(cloudbed, name_contains, date_pattern, categories), strict, header, some)
     return rows.where("timestamp is not null").select(*NAMES)
 
 
@@ -67,7 +68,8 @@ def load_csv_file(spark: SparkSession, path: str) -> DataFrame:
 
 def load_metric_category(spark: SparkSession, cloudbed_dir: str, category: str) -> DataFrame:
     """All files of one category of a cloudbed directory."""
-    return read_metrics(spark, f"{cloudbed_dir}/metric/{_literal(category)}", categories=[category])
+    rows = _rows(spark, f"{cloudbed_dir}/metric/{_literal(category)}", _wanted(categories=[category]), False)
+    return rows.where("timestamp is not null").select(*NAMES)
 
 
 def load_cloudbed(spark: SparkSession, root: str, name: str, date_pattern: str | None = None) -> DataFrame:
@@ -103,7 +105,8 @@ def _literal(name: str) -> str:
 
 def _wanted(cloudbed: str | None = None, name_contains: str | None = None, date_pattern: str | None = None,
             categories: Sequence[str] | None = None) -> Column:
-    bed, category = F.regexp_extract(file_path(), PLACE, 1), F.regexp_extract(file_path(), PLACE, 2)
+    """Whether a file is wanted, by the column ``path``."""
+    bed, category = F.regexp_extract("path", PLACE, 1), F.regexp_extract("path", PLACE, 2)
     wanted = bed != ""
     if cloudbed is not None:
         wanted = wanted & (bed == cloudbed)
@@ -113,57 +116,66 @@ def _wanted(cloudbed: str | None = None, name_contains: str | None = None, date_
     return wanted if categories is None else wanted & category.isin(list(categories))
 
 
-def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header: str | None = None) -> DataFrame:
-    """Every row with the columns of SCHEMA; time and value are null where they are no numbers."""
+def _rows(spark: SparkSession, path: str, wanted: Column, strict: bool, header: str | None = None, some: bool = False) -> DataFrame:
+    """Every row with the columns of SCHEMA; time and value are null where they are no numbers.
+
+    What is derived from a path is derived once for each file, not for each line. Only where ``some`` files below the path
+    are wanted, lines are filtered by it too, which spares reading the others.
+    """
     try:
-        lines = _lines(spark, path, wanted).select("value", file_path().alias("path"))
+        lines = _lines(spark, path, wanted if some else None)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], SCHEMA)
+    places_of = [F.regexp_extract("path", PLACE, j).alias(name) for j, name in ((1, "cloudbed"), (2, "category"))]
     if header:
         names = _names(header)
-        found, width = lines.withColumn("header", F.lit(header)), len(names)
+        found, width = lines.withColumn("path", file_path()).where(wanted).select(
+            "value", F.lit(header).alias("header"), *places_of), len(names)
         places = {c: F.lit(names.index(c)) for c in COLUMNS}
     else:
-        headers, size, width = _headers(_first_lines(spark, path, wanted), strict)
+        headers, size, width = _headers(_first_lines(lines, wanted), strict)
         if not width:
             return spark.createDataFrame([], SCHEMA)
-        found = lines.join(F.broadcast(headers) if size <= BROADCAST_BYTES else headers, "path")
+        headers = headers.select("file", "header", "names", *places_of)
+        found = lines.select("value", F.col("_metadata.file_path").alias("file")).join(
+            F.broadcast(headers) if size <= BROADCAST_BYTES else headers, "file")
         places = {c: F.array_position("names", c).cast("int") - 1 for c in COLUMNS}
     found = found.where("value <> header")
     cells = F.from_csv("value", ", ".join(f"c{j} string" for j in range(width)))
     parsed = found.withColumn("cells", F.array(*[cells[f"c{j}"] for j in range(width)]))
     cell = {c: F.get("cells", place) for c, place in places.items()}
     return parsed.select(
-        F.regexp_extract("path", PLACE, 1).alias("cloudbed"), F.regexp_extract("path", PLACE, 2).alias("category"),
+        "cloudbed", "category",
         cell["cmdb_id"].alias("cmdb_id"), cell["kpi_name"].alias("kpi_name"),
         seconds_to_time(cell["timestamp"].try_cast("double")).alias("timestamp"),
         cell["value"].try_cast("double").alias("value"))
 
 
-def _lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
+def _lines(spark: SparkSession, path: str, wanted: Column | None) -> DataFrame:
     """Lines that are not blank."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path) \
-        .where(wanted & (F.trim("value") != ""))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path).where(F.trim("value") != "")
+    return lines if wanted is None else lines.withColumn("path", file_path()).where(wanted).drop("path")
 
 
-def _first_lines(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
-    """(path, value): the first line of each file, stored."""
-    lines = _lines(spark, path, wanted).where("_metadata.file_block_start = 0").select(
-        file_path().alias("path"), "value", F.monotonically_increasing_id().alias("place"))
-    return store(lines.groupBy("path").agg(F.min_by("value", "place").alias("value")))
+def _first_lines(lines: DataFrame, wanted: Column) -> DataFrame:
+    """(file, path, value): the first line of each wanted file, stored; ``file`` is the path as Spark gives it."""
+    lines = lines.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"))
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("value"))
+    return store(first.withColumn("path", F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))).where(wanted))
 
 
 def _headers(lines: DataFrame, strict: bool) -> tuple[DataFrame, int, int]:
-    """(path, header, names) of the files whose first line has all columns, the table's bytes, and the most columns of a file."""
+    """(file, path, header, names) of the files whose first line has all columns, the table's bytes, and the most columns of a file."""
     names = F.transform(F.split("value", ","), lambda n: F.btrim(n, F.lit(' "\ufeff')))
     is_header = F.array_size(F.array_intersect(names, F.array(*[F.lit(c) for c in COLUMNS]))) == len(COLUMNS)
-    files = lines.select("path", F.when(is_header, F.col("value")).alias("header"), F.when(is_header, names).alias("names"))
+    files = lines.select("file", "path", F.when(is_header, F.col("value")).alias("header"), F.when(is_header, names).alias("names"))
     lacking = F.col("header").isNull()
     seen = files.agg(
         F.count_if(lacking).alias("without"),
-        F.coalesce(F.sum(F.length("path") + 3 * F.length("header")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(2 * F.length("path") + 3 * F.length("header")), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.size("names")), F.lit(0)).alias("width")).first()
     if seen["without"]:
         some = [r["path"] for r in files.where(lacking).orderBy("path").limit(5).collect()]
