@@ -5,6 +5,7 @@ import pytest
 
 from seriesguard.frame import series_frame
 from seriesguard.operators.features import FEATURES, features, scaled_features
+from seriesguard.operators.grubbs import grubbs_flags
 from seriesguard.operators.hbos import hbos_scores
 from seriesguard.operators.iforest import iforest_scores
 from seriesguard.operators.neighbors import nearest, neighbour_scores, neighbours
@@ -191,3 +192,27 @@ def test_boxes_inside_a_cell_are_exact():
         assert (ids[row] == at[order]).all() and np.array_equal(dists[row], apart[order])
     near, within = nearest(x[:50], at[:50], x, at, 6, reach=dists[:50, 2])
     assert (near[:, :3] == ids[:50, :3]).all() and np.array_equal(within[:, :3], dists[:50, :3])
+
+
+@pytest.mark.parametrize("scores", [iforest_scores, ocsvm_scores, lambda f: neighbour_scores(f, knn=5, lof=7), grubbs_flags])
+def test_short_series_do_not_take_a_call_each(frame, scores):
+    plan = scores(frame)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_rows_a_task_gets_are_bounded(spark, monkeypatch):
+    from seriesguard import frame as frames
+
+    made = pd.DataFrame([(k, t, float((k * 7 + t * t) % 31)) for k in range(60) for t in range(20)], columns=["k", "t", "x"])
+    frame_of = lambda: series_frame(spark.createDataFrame(made), ["k"], ["t"], "x")
+    want = sorted(map(tuple, detect(frame_of(), ["ensemble", "zscore"]).collect()))
+    monkeypatch.setattr(frames, "TASK_ROWS", 50)
+    assert frame_of().indexed.rdd.getNumPartitions() == 24
+    assert sorted(map(tuple, detect(frame_of(), ["ensemble", "zscore"]).collect())) == want
+
+
+def test_bars_are_laid_out_after_the_join(frame):
+    from seriesguard.operators.report import histogram
+
+    plan = histogram(detect(frame, ["zscore"]), ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join")

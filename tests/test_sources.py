@@ -243,3 +243,12 @@ def test_method_names_and_votes(spark):
     params = {"zscore": {"threshold": 1.0}, "ensemble": {"methods": ["zscore", "iqr", "grubbs", "seasonal"]}}
     got = detect(frame, ["zscore", "ensemble"], params).where("is_anomaly").groupBy("method").count()
     assert {r["method"]: r["count"] for r in got.collect()} == {"zscore": 2, "ensemble_stat": 1}
+
+
+def test_paths_are_taken_apart_once_for_each_file(spark, tmp_path):
+    folder = tmp_path / "2024-cloudbed1" / "metric" / "jvm"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("timestamp,value,cmdb_id,kpi_name\n1,2.5,s,k\n")
+    rows = csv.load_metric_category(spark, str(tmp_path / "2024-cloudbed1"), "jvm")
+    assert "url_decode" not in rows._jdf.queryExecution().toString()
+    assert [(r["cloudbed"], r["category"], r["cmdb_id"], r["value"]) for r in rows.collect()] == [("2024-cloudbed1", "jvm", "s", 2.5)]
