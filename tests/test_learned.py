@@ -1,14 +1,16 @@
+import pathlib
+
 import doubles
 import numpy as np
 import pandas as pd
 import pytest
 
-from seriesguard.frame import series_frame
-from seriesguard.operators.features import FEATURES, features, scaled_features
+from seriesguard.frame import series_frame, shared_dir
+from seriesguard.operators.features import FEATURES, features, scaled_features, stored_features
 from seriesguard.operators.grubbs import grubbs_flags
 from seriesguard.operators.hbos import hbos_scores
 from seriesguard.operators.iforest import iforest_scores
-from seriesguard.operators.neighbors import nearest, neighbour_scores, neighbours
+from seriesguard.operators.neighbors import _near_in_cells, nearest, neighbour_scores, neighbours
 from seriesguard.operators.ocsvm import boundary_distance, gram, ocsvm_scores
 from seriesguard.operators.pca import pca_scores
 from seriesguard.plans.registry import LEARNED, detect
@@ -74,6 +76,42 @@ def test_neighbours_match_brute_force(frame, series, cell_rows):
             assert np.allclose(part["lof"], lof, atol=1e-8), k
 
 
+@pytest.mark.parametrize("made", ["spread", "copies"])
+def test_cells_of_a_series_are_searched_in_one_call(made):
+    """Small cells and leaves with parts find what brute force finds; copies may be named in another order."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, len(FEATURES)))
+    if made == "copies":
+        x = np.round(x[rng.integers(0, 40, 300)])
+    leaf = (x[:, 0] > 0) * 2 + (x[:, 1] > 0.5)
+    ids, dists = _near_in_cells(x, leaf.astype(np.int64), rng.integers(-2**60, 2**60, 300), 20, 7)
+    every = np.arange(300)
+    want, far = nearest(x, every, x, every, 7)
+    assert np.allclose(dists, far, rtol=1e-12, atol=1e-12)
+    assert np.allclose(np.sqrt(((x[ids] - x[:, None]) ** 2).sum(axis=2)), far, atol=1e-9) and (ids != every[:, None]).all()
+    assert made == "copies" or np.array_equal(ids, want)
+
+
+def test_small_cells_leave_only_scores_on_disk(spark):
+    """Where one call holds a series, what is written stays near the size of its features, and no shuffle files stay."""
+    rng = np.random.default_rng(6)
+    rows = pd.DataFrame({"k": np.repeat(np.arange(300), 60), "t": np.tile(np.arange(60), 300), "x": rng.normal(size=18_000)})
+    frame = series_frame(spark.createDataFrame(rows), ["k"], ["t"], "x").stored
+    features_of = written(spark, lambda: stored_features(frame))
+    scores = written(spark, lambda: neighbour_scores(frame, lof=20, cell_rows=12).collect())
+    assert 0 < scores < features_of
+
+
+def written(spark, run):
+    """Bytes below the shared folder that a run leaves there."""
+    def size():
+        return sum(f.stat().st_size for f in pathlib.Path(shared_dir(spark).removeprefix("file:")).rglob("*.parquet"))
+
+    before = size()
+    run()
+    return size() - before
+
+
 @pytest.mark.parametrize("fan_bits, cell_rows, shape", [(10, 32, "spread"), (2, 16, "spread"), (1, 8, "tied"), (3, 20, "far"), (2, 8, "one")])
 def test_tree_descent_is_exact(spark, fan_bits, cell_rows, shape):
     """Several levels, leaves with parts, tiny leaves, an outlier, two series of unlike size."""
