@@ -3,9 +3,11 @@ import pathlib
 import doubles
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 
 from seriesguard.frame import series_frame, shared_dir
+from seriesguard.operators import neighbors
 from seriesguard.operators.features import FEATURES, features, scaled_features, stored_features
 from seriesguard.operators.grubbs import grubbs_flags
 from seriesguard.operators.hbos import hbos_scores
@@ -144,6 +146,36 @@ def test_tree_descent_is_exact(spark, fan_bits, cell_rows, shape):
             assert np.allclose(np.sqrt(((named - x[:, None]) ** 2).sum(axis=2)), got, atol=1e-9)
 
 
+@pytest.mark.parametrize("fan_bits", [10, 2])
+def test_visits_travel_in_slices(spark, monkeypatch, fan_bits):
+    """However many cells rows visit, about one visit for each row travels at once, and states are not left on disk."""
+    monkeypatch.setattr(neighbors, "TURN_ROWS", 60)
+    monkeypatch.setattr(neighbors, "SLICE_ROWS", 220)
+    x = np.random.default_rng(4).normal(size=(96, len(FEATURES)))
+    rows = pd.DataFrame([("a", i, len(x), *v) for i, v in enumerate(x)], columns=["k", "i", "_m", *FEATURES])
+    report, found = [], []
+    left = written(spark, lambda: found.append(neighbours(spark.createDataFrame(rows), ["k"], 7, 1, len(rows), 16, fan_bits, report)))
+    part = found[0].toPandas().sort_values("i")
+    ids, dists = nearest(x, np.arange(96), x, np.arange(96), 7)
+    assert np.array_equal(np.stack(part["ids"]), ids) and np.allclose(np.stack(part["dists"]), dists, rtol=1e-12)
+    assert sum(visits for _, visits in report) > 400 and max(visits for _, visits in report) < 300
+    tables = [t for t in stored_tables(spark, found[0]) if {"value", "_pending"} & set(t.column_names)]
+    assert left > 0 and not tables
+
+
+def stored_tables(spark, df):
+    return [pq.read_table(f.removeprefix("file:").removeprefix("//")) for f in df.inputFiles()]
+
+
+def test_long_series_in_turns_match_brute_force(frame, series, monkeypatch):
+    monkeypatch.setattr(neighbors, "TURN_ROWS", 800)
+    monkeypatch.setattr(neighbors, "SLICE_ROWS", 9_000)
+    for k, part in parts(neighbour_scores(frame, knn=5, lof=20, cell_rows=64, call_rows=0)).items():
+        if k in ("mid", "long"):
+            knn, lof = doubles.neighbour_scores(series[k])
+            assert np.allclose(part["knn"], knn, atol=1e-9) and np.allclose(part["lof"], lof, atol=1e-8), k
+
+
 def test_boundary_is_optimal():
     x = np.random.default_rng(3).normal(size=(150, 11))
     value, kernel = boundary_distance(x, 0.2), gram(x, "rbf")
